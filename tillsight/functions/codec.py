@@ -29,11 +29,12 @@ def decode_rows(envelope: DataFrame, schema: T.StructType, keep=()) -> DataFrame
     """JSON payloads flattened to ``schema``'s columns.
 
     ``keep`` names envelope columns to carry along in front.
+
+    The struct is unpacked by ``inline``, which no filter is moved across.
+    Below a plain projection a later filter on several fields would parse the
+    payload once per field.
     """
-    parsed = envelope.select(
-        *keep, parse_json(payload_text(), schema).alias("record")
-    )
-    return parsed.select(*keep, "record.*")
+    return envelope.select(*keep, F.inline(F.array(parse_json(payload_text(), schema))))
 
 
 def apply_types(records: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,14 +51,14 @@ def judge_messages(envelope: DataFrame) -> DataFrame:
     """
     schema = T.StructType(raw_schema().fields + [T.StructField(_UNREADABLE, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}
-    parsed = envelope.select(
-        "value", F.from_json(payload_text(), schema, options).alias("record")
-    )
+    parsed = F.from_json(payload_text(), schema, options)
+    # Exploded rather than selected, so that filters do not parse once more.
+    records = envelope.select("value", F.explode(F.array(parsed)).alias("record"))
     reason = F.when(
         F.col("record").isNull() | F.col(f"record.{_UNREADABLE}").isNotNull(), "unreadable"
     ).when(~F.coalesce(has_key(), F.lit(False)), "missing_id")
-    flat = parsed.select("value", "record", "record.*")
-    return apply_types(flat.withColumn("reason", reason)).select("value", "reason", *COLUMNS)
+    flat = records.select("value", "record", "record.*").withColumn("reason", reason)
+    return apply_types(flat).select("value", "reason", *COLUMNS)
 
 
 def split_quarantine(envelope: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -96,17 +99,24 @@ def outside_domain(transactions: DataFrame, columns, allowed: DataFrame) -> Data
 
 
 def domain_violations(transactions: DataFrame, checks: dict[tuple[str, ...], DataFrame]) -> DataFrame:
-    """(transaction_id, field, value) for each failed check, fields joined by ``/``."""
-    found = None
-    for columns, allowed in checks.items():
-        rows = outside_domain(transactions.select("transaction_id", *columns), columns, allowed)
-        rows = rows.select(
-            "transaction_id",
-            F.lit("/".join(columns)).alias("field"),
-            F.concat_ws("/", *columns).alias("value"),
+    """(transaction_id, field, value) for each failed check, fields joined by ``/``.
+
+    ``checks`` maps columns to a table of their allowed combinations. All are
+    looked up in one pass over the transactions.
+    """
+    used = dict.fromkeys(name for columns in checks for name in columns)
+    rows = transactions.select("transaction_id", *used)
+    failures = []
+    for number, (columns, allowed) in enumerate(checks.items()):
+        known = f"known_{number}"
+        listed = allowed.select(*columns).distinct().withColumn(known, F.lit(True))
+        rows = rows.join(listed, list(columns), "left")
+        complete = reduce(and_, [F.col(name).isNotNull() for name in columns])
+        failure = F.struct(
+            F.lit("/".join(columns)).alias("field"), F.concat_ws("/", *columns).alias("value")
         )
-        found = rows if found is None else found.unionAll(rows)
-    return found
+        failures.append(F.when(complete & F.col(known).isNull(), failure))
+    return rows.select("transaction_id", F.inline(F.array_compact(F.array(*failures))))
 
 
 def producer_domains(spark) -> dict[tuple[str, ...], DataFrame]:

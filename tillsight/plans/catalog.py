@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +90,7 @@ def decode_events_props(spark, folder):
 
 
 def total_rows(spark, folder):
-    return insights.total_rows(transactions(spark, folder))
+    return insights.total_rows(transactions(spark, folder, ["transaction_id"]))
 
 
 def cells(spark, folder):
@@ -113,8 +114,7 @@ def detail_upsert(spark, folder):
 
 def published(spark, folder):
     topics = _new_topics(spark)
-    table = insights.insight("fraud_category").build(transactions(spark, folder))
-    publish_insight(table, topics, "fraud_category")
+    publish_insight(_build("fraud_category", spark, folder), topics, "fraud_category")
     return read_insight(spark, topics, "fraud_category").drop("run_id")
 
 
@@ -129,21 +129,26 @@ def insight_latest(spark, folder):
 # Insight tables and charts.
 
 
+def _build(name, spark, folder):
+    wanted = insights.insight(name)
+    return wanted.build(transactions(spark, folder, wanted.reads))
+
+
 def table(name, spark, folder):
-    return _rounded(insights.insight(name).build(transactions(spark, folder)))
+    return _rounded(_build(name, spark, folder))
 
 
 def insights_one_pass(spark, folder):
-    return _rounded(insights.one_pass(transactions(spark, folder)))
+    return _rounded(insights.one_pass(transactions(spark, folder, insights.fields_for(insights.INSIGHTS))))
 
 
 def share(name, spark, folder):
-    return shaping.with_share(insights.insight(name).build(transactions(spark, folder)))
+    return shaping.with_share(_build(name, spark, folder))
 
 
 def chart(name, spark, folder):
     """The arrays as text, numbers as decimals, since engines print doubles differently."""
-    arrays = shaping.series(insights.insight(name).build(transactions(spark, folder)), name)
+    arrays = shaping.series(_build(name, spark, folder), name)
 
     def text(field):
         is_double = isinstance(field.dataType.elementType, T.DoubleType)
@@ -157,18 +162,28 @@ def chart(name, spark, folder):
 
 # Risk and quality.
 
+_RISK_FIELDS = [
+    "transaction_id", "price", "payment_method", "user_age", "user_income", "category",
+    "fraud_label",
+]
+
+
+def _with_risk(spark, folder):
+    return scoring.with_risk(transactions(spark, folder, _RISK_FIELDS), WAREHOUSE_RULES)
+
 
 def rule_risk_score(spark, folder):
-    rows = scoring.with_risk(transactions(spark, folder), WAREHOUSE_RULES)
+    rows = _with_risk(spark, folder)
     return rows.select("transaction_id", "risk", "fraud_label")
 
 
 def risk_calibration(spark, folder):
-    return scoring.risk_calibration(transactions(spark, folder), WAREHOUSE_RULES)
+    rows = transactions(spark, folder, _RISK_FIELDS)
+    return scoring.risk_calibration(rows, WAREHOUSE_RULES)
 
 
 def score_auc(spark, folder):
-    rows = scoring.with_risk(transactions(spark, folder), WAREHOUSE_RULES)
+    rows = _with_risk(spark, folder)
     area = scoring.score_auc(rows, "risk", "fraud_label")
     return area.select(F.round("area_under_roc", 8).alias("area_under_roc"))
 
@@ -217,18 +232,19 @@ def quarantine_rows(spark, folder):
 
 
 def string_index_category(spark, folder):
-    return model.frequency_index(transactions(spark, folder), "category")
+    return model.frequency_index(transactions(spark, folder, ["category"]), "category")
 
 
 def fraud_features(spark, folder):
-    rows = model.features(model.complete_rows(transactions(spark, folder)))
+    rows = model.features(model.complete_rows(transactions(spark, folder, model.MODEL_INPUTS)))
     names = [*model.NUMERIC_FEATURES, *model.INDEXED_FEATURES]
-    vector = model.vector_to_array("features")
-    return rows.select("transaction_id", *[vector[i].alias(name) for i, name in enumerate(names)])
+    vectors = rows.select("transaction_id", vector_to_array("features").alias("values"))
+    elements = [F.col("values")[place].alias(name) for place, name in enumerate(names)]
+    return vectors.select("transaction_id", *elements)
 
 
 def train_test_split(spark, folder):
-    rows = model.complete_rows(transactions(spark, folder))
+    rows = model.complete_rows(transactions(spark, folder, model.MODEL_INPUTS))
     part = F.when(model.in_training(), "training").otherwise("test")
     return rows.select("transaction_id", part.alias("part"))
 
@@ -245,7 +261,7 @@ def _trained(spark, folder):
 
 def fraud_model_predict(spark, folder):
     fitted, _ = _trained(spark, folder)
-    _, test = model.stable_split(model.complete_rows(transactions(spark, folder)))
+    _, test = model.stable_split(model.complete_rows(transactions(spark, folder, model.MODEL_INPUTS)))
     scored = model.score(fitted, test)
     return scored.select("transaction_id", "fraud_label", "prediction", "fraud_probability")
 

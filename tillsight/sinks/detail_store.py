@@ -13,12 +13,8 @@ from tillsight.functions.cells import FAMILIES
 
 
 def write_detail_parquet(rows: DataFrame, path: str) -> None:
-    """Rows of the wide form, sorted by key within each file for key lookups.
-
-    Rows that come from ``latest_transactions`` are already partitioned and
-    sorted by id, so this adds no shuffle.
-    """
-    rows.sortWithinPartitions("row_key").write.mode("overwrite").parquet(path)
+    """Rows of the wide form, one Parquet file per partition in the order they have."""
+    rows.write.mode("overwrite").parquet(path)
 
 
 def write_detail_store(
