@@ -51,7 +51,13 @@ def test_stream_equals_batch_and_resumes(spark, small, topics, tmp_path):
         query.awaitTermination()
         return query
 
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 50)
     first = run()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    states = first.lastProgress.stateOperators
+    assert [state.numShufflePartitions for state in states] == [streams.STATE_PARTITIONS]
     assert len({progress.batchId for progress in first.recentProgress}) >= 4  # rate limit
     latest = read_insight(spark, topics, "fraud_category", latest=True).drop("run_id")
     assert comparable(latest) == comparable(insight("fraud_category").build(rows))

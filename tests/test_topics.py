@@ -17,7 +17,7 @@ def test_kafka_options():
     kafka = KafkaTopics("broker:9092")
     batch = kafka.batch_options("transactions")
     assert batch["startingOffsets"] == "earliest" and batch["endingOffsets"] == "latest"
-    assert "maxOffsetsPerTrigger" not in batch
+    assert "maxOffsetsPerTrigger" not in batch and batch["maxRecordsPerPartition"] == "1000000"
     stream = kafka.stream_options("transactions", 10000)
     assert stream["maxOffsetsPerTrigger"] == "10000" and "endingOffsets" not in stream
     assert kafka.write_options("t") == {"kafka.bootstrap.servers": "broker:9092", "topic": "t"}

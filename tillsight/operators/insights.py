@@ -8,7 +8,6 @@ task, however unevenly the groups are filled.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -175,7 +174,7 @@ def one_pass(transactions: DataFrame, names=tuple(INSIGHTS)) -> DataFrame:
 
     One grouping set per dimension. The sets' sizes add up, whereas a
     pre-aggregation over all dimensions at once would multiply them. The
-    grouping id tells a NULL key from a dimension outside the set.
+    grouping flags tell a NULL key from a dimension outside the set.
     """
     tables = [insight(name) for name in names]
     dimensions = list(dict.fromkeys(table.dimension for table in tables))
@@ -186,27 +185,11 @@ def one_pass(transactions: DataFrame, names=tuple(INSIGHTS)) -> DataFrame:
         *[_dimension_column(name).alias(name) for name in dimensions], *fields
     )
     grouped = inputs.groupingSets([[name] for name in dimensions], *dimensions).agg(
-        F.grouping_id().alias("grouping"),
+        F.coalesce(*[F.when(F.grouping(name) == 0, name) for name in dimensions]).alias("dimension"),
         *[measure.expression.alias(name) for name, measure in available.items()],
     )
-
-    def by_grouping(choice):
-        """``choice`` of the dimension whose bit alone is unset in the grouping id."""
-        last = len(dimensions) - 1
-        every = (1 << len(dimensions)) - 1
-        return reduce(
-            lambda chain, place: chain.when(
-                F.col("grouping") == every - (1 << (last - place)), choice(dimensions[place])
-            ),
-            range(len(dimensions)),
-            F.when(F.lit(False), F.lit(None).cast("string")),
-        )
-
-    return grouped.select(
-        by_grouping(F.lit).alias("dimension"),
-        by_grouping(lambda name: F.col(name).cast("string")).alias("key"),
-        *available,
-    )
+    key = F.coalesce(*[F.col(name).cast("string") for name in dimensions])
+    return grouped.select("dimension", key.alias("key"), *available)
 
 
 def pick(combined: DataFrame, name: str) -> DataFrame:

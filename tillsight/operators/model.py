@@ -8,7 +8,6 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tillsight.operators.scoring import score_auc
 
@@ -88,16 +87,17 @@ def random_split(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = SEED):
 
 
 def train(training: DataFrame, handle_invalid: str = "error") -> PipelineModel:
-    """Logistic regression on the assembled features."""
+    """Logistic regression on the assembled features.
+
+    ``training`` is read once for the indexes and twice for the regression,
+    which then keeps its own blocks for the iterations. Give it a stored table
+    rather than a feed still to be decoded.
+    """
     regression = LogisticRegression(
         featuresCol="features", labelCol=LABEL, maxIter=MAX_ITERATIONS
     )
     stages = [indexer(handle_invalid), assembler(handle_invalid), regression]
-    inputs = training.select(*MODEL_INPUTS).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return Pipeline(stages=stages).fit(inputs)
-    finally:
-        inputs.unpersist()
+    return Pipeline(stages=stages).fit(training)
 
 
 def score(fitted: PipelineModel, rows: DataFrame) -> DataFrame:

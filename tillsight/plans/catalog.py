@@ -31,14 +31,14 @@ from tillsight.sources.warehouse import (
     transactions,
 )
 from tillsight.streaming import insight_streams as streams
-from tillsight.workspace import fresh_folder
+from tillsight.workspace import fresh_folder, shared_folder
 
 # Engines add doubles in different orders. Averages are compared to this many
 # decimals, and are rounded as decimals so that exact halves go the same way.
 DECIMALS = 4
 
-_feeds: dict[tuple[str, str], FileTopics] = {}
-_models: dict[tuple[str, str], tuple] = {}
+_feeds: dict[tuple[str, ...], FileTopics] = {}
+_models: dict[tuple[str, ...], tuple] = {}
 
 
 def _new_topics(spark: SparkSession) -> FileTopics:
@@ -47,7 +47,7 @@ def _new_topics(spark: SparkSession) -> FileTopics:
 
 def feed(spark: SparkSession, folder: str) -> FileTopics:
     """Topics with the transactions published, once per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
+    key = (shared_folder(spark), spark.sparkContext.applicationId, folder)
     if key not in _feeds:
         topics = _new_topics(spark)
         publish_transactions(transactions(spark, folder), topics)
@@ -251,7 +251,7 @@ def train_test_split(spark, folder):
 
 def _trained(spark, folder):
     """The training job's model, once per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
+    key = (shared_folder(spark), spark.sparkContext.applicationId, folder)
     if key not in _models:
         path = fresh_folder(spark, "model")
         _, area = jobs.training_job(spark, feed(spark, folder), path)

@@ -8,17 +8,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.schema import ENVELOPE
 
+_ROW_GROUP_BYTES = 16 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class KafkaTopics:
-    """Topics on a Kafka cluster, through Spark's Kafka connector."""
+    """Topics on a Kafka cluster, through Spark's Kafka connector.
+
+    A topic partition is read by several tasks when it holds more than
+    ``records_per_task``, so one overfull partition does not hold up a job.
+    """
 
     bootstrap_servers: str
+    records_per_task: int = 1_000_000
 
     def batch_options(self, topic: str) -> dict[str, str]:
         return {
@@ -26,6 +33,7 @@ class KafkaTopics:
             "subscribe": topic,
             "startingOffsets": "earliest",
             "endingOffsets": "latest",
+            "maxRecordsPerPartition": str(self.records_per_task),
         }
 
     def stream_options(self, topic: str, max_per_trigger: int | None = None) -> dict[str, str]:
@@ -34,6 +42,7 @@ class KafkaTopics:
             "kafka.bootstrap.servers": self.bootstrap_servers,
             "subscribe": topic,
             "startingOffsets": "earliest",
+            "maxRecordsPerPartition": str(self.records_per_task),
         }
         if max_per_trigger is not None:
             options["maxOffsetsPerTrigger"] = str(max_per_trigger)
@@ -81,16 +90,20 @@ class FileTopics:
         return reader.parquet(self.path(topic))
 
     def write(self, messages: DataFrame, topic: str) -> None:
-        self._envelopes(messages, topic).write.mode("append").parquet(self.path(topic))
+        self._writer(messages, topic).mode("append").parquet(self.path(topic))
 
     def write_batch(self, messages: DataFrame, topic: str, batch_id: int) -> None:
         """One micro-batch in its own folder, so a replay replaces it."""
         folder = f"{self.path(topic)}/batch-{batch_id}"
-        self._envelopes(messages, topic).write.mode("overwrite").parquet(folder)
+        self._writer(messages, topic).mode("overwrite").parquet(folder)
 
     @staticmethod
-    def _envelopes(messages: DataFrame, topic: str) -> DataFrame:
-        """Arrival order is (timestamp, partition, offset): the write, then the row in it."""
+    def _writer(messages: DataFrame, topic: str) -> DataFrameWriter:
+        """Arrival order is (timestamp, partition, offset): the write, then the row in it.
+
+        Row groups are small, as tasks share a file by row groups and parsing
+        messages takes far longer than reading them.
+        """
         row_in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         columns = {
             "key": F.lit(None),
@@ -101,9 +114,10 @@ class FileTopics:
             "timestampType": F.lit(0),
         }
         given = set(messages.columns)
-        return messages.select(*[
+        envelopes = messages.select(*[
             (F.col(field.name) if field.name in given else columns[field.name])
             .cast(field.dataType)
             .alias(field.name)
             for field in ENVELOPE
         ])
+        return envelopes.write.option("parquet.block.size", _ROW_GROUP_BYTES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,6 +11,11 @@ from tillsight.functions.codec import decode_transactions
 from tillsight.operators.insights import fields_for, insight, one_pass, pick
 from tillsight.sinks.publish import TRANSACTIONS_TOPIC, publish_insight_batch
 
+# An insight has few groups, so its state needs few partitions, whatever the
+# cluster's setting for batch shuffles; each partition costs a task and a state
+# store commit per trigger.
+STATE_PARTITIONS = 8
+
 
 def transaction_stream(
     spark: SparkSession,
@@ -29,6 +36,7 @@ def start_insight(
     checkpoint: str,
     max_per_trigger: int | None = None,
     available_now: bool = False,
+    state_partitions: int = STATE_PARTITIONS,
 ) -> StreamingQuery:
     """One insight table kept up to date in its topic.
 
@@ -43,7 +51,9 @@ def start_insight(
     def publish(batch, batch_id):
         publish_insight_batch(batch, target, wanted.topic, batch_id)
 
-    return _start(table, publish, "complete", f"{checkpoint}/{wanted.topic}", available_now)
+    return _start(
+        table, publish, f"{checkpoint}/{wanted.topic}", available_now, state_partitions
+    )
 
 
 def start_insights(
@@ -54,6 +64,7 @@ def start_insights(
     checkpoint: str,
     max_per_trigger: int | None = None,
     available_now: bool = False,
+    state_partitions: int = STATE_PARTITIONS,
 ) -> StreamingQuery:
     """Several insight tables from one read of the topic."""
     rows = transaction_stream(spark, source, fields_for(names), max_per_trigger=max_per_trigger)
@@ -65,7 +76,7 @@ def start_insights(
         batch.unpersist()
 
     return _start(
-        one_pass(rows, names), publish, "complete", f"{checkpoint}/insights", available_now
+        one_pass(rows, names), publish, f"{checkpoint}/insights", available_now, state_partitions
     )
 
 
@@ -93,13 +104,26 @@ def start_console(rows: DataFrame) -> StreamingQuery:
     return rows.writeStream.outputMode("append").format("console").start()
 
 
-def _start(table, publish, mode, checkpoint, available_now):
+def _start(table, publish, checkpoint, available_now, state_partitions):
     writer = (
-        table.writeStream.outputMode(mode)
+        table.writeStream.outputMode("complete")
         .foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
     )
-    return _trigger(writer, available_now).start()
+    with _shuffle_partitions(table.sparkSession, state_partitions):
+        return _trigger(writer, available_now).start()
+
+
+@contextmanager
+def _shuffle_partitions(spark, number):
+    """The setting as a query finds it when it starts; queries keep their own copy."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, number)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _trigger(writer, available_now):
