@@ -124,3 +124,12 @@ def test_series_of_unknown_or_chartless_insight(spark):
         shaping.series(table, "weather")
     with pytest.raises(ValueError):
         shaping.series(table, "income")
+
+
+def test_series_of_too_many_points_is_refused(spark):
+    table = spark.range(50).select(
+        F.col("id").cast("string").alias("payment_method"), F.lit(1).alias("transaction_count")
+    )
+    assert len(shaping.series(table, "payment_method", 50).first().labels) == 50
+    with pytest.raises(Exception, match="50 points are too many"):
+        shaping.series(table, "payment_method", 49).collect()

@@ -20,17 +20,26 @@ def with_share(counts: DataFrame, value: str = "transaction_count") -> DataFrame
     )
 
 
-def series(table: DataFrame, name: str) -> DataFrame:
+MOST_POINTS = 100_000
+
+
+def series(table: DataFrame, name: str, most_points: int = MOST_POINTS) -> DataFrame:
     """An insight table as one row of parallel arrays, ordered by the first.
 
-    A chart holds one point per group, so this is meant for dimensions of a
-    known small domain, not for one that grows with the data.
+    The row is built by one task, so a table of more than ``most_points`` rows
+    is refused before any are gathered. As its rows are counted first, ``table``
+    should be a stored one, as read back from its topic.
     """
     arrays = insight(name).series
     if arrays is None:
         raise ValueError(f"insight {name!r} has no chart")
-    points = F.array_sort(F.array_agg(F.struct(*arrays.values())))
-    return table.agg(points.alias("points")).select(*[
+    rows = table.agg(F.count("*")).scalar()
+    refusal = F.raise_error(F.concat(rows.cast("string"), F.lit(" points are too many to chart")))
+    point = F.when(rows <= most_points, F.struct(*arrays.values())).otherwise(refusal)
+    points = table.select(point.alias("point")).agg(
+        F.array_sort(F.array_agg("point")).alias("points")
+    )
+    return points.select(*[
         F.col("points").getField(column).alias(label) for label, column in arrays.items()
     ])
 

@@ -31,7 +31,7 @@ from tillsight.sources.warehouse import (
     transactions,
 )
 from tillsight.streaming import insight_streams as streams
-from tillsight.workspace import fresh_folder, shared_folder
+from tillsight.workspace import cut_lineage, fresh_folder, shared_folder
 
 # Engines add doubles in different orders. Averages are compared to this many
 # decimals, and are rounded as decimals so that exact halves go the same way.
@@ -148,7 +148,7 @@ def share(name, spark, folder):
 
 def chart(name, spark, folder):
     """The arrays as text, numbers as decimals, since engines print doubles differently."""
-    arrays = shaping.series(_build(name, spark, folder), name)
+    arrays = shaping.series(cut_lineage(_build(name, spark, folder), "insight"), name)
 
     def text(field):
         is_double = isinstance(field.dataType.elementType, T.DoubleType)

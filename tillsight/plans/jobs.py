@@ -76,13 +76,18 @@ def detail_job(spark: SparkSession, source, path: str | None = None, open_writer
     return None
 
 
-def training_job(spark: SparkSession, source, path: str) -> tuple[PipelineModel, DataFrame]:
-    """Trains on four fifths of the topic, saves the model, returns it and its test area."""
+def training_job(
+    spark: SparkSession, source, path: str, split=model.stable_split
+) -> tuple[PipelineModel, DataFrame]:
+    """Trains on four fifths of the topic, saves the model, returns it and its test area.
+
+    ``split`` may be ``model.random_split`` for a draw that varies with partitioning.
+    """
     rows = decode_transactions(
         source.read(spark, TRANSACTIONS_TOPIC), model.MODEL_INPUTS
     )
     complete = cut_lineage(model.complete_rows(rows), "model-inputs")
-    training, test = model.stable_split(complete)
+    training, test = split(complete)
     fitted = model.train(training)
     model.save(fitted, path)
     return fitted, model.area_under_roc(model.score(fitted, test))
