@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,16 +86,25 @@ def test_console_stream(spark, topics):
     assert query.exception() is None
 
 
-def test_cluster_without_shared_folder_is_refused():
-    class Conf:
-        def get(self, name, default):
-            return default
+class Session:
+    """A session without the setting for the shared folder."""
 
-    class Session:
-        conf = Conf()
+    def __init__(self, master):
+        self.conf = SimpleNamespace(get=lambda name, default: default)
+        self.sparkContext = SimpleNamespace(master=master, applicationId=master)
 
-        class sparkContext:
-            master = "yarn"
 
+def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
+        shared_folder(Session("yarn"))
+
+
+def test_local_session_gets_one_temporary_folder(monkeypatch, tmp_path):
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    session = Session("local[2]")
+    assert shared_folder(session) == shared_folder(session)
+    assert shared_folder(session).startswith(str(tmp_path))
+
+
+def test_shared_folder_is_that_of_the_cluster(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

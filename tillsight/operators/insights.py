@@ -7,6 +7,7 @@ task, however unevenly the groups are filled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,30 +21,43 @@ from tillsight.schema import TRANSACTION_FIELDS
 
 @dataclass(frozen=True)
 class Measure:
-    """An aggregate, the fields it reads, and its type.
+    """An aggregate, the fields it reads, and its type."""
 
-    A NULL id is not counted as a transaction; a fraud mark counts without one.
-    """
-
-    expression: Column
+    expression: Callable[[], Column]
     reads: tuple[str, ...]
-    type: T.DataType
+    type: T.DataType = T.LongType()
+
+
+def _transactions() -> Column:
+    """A row without an id is not counted, though its fraud mark is."""
+    return F.count("transaction_id")
+
+
+def _frauds() -> Column:
+    return F.count_if(is_fraud())
+
+
+def _amount(aggregate) -> Measure:
+    return Measure(lambda: aggregate("total_amount"), ("total_amount",), T.DoubleType())
+
+
+MEASURES: dict[str, Measure] = {
+    "transaction_count": Measure(_transactions, ("transaction_id",)),
+    "avg_transaction_amount": _amount(F.avg),
+    "max_transaction_amount": _amount(F.max),
+    "min_transaction_amount": _amount(F.min),
+    "fraud_count": Measure(_frauds, ("fraud_label",)),
+    "total_transactions": Measure(_transactions, ("transaction_id",)),
+    "fraud_percentage": Measure(
+        lambda: percentage(_frauds(), _transactions()),
+        ("transaction_id", "fraud_label"),
+        T.DoubleType(),
+    ),
+}
 
 
-def _measures() -> dict[str, Measure]:
-    frauds = F.count_if(is_fraud())
-    total = F.count("transaction_id")
-    amount = "total_amount"
-    id_and_label = ("transaction_id", "fraud_label")
-    return {
-        "transaction_count": Measure(total, ("transaction_id",), T.LongType()),
-        "avg_transaction_amount": Measure(F.avg(amount), (amount,), T.DoubleType()),
-        "max_transaction_amount": Measure(F.max(amount), (amount,), T.DoubleType()),
-        "min_transaction_amount": Measure(F.min(amount), (amount,), T.DoubleType()),
-        "fraud_count": Measure(frauds, ("fraud_label",), T.LongType()),
-        "total_transactions": Measure(total, ("transaction_id",), T.LongType()),
-        "fraud_percentage": Measure(percentage(frauds, total), id_and_label, T.DoubleType()),
-    }
+def _aggregates(names) -> list[Column]:
+    return [MEASURES[name].expression().alias(name) for name in names]
 
 
 # Dimensions that are computed, with the field they come from.
@@ -71,17 +85,15 @@ class Insight:
     def reads(self) -> tuple[str, ...]:
         """The transaction fields a job must decode for this table."""
         fields = {DERIVED.get(self.dimension, self.dimension)}
-        measures = _measures()
         for name in self.measures:
-            fields.update(measures[name].reads)
+            fields.update(MEASURES[name].reads)
         return tuple(name for name in TRANSACTION_FIELDS if name in fields)
 
     @property
     def schema(self) -> T.StructType:
-        measures = _measures()
         return T.StructType(
             [T.StructField(self.dimension, _dimension_type(self.dimension))]
-            + [T.StructField(name, measures[name].type) for name in self.measures]
+            + [T.StructField(name, MEASURES[name].type) for name in self.measures]
         )
 
     def build(self, transactions: DataFrame) -> DataFrame:
@@ -93,7 +105,7 @@ def _counts(topic, dimension, labels="labels", values="values") -> Insight:
     return Insight(topic, dimension, ("transaction_count",), series)
 
 
-def _frauds(topic, dimension, labels, measures=FRAUD_MEASURES) -> Insight:
+def _fraud_rates(topic, dimension, labels, measures=FRAUD_MEASURES) -> Insight:
     series = {labels: dimension, "fraud_percentages": "fraud_percentage"}
     return Insight(topic, dimension, measures, series)
 
@@ -114,13 +126,13 @@ INSIGHTS: dict[str, Insight] = {
     ),
     "city": _counts("city_analytics", "user_city", "cities", "transaction_counts"),
     "device": _counts("device_analytics", "user_device"),
-    "fraud": _frauds("fraud_analytics", "category", "categories", ("fraud_percentage",)),
-    "fraud_category": _frauds("fraud_category", "category", "categories"),
-    "fraud_payment": _frauds("fraud_payment", "payment_method", "payment_methods"),
-    "fraud_device": _frauds("fraud_device", "user_device", "devices"),
-    "fraud_city": _frauds("fraud_city", "user_city", "cities"),
-    "fraud_age": _frauds("fraud_age", "age_group", "age_groups"),
-    "fraud_income": _frauds("fraud_income", "income_group", "income_groups"),
+    "fraud": _fraud_rates("fraud_analytics", "category", "categories", ("fraud_percentage",)),
+    "fraud_category": _fraud_rates("fraud_category", "category", "categories"),
+    "fraud_payment": _fraud_rates("fraud_payment", "payment_method", "payment_methods"),
+    "fraud_device": _fraud_rates("fraud_device", "user_device", "devices"),
+    "fraud_city": _fraud_rates("fraud_city", "user_city", "cities"),
+    "fraud_age": _fraud_rates("fraud_age", "age_group", "age_groups"),
+    "fraud_income": _fraud_rates("fraud_income", "income_group", "income_groups"),
     "income": Insight("income_analytics", "user_income", ("avg_transaction_amount",)),
 }
 
@@ -154,9 +166,8 @@ def _dimension_column(dimension: str) -> Column:
 
 def summarize(transactions: DataFrame, dimension: str, measures) -> DataFrame:
     """One row per value of ``dimension``; NULL is a value of its own."""
-    available = _measures()
     return transactions.groupBy(_dimension_column(dimension).alias(dimension)).agg(
-        *[available[name].expression.alias(name) for name in measures]
+        *_aggregates(measures)
     )
 
 
@@ -178,18 +189,17 @@ def one_pass(transactions: DataFrame, names=tuple(INSIGHTS)) -> DataFrame:
     """
     tables = [insight(name) for name in names]
     dimensions = list(dict.fromkeys(table.dimension for table in tables))
-    wanted = {measure for table in tables for measure in table.measures}
-    available = {name: measure for name, measure in _measures().items() if name in wanted}
-    fields = dict.fromkeys(field for measure in available.values() for field in measure.reads)
+    measures = list(dict.fromkeys(name for table in tables for name in table.measures))
+    fields = dict.fromkeys(field for name in measures for field in MEASURES[name].reads)
     inputs = transactions.select(
         *[_dimension_column(name).alias(name) for name in dimensions], *fields
     )
     grouped = inputs.groupingSets([[name] for name in dimensions], *dimensions).agg(
         F.coalesce(*[F.when(F.grouping(name) == 0, name) for name in dimensions]).alias("dimension"),
-        *[measure.expression.alias(name) for name, measure in available.items()],
+        *_aggregates(measures),
     )
     key = F.coalesce(*[F.col(name).cast("string") for name in dimensions])
-    return grouped.select("dimension", key.alias("key"), *available)
+    return grouped.select("dimension", key.alias("key"), *measures)
 
 
 def pick(combined: DataFrame, name: str) -> DataFrame:

@@ -8,23 +8,24 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
     Executors on other machines must see it, so a cluster session without the
-    setting is an error. Only a local session gets a temporary folder, and the
-    setting is filled in so that later calls agree.
+    setting is an error. Only a local session gets a temporary folder.
     """
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tillsight-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tillsight-")
+    return _local_folders[context.applicationId]
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
