@@ -34,6 +34,7 @@ def test_area_is_that_of_the_evaluator(trained):
     ).evaluate(fitted.transform(test))
     found = area.first()[0]
     assert abs(found - exact) < 1e-9
+    assert abs(found - model.evaluator_area(model.score(fitted, test))) < 1e-3
     assert found > 0.55
 
 
@@ -52,6 +53,13 @@ def test_split_does_not_depend_on_partitions(spark, small):
     assert 0.75 < training.count() / rows.count() < 0.85
 
 
+def test_split_keeps_its_share_without_ids_and_with_one_hot_id(spark, medium):
+    rows = model.complete_rows(transactions(spark, medium))
+    for identity in (F.lit(None).cast("string"), F.lit("hot")):
+        training, _ = model.stable_split(rows.withColumn("transaction_id", identity))
+        assert 0.75 < training.count() / rows.count() < 0.85
+
+
 def test_random_split_covers_all_rows(spark, small):
     rows = model.complete_rows(transactions(spark, small))
     training, test = model.random_split(rows)

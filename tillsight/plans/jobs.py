@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +19,7 @@ from tillsight.operators.insights import (
 from tillsight.operators.latest import arrival
 from tillsight.schema import raw_schema
 from tillsight.sinks.detail_store import write_detail_parquet, write_detail_store
-from tillsight.sinks.publish import TRANSACTIONS_TOPIC, publish_insight
+from tillsight.sinks.publish import TRANSACTIONS_TOPIC, new_run_id, publish_insight
 from tillsight.workspace import cut_lineage
 
 
@@ -33,7 +31,7 @@ def insight_job(spark: SparkSession, source, target, names, run_id: int | None =
     """
     rows = decode_transactions(source.read(spark, TRANSACTIONS_TOPIC), fields_for(names))
     combined = cut_lineage(one_pass(rows, names), "insights")
-    run_id = time.time_ns() if run_id is None else run_id
+    run_id = new_run_id() if run_id is None else run_id
     tables = {name: pick(combined, name) for name in names}
     for name, table in tables.items():
         publish_insight(table, target, insight(name).topic, run_id)

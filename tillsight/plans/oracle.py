@@ -191,7 +191,9 @@ def _features():
 
 
 def _split():
-    draw = "CAST('0x' || substr(md5(transaction_id), 1, 8) AS BIGINT)"
+    names = ["transaction_id", *_CATEGORICAL, "quantity", "user_age", "user_income"]
+    record = f"concat_ws('|', {', '.join(names)})"
+    draw = f"CAST('0x' || substr(md5({record}), 1, 8) AS BIGINT)"
     part = f"CASE WHEN {draw} < 3435973836 THEN 'training' ELSE 'test' END AS part"
     return _from(f"transaction_id, {part}", rest=f"WHERE {_COMPLETE}")
 

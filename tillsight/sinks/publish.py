@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +29,13 @@ def publish_insight(
 
 
 def publish_insight_batch(insight: DataFrame, topics, topic: str, batch_id: int) -> None:
-    """The same from a micro-batch, whose id serves as the run id."""
-    topics.write_batch(_stamped(insight, batch_id, True), topic, batch_id)
+    """The same from a micro-batch, as a run of its own."""
+    topics.write_batch(_stamped(insight, new_run_id(), True), topic, batch_id)
+
+
+def new_run_id() -> int:
+    """Rises from run to run, for batch jobs and streams alike."""
+    return time.time_ns()
 
 
 def _stamped(insight, run_id, ignore_null_fields):

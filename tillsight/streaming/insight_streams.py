@@ -40,8 +40,8 @@ def start_insight(
 ) -> StreamingQuery:
     """One insight table kept up to date in its topic.
 
-    Complete mode: each trigger sends the whole table, with the batch id as
-    run id, so readers take the latest run.
+    Complete mode: each trigger sends the whole table as a run of its own, so
+    readers take the latest run.
     """
     wanted = insight(name)
     table = wanted.build(
