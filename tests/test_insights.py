@@ -126,10 +126,18 @@ def test_series_of_unknown_or_chartless_insight(spark):
         shaping.series(table, "income")
 
 
-def test_series_of_too_many_points_is_refused(spark):
-    table = spark.range(50).select(
-        F.col("id").cast("string").alias("payment_method"), F.lit(1).alias("transaction_count")
+def test_large_series_comes_in_several_rows(spark):
+    table = spark.range(500).select(
+        F.col("id").cast("string").alias("payment_method"), F.col("id").alias("transaction_count")
     )
-    assert len(shaping.series(table, "payment_method", 50).first().labels) == 50
-    with pytest.raises(Exception, match="50 points are too many"):
-        shaping.series(table, "payment_method", 49).collect()
+    assert len(shaping.series(table, "payment_method", 500).collect()) == 1
+    rows = shaping.series(table, "payment_method", 50).collect()
+    assert len(rows) == 10 and max(len(row.labels) for row in rows) < 100
+    points = [pair for row in rows for pair in zip(row.labels, row.values)]
+    assert sorted(points) == sorted((str(i), i) for i in range(500))
+    assert all(row.labels == sorted(row.labels) for row in rows)
+
+
+def test_series_of_an_empty_table(spark):
+    table = spark.createDataFrame([], "payment_method string, transaction_count bigint")
+    assert shaping.series(table, "payment_method").isEmpty()

@@ -62,7 +62,8 @@ def run(spark: SparkSession, options) -> None:
             area.show()
         case "series":
             table = read_insight(spark, topics, options.name, latest=True)
-            print(series_json(table, options.name).first().value)
+            for document in series_json(table, options.name).toLocalIterator():
+                print(document.value)
         case "stream":
             start_insights(
                 spark, topics, topics, options.names, options.checkpoint,

@@ -20,30 +20,29 @@ def with_share(counts: DataFrame, value: str = "transaction_count") -> DataFrame
     )
 
 
-MOST_POINTS = 100_000
+POINTS_PER_ROW = 100_000
 
 
-def series(table: DataFrame, name: str, most_points: int = MOST_POINTS) -> DataFrame:
+def series(table: DataFrame, name: str, points_per_row: int = POINTS_PER_ROW) -> DataFrame:
     """An insight table as one row of parallel arrays, ordered by the first.
 
-    The row is built by one task, so a table of more than ``most_points`` rows
-    is refused before any are gathered. As its rows are counted first, ``table``
-    should be a stored one, as read back from its topic.
+    A row is built by one task. A table of more than about ``points_per_row``
+    points comes as several rows, each point in one of them. As the table's
+    rows are counted first, it should be a stored one, as read from its topic.
     """
-    arrays = insight(name).series
-    if arrays is None:
+    wanted = insight(name)
+    if wanted.series is None:
         raise ValueError(f"insight {name!r} has no chart")
-    rows = table.agg(F.count("*")).scalar()
-    refusal = F.raise_error(F.concat(rows.cast("string"), F.lit(" points are too many to chart")))
-    point = F.when(rows <= most_points, F.struct(*arrays.values())).otherwise(refusal)
-    points = table.select(point.alias("point")).agg(
-        F.array_sort(F.array_agg("point")).alias("points")
+    rows_needed = F.ceil(table.agg(F.count("*")).scalar() / points_per_row)
+    points = F.array_sort(F.array_agg(F.struct(*wanted.series.values())))
+    grouped = table.groupBy(F.pmod(F.xxhash64(*table.columns), rows_needed).alias("row")).agg(
+        points.alias("points")
     )
-    return points.select(*[
-        F.col("points").getField(column).alias(label) for label, column in arrays.items()
+    return grouped.select(*[
+        F.col("points").getField(column).alias(label) for label, column in wanted.series.items()
     ])
 
 
 def series_json(table: DataFrame, name: str) -> DataFrame:
-    """The same as one JSON document."""
+    """The same as JSON documents."""
     return series(table, name).select(F.to_json(F.struct("*")).alias("value"))
