@@ -36,3 +36,9 @@ def test_only_needed_tables_are_read(name, tables, spark, small):
     plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     every = {"lineitem", "orders", "customer", "nation", "part"}
     assert {table for table in every if f"/{table}.parquet" in plan} == tables
+
+
+def test_checks_read_only_needed_tables(spark, small):
+    for name, tables in [("dq_duplicate_ids", 1), ("dq_amount_mismatch", 1), ("dq_range_violations", 2)]:
+        plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(".parquet") == tables

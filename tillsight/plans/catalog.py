@@ -121,8 +121,9 @@ def published(spark, folder):
 def insight_latest(spark, folder):
     """Two runs over different data; the second must come out alone."""
     topics, wanted = _new_topics(spark), insights.insight("fraud_category")
-    for run_id, rows in enumerate([dirty_transactions(spark, folder), transactions(spark, folder)]):
-        publish_insight(wanted.build(rows), topics, wanted.topic, run_id)
+    for run_id, rows in enumerate([dirty_transactions, transactions]):
+        table = wanted.build(rows(spark, folder, wanted.reads))
+        publish_insight(table, topics, wanted.topic, run_id)
     return read_insight(spark, topics, "fraud_category", latest=True).drop("run_id")
 
 
@@ -139,7 +140,8 @@ def table(name, spark, folder):
 
 
 def insights_one_pass(spark, folder):
-    return _rounded(insights.one_pass(transactions(spark, folder, insights.fields_for(insights.INSIGHTS))))
+    fields = insights.fields_for(insights.INSIGHTS)
+    return _rounded(insights.one_pass(transactions(spark, folder, fields)))
 
 
 def share(name, spark, folder):
@@ -189,7 +191,8 @@ def score_auc(spark, folder):
 
 
 def dq_amount_mismatch(spark, folder):
-    found = quality.amount_mismatches(dirty_transactions(spark, folder))
+    fields = ["transaction_id", "total_amount", "price", "quantity"]
+    found = quality.amount_mismatches(dirty_transactions(spark, folder, fields))
     return found.select(
         "transaction_id", "total_amount", "expected_amount",
         F.round("difference", DECIMALS).alias("difference"),
@@ -205,15 +208,16 @@ def dq_domain_violations(spark, folder):
         .select(F.col("p_type").alias("category"), F.col("p_brand").alias("sub_category"))
         .distinct(),
     }
-    return quality.domain_violations(dirty_transactions(spark, folder), allowed)
+    fields = ["transaction_id", "user_city", "category", "sub_category"]
+    return quality.domain_violations(dirty_transactions(spark, folder, fields), allowed)
 
 
 def dq_duplicate_ids(spark, folder):
-    return quality.duplicate_ids(dirty_transactions(spark, folder))
+    return quality.duplicate_ids(dirty_transactions(spark, folder, ["transaction_id"]))
 
 
 def dq_range_violations(spark, folder):
-    return quality.range_violations(dirty_transactions(spark, folder))
+    return quality.range_violations(dirty_transactions(spark, folder, quality.RANGES))
 
 
 def quarantine_rows(spark, folder):
@@ -261,7 +265,8 @@ def _trained(spark, folder):
 
 def fraud_model_predict(spark, folder):
     fitted, _ = _trained(spark, folder)
-    _, test = model.stable_split(model.complete_rows(transactions(spark, folder, model.MODEL_INPUTS)))
+    rows = model.complete_rows(transactions(spark, folder, model.MODEL_INPUTS))
+    _, test = model.stable_split(rows)
     scored = model.score(fitted, test)
     return scored.select("transaction_id", "fraud_label", "prediction", "fraud_probability")
 
@@ -277,7 +282,7 @@ def stream(name, spark, folder):
     topics, checkpoint = _new_topics(spark), fresh_folder(spark, "stream")
     source = feed(spark, folder)
     streams.start_insight(
-        spark, source, topics, name, checkpoint, max_per_trigger=2, available_now=True
+        spark, source, topics, name, checkpoint, available_now=True
     ).awaitTermination()
     return _rounded(read_insight(spark, topics, name, latest=True).drop("run_id"))
 
@@ -287,7 +292,7 @@ def stream_insights(spark, folder):
     topics, checkpoint = _new_topics(spark), fresh_folder(spark, "stream")
     source, names = feed(spark, folder), insights.FRAUD_INSIGHTS
     streams.start_insights(
-        spark, source, topics, names, checkpoint, max_per_trigger=2, available_now=True
+        spark, source, topics, names, checkpoint, available_now=True
     ).awaitTermination()
     result = None
     for name in names:
@@ -304,7 +309,7 @@ def stream_insights(spark, folder):
 def stream_decode(spark, folder):
     path, checkpoint = fresh_folder(spark, "decoded"), fresh_folder(spark, "stream")
     streams.start_decode(
-        spark, feed(spark, folder), path, checkpoint, max_per_trigger=2, available_now=True
+        spark, feed(spark, folder), path, checkpoint, available_now=True
     ).awaitTermination()
     return spark.read.parquet(path)
 

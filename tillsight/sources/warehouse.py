@@ -27,21 +27,25 @@ def transactions(spark: SparkSession, folder: str, columns=None) -> DataFrame:
     return _projected(spark, folder, wanted).select(*wanted)
 
 
-def dirty_transactions(spark: SparkSession, folder: str) -> DataFrame:
+def dirty_transactions(spark: SparkSession, folder: str, columns=None) -> DataFrame:
     """The same rows with faults for the quality checks.
 
     Ids are shortened until some repeat, some are missing, and some totals are
     off by one. ``unreadable`` marks rows whose payload is to be junk.
     """
-    rows = _projected(spark, folder, COLUMNS)
-    return rows.withColumns({
+    wanted = typed_schema(columns).names
+    faults = {
         "transaction_id": F.when(
             F.col("l_orderkey") % 223 != 0, F.concat_ws("-", "l_orderkey", "l_linenumber")
         ),
         "total_amount": F.col("total_amount")
         + F.when(F.col("l_partkey") % 113 == 0, 1.0).otherwise(0.0),
+    }
+    rows = _projected(spark, folder, wanted)
+    return rows.withColumns({
+        **{name: fault for name, fault in faults.items() if name in wanted},
         "unreadable": F.col("l_orderkey") % 211 == 0,
-    }).select(*COLUMNS, "unreadable")
+    }).select(*wanted, "unreadable")
 
 
 def chargebacks(rows: DataFrame) -> DataFrame:
