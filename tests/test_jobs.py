@@ -70,6 +70,19 @@ def test_stream_equals_batch_and_resumes(spark, small, topics, tmp_path):
     assert comparable(latest) == comparable(insight("fraud_category").build(rows.unionAll(rows)))
 
 
+def test_one_stream_for_several_insights(spark, small, topics, tmp_path):
+    names = ["category", "fraud_income", "city"]
+    query = streams.start_insights(
+        spark, topics, topics, names, str(tmp_path / "checkpoint"), max_per_trigger=1,
+        available_now=True,
+    )
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 4
+    for name in names:
+        latest = read_insight(spark, topics, name, latest=True).drop("run_id")
+        assert comparable(latest) == comparable(insight(name).build(transactions(spark, small)))
+
+
 def test_stream_of_records(spark, small, topics, tmp_path):
     path = str(tmp_path / "records")
     streams.start_decode(

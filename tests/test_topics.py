@@ -1,8 +1,8 @@
 from pyspark.sql import functions as F
 
 from tillsight.operators.insights import fraud_by
-from tillsight.operators.latest import ARRIVAL, arrival, latest_by_key, read_insight
-from tillsight.schema import ENVELOPE
+from tillsight.operators.latest import ARRIVAL, arrival_order, latest_by_key, read_insight
+from tillsight.schema import COLUMNS, ENVELOPE
 from tillsight.sinks.csv_files import write_csv
 from tillsight.sinks.publish import publish_insight, publish_insight_batch
 from tillsight.sources.csv_files import read_csv
@@ -54,6 +54,15 @@ def test_latest_run_only(spark, tmp_path):
     assert {tuple(row) for row in latest.collect()} == {("PayPal", 2, 10), (None, 3, 10)}
 
 
+def test_latest_run_reads_the_topic_once(spark, tmp_path):
+    topics = FileTopics(str(tmp_path))
+    publish_insight(table(spark, [("PayPal", 1)]), topics, "payment_method_analytics", run_id=1)
+    latest = read_insight(spark, topics, "payment_method", latest=True)
+    latest.collect()
+    final = latest._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+
+
 def test_latest_without_run_ids_is_the_last_message_per_group(spark, tmp_path):
     topics = FileTopics(str(tmp_path))
     for count in (1, 2):
@@ -81,9 +90,8 @@ def test_csv_keeps_quotes_commas_and_breaks(spark, tmp_path):
     awkward = ['say "hi"', "a,b", "two\nlines", "", None, "é"]
     rows = spark.createDataFrame([(str(i), text) for i, text in enumerate(awkward)],
                                  "transaction_id string, category string")
-    names = read_csv_columns()
     full = rows.select(*[
-        (F.col(name) if name in rows.columns else F.lit("x")).alias(name) for name in names
+        (F.col(name) if name in rows.columns else F.lit("x")).alias(name) for name in COLUMNS
     ])
     path = str(tmp_path / "csv")
     write_csv(full, path)
@@ -91,16 +99,10 @@ def test_csv_keeps_quotes_commas_and_breaks(spark, tmp_path):
     assert [found[str(i)] or None for i in range(len(awkward))] == [text or None for text in awkward]
 
 
-def read_csv_columns():
-    from tillsight.schema import COLUMNS
-
-    return COLUMNS
-
-
 def test_arrival_is_a_total_order(spark, tmp_path):
     topics = FileTopics(str(tmp_path))
     topics.write(spark.range(10).select(F.col("id").cast("string").alias("value")), "t")
-    assert topics.read(spark, "t").select(arrival()).distinct().count() == 10
+    assert topics.read(spark, "t").select(arrival_order()).distinct().count() == 10
 
 
 def test_null_group_comes_back(spark, tmp_path):

@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 from tillsight.functions.codec import decode_rows
 from tillsight.operators.insights import insight
 
-# Order in which messages of a topic arrived.
+# Envelope columns that tell in which order messages of a topic arrived.
 ARRIVAL = ("timestamp", "partition", "offset")
 
 
-def arrival() -> Column:
+def arrival_order() -> Column:
     return F.struct(*ARRIVAL).alias("arrival")
 
 
@@ -39,8 +39,9 @@ def read_insight(spark: SparkSession, topics, name: str, latest: bool = False) -
     messages = topics.read(spark, wanted.topic)
     if not latest:
         return decode_rows(messages, schema)
-    rows = decode_rows(messages.withColumn("arrival", arrival()), schema, keep=["arrival"])
-    last_run = rows.agg(F.max("run_id")).scalar()
-    return latest_by_key(
-        rows.filter(F.col("run_id").eqNullSafe(last_run)), wanted.dimension
-    )
+    rows = decode_rows(messages.withColumn("arrival", arrival_order()), schema, keep=["arrival"])
+    by_run = rows.withColumn("arrival", F.struct("run_id", "arrival"))
+    newest = latest_by_key(by_run, wanted.dimension)
+    # The subquery reuses the aggregate above it, so both see one state of the topic.
+    last_run = newest.agg(F.max("run_id")).scalar()
+    return newest.filter(F.col("run_id").eqNullSafe(last_run))

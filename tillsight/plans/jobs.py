@@ -16,7 +16,7 @@ from tillsight.operators.insights import (
     one_pass,
     pick,
 )
-from tillsight.operators.latest import arrival
+from tillsight.operators.latest import arrival_order
 from tillsight.schema import raw_schema
 from tillsight.sinks.detail_store import write_detail_parquet, write_detail_store
 from tillsight.sinks.publish import TRANSACTIONS_TOPIC, new_run_id, publish_insight
@@ -54,7 +54,7 @@ def show(tables: dict[str, DataFrame], rows: int = 20) -> None:
 
 def arrivals(spark: SparkSession, source) -> DataFrame:
     """Typed transactions with the order in which they arrived."""
-    messages = source.read(spark, TRANSACTIONS_TOPIC).withColumn("arrival", arrival())
+    messages = source.read(spark, TRANSACTIONS_TOPIC).withColumn("arrival", arrival_order())
     return apply_types(decode_rows(messages, raw_schema(), keep=["arrival"]))
 
 
