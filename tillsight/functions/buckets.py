@@ -20,11 +20,9 @@ INCOME_GROUPS = [
 def bucket(column, groups) -> Column:
     """The name of the first group whose bound exceeds the value; NULL stays NULL."""
     value = F.col(column)
-    result = F.when(value.isNull(), F.lit(None).cast("string"))
-    for upper, name in groups:
-        matches = value.isNotNull() if upper is None else value < upper
-        result = result.when(matches, name)
-    return result
+    *bounded, (_, last) = groups
+    branches = [F.when(value < upper, name) for upper, name in bounded]
+    return F.coalesce(*branches, F.when(value.isNotNull(), last))
 
 
 def age_group(column="user_age") -> Column:
