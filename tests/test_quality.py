@@ -119,8 +119,20 @@ def test_area_equals_counting_pairs(spark):
     for distinct in (2, 7, 400):
         pairs = [(float(draw.randrange(distinct)), draw.randrange(2)) for _ in range(600)]
         df = spark.createDataFrame(pairs, "score double, label int")
-        for buckets in (2, 5, 256):
-            assert abs(area(df, buckets=buckets) - brute_force_area(pairs)) < 1e-12
+        for ranges in (None, 1, 5, 20):
+            assert abs(area(df, ranges=ranges) - brute_force_area(pairs)) < 1e-12
+
+
+def test_area_when_ranges_are_split_over_files(spark):
+    setting = "spark.sql.files.maxRecordsPerFile"
+    draw = random.Random(6)
+    pairs = [(draw.random(), draw.randrange(2)) for _ in range(600)]
+    df = spark.createDataFrame(pairs, "score double, label int")
+    spark.conf.set(setting, 17)
+    try:
+        assert abs(area(df, ranges=3) - brute_force_area(pairs)) < 1e-12
+    finally:
+        spark.conf.unset(setting)
 
 
 def test_area_with_a_third_of_rows_on_one_score(spark):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,44 +21,45 @@ def risk_calibration(transactions: DataFrame, rules: RiskRules = RiskRules()) ->
     return fraud_by(with_risk(transactions, rules), "risk")
 
 
-def score_auc(rows: DataFrame, score: str, label: str, buckets: int = 256) -> DataFrame:
+def score_auc(rows: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
     """Area under the ROC curve, exact, as one row.
 
     Counts pairs of a positive and a negative in which the positive scores
     higher, ties as half. Distinct scores may be as many as rows, so they are
-    not ranked in one task: score quantiles cut them into buckets, each bucket
-    is ranked by itself, and only one total per bucket is put in order at last.
-    Where the cuts lie affects balance, not the result. Rows without a score or
-    label are left out; with only one class the area is NULL.
+    not ranked in one task: they are written in as many ranges as shuffles have
+    partitions (or ``ranges``), a file each, every file is ranked by itself, and
+    only one total per file is put in order at last. How the ranges are cut
+    affects balance, not the result. Rows without a score or label are left
+    out; with only one class the area is NULL.
     """
     scored = rows.select(
         F.col(score).cast("double").alias("score"), (F.col(label) == 1).alias("positive")
     ).dropna()
-    groups = cut_lineage(
-        scored.groupBy("score").agg(
-            F.count_if("positive").alias("positives"),
-            F.count_if(~F.col("positive")).alias("negatives"),
-        ),
-        "score-groups",
+    groups = scored.groupBy("score").agg(
+        F.count_if("positive").alias("positives"),
+        F.count_if(~F.col("positive")).alias("negatives"),
     )
-    cutter = QuantileDiscretizer(numBuckets=buckets, inputCol="score", outputCol="bucket")
-    bucketed = cutter.fit(groups).transform(groups)
+    number = [] if ranges is None else [ranges]
+    in_ranges = groups.repartitionByRange(*number, "score").sortWithinPartitions("score")
+    stored = cut_lineage(in_ranges, "score-groups")
 
     def preceding_negatives(window):
         return F.coalesce(F.sum("negatives").over(window.rowsBetween(_FIRST, -1)), F.lit(0))
 
-    in_bucket = Window.partitionBy("bucket").orderBy("score")
+    in_range = Window.partitionBy("range").orderBy("score")
     totals = (
-        bucketed.withColumn("below", preceding_negatives(in_bucket))
-        .groupBy("bucket")
+        stored.withColumn("range", F.col("_metadata.file_path"))
+        .withColumn("below", preceding_negatives(in_range))
+        .groupBy("range")
         .agg(
+            F.min("score").alias("lowest"),
             F.sum("positives").alias("positives"),
             F.sum("negatives").alias("negatives"),
             F.sum(F.col("positives") * (F.col("below") + F.col("negatives") / 2)).alias("pairs"),
         )
     )
-    over_buckets = totals.withColumn("below", preceding_negatives(Window.orderBy("bucket")))
-    return over_buckets.agg(
+    over_ranges = totals.withColumn("below", preceding_negatives(Window.orderBy("lowest")))
+    return over_ranges.agg(
         F.try_divide(
             F.sum(F.col("pairs") + F.col("positives").cast("double") * F.col("below")),
             F.sum("positives").cast("double") * F.sum("negatives"),
