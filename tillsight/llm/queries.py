@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillsight.llm.byte_bpe import bpe_digest
 from tillsight.llm.line_dedup import line_dedup_digest
 from tillsight.llm.quality import quality_verdicts
 from tillsight.llm.shipping import ship
+from tillsight.llm.toxicity import toxicity_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,16 +18,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe_digest(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
+    "op6_byte_bpe": op6_byte_bpe,
     "op10_line_dedup": op10_line_dedup,
 }
 

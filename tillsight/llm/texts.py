@@ -18,7 +18,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-_LETTER_BASE = np.uint64(0x9E3779B97F4A7C15)
+_LETTER_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 #: Odd multipliers of the two independent halves of a window's hash.
 WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _CHUNK_BYTES = 4 << 20
@@ -86,13 +86,15 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
+def word_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: bool = False
+) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, or a second one independent of it."""
     lengths = ends - starts
     hashes = np.empty(len(starts), dtype=np.uint64)
     if not len(starts):
         return hashes
-    powers = np.full(int(lengths.max()), _LETTER_BASE, dtype=np.uint64)
+    powers = np.full(int(lengths.max()), _LETTER_BASES[other], dtype=np.uint64)
     powers = np.cumprod(powers, dtype=np.uint64)
     groups = np.cumsum(lengths) // _CHUNK_BYTES
     edges = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(starts)]
