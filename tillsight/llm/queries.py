@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.llm.byte_bpe import bpe_digest
 from tillsight.llm.line_dedup import line_dedup_digest
+from tillsight.llm.packing import pack_documents
+from tillsight.llm.pii import personal_data_digest
 from tillsight.llm.quality import quality_verdicts
 from tillsight.llm.shipping import ship
 from tillsight.llm.toxicity import toxicity_scores
+from tillsight.llm.vector_search import nearest
+from tillsight.llm.warc import archived_and_read_back
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -33,18 +42,48 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_and_read_back(table(spark, sf_dir, "pages"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vector_search": op1_vector_search,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_pii": op7_pii,
+    "op8_packing": op8_packing,
+    "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE = {
+    "op9_warc": """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p
+), g AS (
+    SELECT payload_digest, payload_bytes, max(page_id) AS response FROM d
+    WHERE payload_bytes >= 1000 GROUP BY ALL
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response > page_id THEN response END AS refers_to
+FROM d LEFT JOIN g USING (payload_digest, payload_bytes)
+""",
     "op10_line_dedup": r"""
 WITH lines AS (
     SELECT doc_id, u.pos AS pos, u.line AS line,

@@ -235,16 +235,23 @@ def learn_lexicon(sample: DataFrame) -> list[str]:
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .filter("toxic >= 3")
-        .select("term", (odds / error).alias("z"), share.alias("share"))
+        .select("term", "toxic", (odds / error).alias("z"), share.alias("share"))
         .filter((F.col("z") >= LEAST_Z) & (F.col("share") >= LEAST_PRECISION))
         .orderBy(F.desc("z"), "term")
         .limit(LEXICON_ENTRIES)
         .collect()
     )
-    chosen = [row["term"] for row in terms]
-    stems = {term[:-1] for term in chosen if term.endswith("*")}
-    shorter = lambda stem: any(stem[:n] in stems for n in range(STEM_LENGTHS[0], len(stem)))
-    return [term for term in chosen if not (term.endswith("*") and shorter(term[:-1]))]
+    counts = {row["term"]: row["toxic"] for row in terms}
+    stems = {term[:-1] for term in counts if term.endswith("*")}
+
+    def needless(stem: str) -> bool:
+        """A shorter stem covers it, or one whole word is nearly all that it finds."""
+        return any(stem[:n] in stems for n in range(STEM_LENGTHS[0], len(stem))) or any(
+            not term.endswith("*") and term.startswith(stem) and 10 * found >= 9 * counts[stem + "*"]
+            for term, found in counts.items()
+        )
+
+    return [term for term in counts if not (term.endswith("*") and needless(term[:-1]))]
 
 
 def fit_weights(features: np.ndarray, toxic: np.ndarray, penalty: float = 1.0) -> np.ndarray:
