@@ -22,11 +22,15 @@ from pyspark.sql.window import Window
 from tillsight.workspace import cut_lineage
 
 TREES = 16
-LEAF_ROWS = 32
+LEAF_ROWS = 128
 #: Numbers in the sample that the forest is fitted on, at most: 65,536 vectors of 64.
 SAMPLE_VALUES = 1 << 22
-#: Candidates that a query collects, about, before it stops opening leaves.
-CANDIDATES = 3_000
+#: Candidates that a query collects at least before it stops opening leaves.
+LEAST_CANDIDATES = 3_000
+#: How many more it collects is measured: the share of the sample after which
+#: this part of the true neighbours of some sample vectors has turned up.
+TARGET_RECALL = 0.97
+PROBES = 64
 #: Rows of one task's group of leaves, about.
 GROUP_ROWS = 20_000
 
@@ -113,13 +117,14 @@ class Forest:
         unit = self._unit(rows)
         return np.stack([tree.leaf_of(unit) for tree in self.trees], axis=1)
 
-    def search(self, rows: np.ndarray, candidates: int) -> list[list[tuple[int, int]]]:
+    def search(self, rows: np.ndarray, candidates: float) -> list[list[tuple[int, int]]]:
         """The (tree, leaf) pairs that each row opens, nearest branches of all trees first."""
         unit = self._unit(rows)
         margins = [unit @ tree.directions.T - tree.cuts for tree in self.trees]
         return [self._open([m[i] for m in margins], candidates) for i in range(len(rows))]
 
-    def _open(self, margins: list[np.ndarray], candidates: int) -> list[tuple[int, int]]:
+    def _open(self, margins: list[np.ndarray], candidates: float) -> list[tuple[int, int]]:
+        """Leaves are opened until they hold ``candidates`` rows, those in several trees counted again."""
         queue = [(0.0, t, 0 if len(tree.cuts) else -1) for t, tree in enumerate(self.trees)]
         opened, found = [], 0.0
         while queue and found < candidates:
@@ -131,10 +136,27 @@ class Forest:
                 heapq.heappush(queue, (max(missed, abs(float(side))), t, int(far)))
                 node = int(near)
             opened.append((t, -1 - node))
-            # a leaf in all trees holds the same rows again and again; count a tree's share of them
             found += self.scale * tree.leaves[-1 - node]
         return opened
 
+    def needed_share(self, sample: np.ndarray, k: int) -> float:
+        """Rows to open, as a share of all, to find most true neighbours of some sample rows."""
+        if len(sample) <= k:
+            return 1.0
+        unit = self._unit(sample)
+        probes = np.arange(0, len(sample), max(1, len(sample) // PROBES))
+        near = unit[probes] @ unit.T
+        near[np.arange(len(probes)), probes] = -np.inf
+        truth = np.argpartition(-near, k - 1, axis=1)[:, :k]
+        leaves = self.leaves(sample)
+        reached = []
+        for opened, wanted in zip(self.search(sample[probes], self.scale * len(sample)), truth):
+            sizes = np.cumsum([self.trees[t].leaves[leaf] for t, leaf in opened])
+            at = {pair: size for pair, size in zip(opened, sizes)}
+            for row in wanted:
+                reached.append(min(at.get((t, leaf), np.inf) for t, leaf in enumerate(leaves[row].tolist())))
+        return float(min(1.0, np.quantile(reached, TARGET_RECALL, method="higher") / len(sample)))
+
 
 def _usable(vectors: DataFrame) -> DataFrame:
     """Rows that take part, with two hashes that equal vectors share."""
@@ -149,15 +171,22 @@ def _usable(vectors: DataFrame) -> DataFrame:
     )
 
 
-def fit_forest(rows: DataFrame, trees: int, leaf_rows: int, sample_values: int) -> Forest | None:
-    """From the vectors with the smallest hashes; None if there are none."""
+def fit_forest(
+    rows: DataFrame, k: int, trees: int, leaf_rows: int, sample_values: int
+) -> tuple[Forest, float] | None:
+    """From the vectors with the smallest hashes; the forest and the candidates to collect.
+
+    None if there are no vectors.
+    """
     size = rows.agg(F.count("*").alias("rows"), F.max(F.size("vector")).alias("width")).first()
     if not size["rows"]:
         return None
     limit = max(1, sample_values // size["width"])
     sample = rows.select("vector", "key", "key2", "vec_id").orderBy("key", "key2", "vec_id").limit(limit)
     columns = sample.select("vector").toArrow()["vector"].combine_chunks()
-    return Forest.fit(matrix(columns, size["width"]), size["rows"], trees, leaf_rows)
+    known = matrix(columns, size["width"])
+    forest = Forest.fit(known, size["rows"], trees, leaf_rows)
+    return forest, max(LEAST_CANDIDATES, forest.needed_share(known, k) * size["rows"])
 
 
 def _assigned(forest):
@@ -179,7 +208,7 @@ def _assigned(forest):
     return run
 
 
-def _searched(forest, candidates: int):
+def _searched(forest, candidates: float):
     """(tree, leaf) that each query opens, and the query."""
 
     def run(batches):
@@ -243,7 +272,7 @@ def _width(table: pa.Table) -> int:
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = TREES, leaf_rows: int = LEAF_ROWS,
-    candidates: int = CANDIDATES, sample_values: int = SAMPLE_VALUES,
+    sample_values: int = SAMPLE_VALUES,
 ) -> DataFrame:
     """The ``k`` nearest found of ``vectors`` for each of ``queries``, both (vec_id, embedding).
 
@@ -262,9 +291,10 @@ def nearest(
     )
     asked = cut_lineage(_usable(queries), "vector-queries")
     result = "query_id bigint, rank int, vec_id bigint, score double"
-    forest = fit_forest(rows, trees, leaf_rows, sample_values)
-    if forest is None:
+    fitted = fit_forest(rows, k, trees, leaf_rows, sample_values)
+    if fitted is None:
         return spark.createDataFrame([], result)
+    forest, candidates = fitted
     known = spark.sparkContext.broadcast(forest)
     unique = asked.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
     placed = rows.select("vec_id", "vector").mapInArrow(
