@@ -12,6 +12,7 @@ from tillsight.llm.packing import pack_documents
 from tillsight.llm.pii import personal_data_digest
 from tillsight.llm.quality import quality_verdicts
 from tillsight.llm.shipping import ship
+from tillsight.llm.substring_dedup import substring_dedup_digest
 from tillsight.llm.toxicity import toxicity_scores
 from tillsight.llm.vector_search import nearest
 from tillsight.llm.warc import archived_and_read_back
@@ -27,6 +28,10 @@ def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,6 +65,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_search": op1_vector_search,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
