@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.llm.byte_bpe import bpe_digest
 from tillsight.llm.line_dedup import line_dedup_digest
+from tillsight.llm.ngram_join import linked_components
 from tillsight.llm.packing import pack_documents
 from tillsight.llm.pii import personal_data_digest
 from tillsight.llm.quality import quality_verdicts
@@ -28,6 +29,10 @@ def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_components(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup_digest(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_search": op1_vector_search,
+    "op2_ngram_join": op2_ngram_join,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
