@@ -473,10 +473,10 @@ def linked_components(
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The document of least id of every component, with the columns it has.
 
-    Rows of one id and text are the same document and the first of them stays;
+    Rows of one id and text are the same document and one of them stays;
     rows without an id stay.
     """
     found = linked_components(docs, percent)
     kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     unnamed = docs.filter("doc_id is null")
-    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"]).union(unnamed)
+    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id", "text"]).union(unnamed)
