@@ -22,8 +22,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillsight.llm.texts import pieces, word_hashes
+from tillsight.llm.texts import boxed, pieces, unboxed, word_hashes
 
 #: Pieces that a worker remembers before it starts afresh, and half as many transitions.
 MEMORY = 400_000
@@ -407,42 +408,37 @@ def _vocabulary(spark, path: str):
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``docs`` with ``token_ids`` in place of ``text``; a null or empty text has none."""
     lines = _vocabulary(docs.sparkSession, ranks_path)
-    rest = [f for f in docs.schema.fields if f.name not in ("text", "token_ids")]
-    names = [f.name for f in rest]
 
     def run(batches):
         encoder, *_ = compiled(lines.value, pattern)
         for piece in pieces(batches, limit=_BATCH_BYTES):
             ids, bounds = encoder.encode_batch([t or "" for t in piece.column("text").to_pylist()])
             lists = pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(ids.astype(np.int32)))
-            yield pa.record_batch(
-                [*(piece.column(name) for name in names), lists],
-                names=[*names, "token_ids"],
-            )
+            yield pa.record_batch([piece.column("row"), lists], names=["row", "token_ids"])
 
-    columns = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest)
-    return docs.select(*[f"`{n}`" for n in names], F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"{columns}token_ids array<int>"
-    )
+    rows = boxed(docs.drop("token_ids").withColumn("text", F.col("text").cast("string")))
+    kinds = T.StructType([rows.schema["row"], T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
+    return _replaced(rows.mapInArrow(run, kinds), docs.columns, "text", "token_ids")
 
 
 def decode_documents(coded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``coded`` with ``text`` in place of ``token_ids``; null reads as no tokens."""
     lines = _vocabulary(coded.sparkSession, ranks_path)
-    rest = [f for f in coded.schema.fields if f.name not in ("text", "token_ids")]
-    names = [f.name for f in rest]
 
     def run(batches):
         _, decoder, _ = compiled(lines.value, pattern)
         for batch in batches:
-            texts = [decoder.decode(ids or ()) for ids in batch.column("token_ids").to_pylist()]
-            yield pa.record_batch(
-                [*(batch.column(name) for name in names), pa.array(texts, pa.string())],
-                names=[*names, "text"],
-            )
+            texts = [decoder.decode(ids or []) for ids in batch.column("token_ids").to_pylist()]
+            yield pa.record_batch([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+
+    rows = boxed(coded.drop("text"), "token_ids")
+    kinds = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
+    return _replaced(rows.mapInArrow(run, kinds), coded.columns, "token_ids", "text")
+
 
-    columns = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest)
-    return coded.select(*[f"`{n}`" for n in names], "token_ids").mapInArrow(run, f"{columns}text string")
+def _replaced(rows: DataFrame, columns: list[str], old: str, new: str) -> DataFrame:
+    kept = [name for name in columns if name != new]
+    return unboxed(rows, [new if name == old else name for name in kept], new)
 
 
 def bpe_digest(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -18,8 +18,9 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillsight.llm.texts import mixed, pieces, text_bytes
+from tillsight.llm.texts import boxed, mixed, pieces, text_bytes, unboxed
 from tillsight.workspace import cut_lineage
 
 #: The shortest key, in code points, that is looked at.
@@ -211,61 +212,59 @@ def _kept_lines(text: bytes, lost: set[bytes], least: int) -> tuple[list[bytes],
 
 
 def _rewritten(least: int):
-    """Texts without the lines they give up, and the two counts."""
+    """Texts without the lines they give up, and the two counts; ``row`` is passed on."""
 
     def run(batches):
         for piece in pieces(batches):
             texts, totals, dropped = [], [], []
-            lost_column = piece.column("_lost").to_pylist()
+            lost_column = piece.column("lost").to_pylist()
             for text, lost in zip(text_bytes(piece.column("text")), lost_column):
                 kept, total = _kept_lines(text, set(lost or ()), least)
                 texts.append(b"\n".join(kept))
                 totals.append(total)
                 dropped.append(total - len(kept))
-            rest = [n for n in piece.schema.names if n not in ("text", "_lost")]
-            had = piece.column("text").is_valid()
             new = pa.array(texts, pa.binary()).cast(pa.string())
+            new = pc.if_else(piece.column("text").is_valid(), new, pa.scalar(None, pa.string()))
             yield pa.record_batch(
-                [*(piece.column(n) for n in rest),
-                 pc.if_else(pc.or_(had, pc.not_equal(new, "")), new, None),
-                 pa.array(totals, pa.int64()), pa.array(dropped, pa.int64())],
-                names=[*rest, "text", "_n_lines", "_n_dropped"],
-            )
+                [piece.column("row"), new, pa.array(totals, pa.int64()), pa.array(dropped, pa.int64())],
+                names=["row", "text", "n_lines", "n_dropped"],
+            )
 
     return run
 
 
+def _without_repeats(docs: DataFrame, least: int, shard_lines: int) -> DataFrame:
+    """(row, text, n_lines, n_dropped): the row as it was, the text that stays, the counts."""
+    lost = repeated_lines(docs, least, shard_lines).groupBy("doc_id").agg(F.collect_set("line").alias("lost"))
+    rows = boxed(docs).select(
+        "row", F.col("text").cast("string").alias("text"), F.col("row.doc_id").cast("bigint").alias("id")
+    )
+    joined = rows.join(lost, rows["id"] == lost["doc_id"], "left").select("row", "text", "lost")
+    counted = T.StructType([
+        rows.schema["row"], T.StructField("text", T.StringType()),
+        T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()),
+    ])
+    return joined.mapInArrow(_rewritten(least), counted)
+
+
 def drop_repeated_lines(
     docs: DataFrame, least: int = LEAST_KEY, shard_lines: int = SHARD_LINES
 ) -> DataFrame:
-    """``docs`` with shorter texts, and ``_n_lines`` and ``_n_dropped`` beside them.
+    """``docs`` with texts that have lost the lines an earlier document holds.
 
     A line's key is the line stripped and with A-Z lower-cased. A key of at
     least ``least`` code points that two documents hold stays only in the one
-    with the smallest ``doc_id``, there with all its repeats. A null text stays
-    null and is one empty line; all other columns pass through unchanged; an
+    with the smallest ``doc_id``, there with all its repeats. A null text is
+    one empty line and stays null; all other columns pass through unchanged; an
     empty table gives an empty one.
     """
-    lost = (
-        repeated_lines(docs, least, shard_lines)
-        .groupBy(F.col("doc_id").alias("_lost_by"))
-        .agg(F.collect_set("line").alias("_lost"))
-    )
-    joined = docs.join(lost, F.col("doc_id").cast("bigint") == lost["_lost_by"], "left").drop("_lost_by")
-    rest = [f for f in docs.schema.fields if f.name != "text"]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    shortened = joined.mapInArrow(
-        _rewritten(least), f"{columns}, text string, _n_lines bigint, _n_dropped bigint"
-    )
-    return shortened.select(*[f"`{name}`" for name in docs.columns], "_n_lines", "_n_dropped")
+    return unboxed(_without_repeats(docs, least, shard_lines), docs.columns)
 
 
 def line_dedup_digest(docs: DataFrame) -> DataFrame:
     """Per document: ``n_lines``, ``n_dropped`` and the SHA-256 of the text that stays."""
-    shortened = drop_repeated_lines(docs.select("doc_id", "text"))
+    shortened = _without_repeats(docs.select("doc_id", "text"), LEAST_KEY, SHARD_LINES)
     return shortened.select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_dropped").alias("n_dropped"),
+        "row.doc_id", "n_lines", "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
-    )
+    )

@@ -387,9 +387,11 @@ def _across_blocks(placed: DataFrame, links: DataFrame, groups: int, percent: in
 
     def probe(sent: DataFrame) -> DataFrame:
         blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        sent = sent.withColumn("block", blocks).select("family", "block", "node", "size", "tokens")
+        names = ["family", "block", "node", "size", "tokens"]
+        # columns of their own: both sides come from one table
+        sent = sent.withColumn("block", blocks).select(*[F.col(name).alias(name) for name in names])
         found = (
-            dealt(large.select("family", "block", "node", "size", "tokens"))
+            dealt(large.select(*names))
             .groupBy("group")
             .cogroup(dealt(sent).groupBy("group"))
             .applyInArrow(_against_blocks(percent), "a bigint, b bigint")

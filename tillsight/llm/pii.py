@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.texts import pieces, text_buffer, word_spans
+from tillsight.llm.texts import boxed, pieces, text_buffer, unboxed, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *(f"{mark}-{kind}" for kind in KINDS for mark in "BI")]
@@ -401,7 +401,6 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 def mask_personal_data(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; all else is unchanged."""
     field = docs.sparkSession.sparkContext.broadcast(fitted_field())
-    names = docs.columns
 
     def run(batches):
         finder = Finder(field.value)
@@ -411,12 +410,10 @@ def mask_personal_data(docs: DataFrame) -> DataFrame:
                 None if text is None else _masked(text, every)
                 for text, (_, every) in zip(column.to_pylist(), finder.spans(column))
             ]
-            columns = [pa.array(texts, pa.string()) if n == "text" else piece.column(n) for n in names]
-            yield pa.record_batch(columns, names=names)
+            yield pa.record_batch([piece.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
-    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(
-        run, ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
-    )
+    rows = boxed(docs.withColumn("text", F.col("text").cast("string")))
+    return unboxed(rows.mapInArrow(run, rows.schema), docs.columns)
 
 
 def _masked(text: str, spans: list[tuple[int, int, int]]) -> str:

@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -42,6 +44,19 @@ def pieces(
                 yield batch.slice(start, stop - start)
 
 
+def boxed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(row, text): all other columns in one, so that their names clash with nothing."""
+    rest = [F.col(f"`{name}`") for name in docs.columns if name != text]
+    return docs.select(F.struct(*rest).alias("row"), F.col(text))
+
+
+def unboxed(rows: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
+    """The columns in the order given, those but ``text`` from ``row``."""
+    return rows.select(*[
+        F.col(text) if name == text else F.col("row").getField(name).alias(name) for name in columns
+    ])
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and where each text begins; null reads as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

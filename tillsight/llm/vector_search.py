@@ -229,7 +229,7 @@ def _searched(forest, candidates: float):
 
 
 def _ranked(keep: int):
-    """The ``keep`` nearest of each leaf's rows for each query that opened it."""
+    """The ``keep`` nearest rows for each query, in the leaves of a group that it opened."""
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         found = {"key": [], "key2": [], "vec_id": [], "score": []}
@@ -259,13 +259,25 @@ def _ranked(keep: int):
                 found["vec_id"].append(ids[member])
                 found["score"].append(cosines(wanted[query], vectors[member]))
         kinds = {"key": np.int64, "key2": np.int64, "vec_id": np.int64, "score": np.float64}
-        return pa.table({
-            name: np.concatenate([np.empty(0, kinds[name]), *parts]) for name, parts in found.items()
-        })
+        near = {name: np.concatenate([np.empty(0, kinds[name]), *parts]) for name, parts in found.items()}
+        return _best(near, keep)
 
     return run
 
 
+def _best(near: dict[str, np.ndarray], keep: int) -> pa.Table:
+    """Of a group's many leaves only the ``keep`` nearest of each query, each row once."""
+    order = np.lexsort((near["vec_id"], -near["score"], near["key2"], near["key"]))
+    near = {name: values[order] for name, values in near.items()}
+    differs = {name: np.concatenate([[True], v[1:] != v[:-1]])[: len(v)] for name, v in near.items()}
+    another = differs["key"] | differs["key2"]
+    once = another | differs["vec_id"] | differs["score"]
+    near, another = {name: values[once] for name, values in near.items()}, another[once]
+    at = np.arange(len(another))
+    place = at - np.maximum.accumulate(np.where(another, at, 0)) if len(at) else at
+    return pa.table({name: values[place < keep] for name, values in near.items()})
+
+
 def _width(table: pa.Table) -> int:
     return pc.max(pc.list_value_length(table["vector"])).as_py()
 
