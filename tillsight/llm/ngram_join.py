@@ -108,12 +108,11 @@ def _ask(buckets: int):
                 rows.append({
                     "bucket": number, "low": rest[part].astype(np.uint32).tobytes(),
                     "high": (rest[part] >> np.uint64(32)).astype(np.uint8).tobytes(),
-                    "nodes": nodes[mine].tobytes(), "sizes": sizes[mine].astype(np.int32).tobytes(),
-                    "counts": counts.astype(np.int32).tobytes(),
+                    "nodes": nodes[mine].tobytes(), "counts": counts.astype(np.int32).tobytes(),
                 })
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
-                    [("bucket", pa.int32()), *((n, pa.binary()) for n in ("low", "high", "nodes", "sizes", "counts"))]
+                    [("bucket", pa.int32()), *((n, pa.binary()) for n in ("low", "high", "nodes", "counts"))]
                 ))
 
     return run
@@ -123,32 +122,47 @@ def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
 
-def _shared_shingles(table: pa.Table) -> pa.Table:
-    """Per node: those of its shingles in this bucket that another node has, and in how many nodes."""
-    grams = _joined(table, "low", np.uint32).astype(np.int64)
-    grams |= _joined(table, "high", np.uint8).astype(np.int64) << 32
-    nodes, sizes, counts = (
-        _joined(table, n, k) for n, k in (("nodes", np.int64), ("sizes", np.int32), ("counts", np.int32))
-    )
-    node, size = np.repeat(nodes, counts), np.repeat(sizes, counts)
-    order = np.lexsort((node, grams))
-    grams, node, size = grams[order], node[order], size[order]
-    new = np.ones(len(grams), dtype=bool)
-    new[1:] = (grams[1:] != grams[:-1]) | (node[1:] != node[:-1])  # a node comes once per piece
-    grams, node, size = grams[new], node[new], size[new]
-    _, which, times = np.unique(grams, return_inverse=True, return_counts=True)
-    shared = times[which] > 1
-    grams, node, size, times = grams[shared], node[shared], size[shared], times[which][shared]
-    order = np.lexsort((grams, node))
-    grams, node, size, times = grams[order], node[order], size[order], times[order]
-    edges = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])[: len(node)])
-    tokens = grams + (np.int64(table["bucket"][0].as_py()) << 40)
-    stops = np.append(edges[1:], len(node))
-    return pa.table({
-        "node": pa.array(node[edges], pa.int64()), "size": pa.array(size[edges], pa.int32()),
-        "tokens": pa.array([tokens[a:b].tobytes() for a, b in zip(edges, stops)], pa.binary()),
-        "times": pa.array([times[a:b].astype(np.int32).tobytes() for a, b in zip(edges, stops)], pa.binary()),
-    })
+def _shared_shingles(buckets: int):
+    """The shingles of a bucket that two nodes have, dealt over groups of nodes.
+
+    With each comes in how many nodes it is, 255 standing for more; that is
+    enough for an order.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        grams = _joined(table, "low", np.uint32).astype(np.int64)
+        grams |= _joined(table, "high", np.uint8).astype(np.int64) << 32
+        node = np.repeat(_joined(table, "nodes", np.int64), _joined(table, "counts", np.int32))
+        order = np.lexsort((node, grams))
+        grams, node = grams[order], node[order]
+        new = np.ones(len(grams), dtype=bool)
+        new[1:] = (grams[1:] != grams[:-1]) | (node[1:] != node[:-1])  # a node comes once per piece
+        grams, node = grams[new], node[new]
+        opens = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])[: len(grams)])
+        times = np.diff(np.append(opens, len(grams)))
+        times = np.repeat(np.minimum(times, 255), times)
+        grams, node, times = grams[times > 1], node[times > 1], times[times > 1]
+        group = node % buckets
+        order = np.lexsort((grams, node, group))
+        grams, node, times, group = grams[order], node[order], times[order], group[order]
+        edges = np.searchsorted(group, np.arange(buckets + 1))
+        rows = []
+        for number in np.flatnonzero(np.diff(edges)).tolist():
+            part = slice(edges[number], edges[number + 1])
+            mine, counts = np.unique(node[part], return_counts=True)
+            rows.append((
+                table["bucket"][0].as_py(), number, grams[part].astype(np.uint32).tobytes(),
+                (grams[part] >> 32).astype(np.uint8).tobytes(), times[part].astype(np.uint8).tobytes(),
+                mine.tobytes(), counts.astype(np.int32).tobytes(),
+            ))
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+        columns = list(zip(*rows)) or [()] * 7
+        return pa.table(
+            [pa.array(x, kind) for x, kind in zip(columns, kinds)],
+            names=["bucket", "group", "low", "high", "times", "nodes", "counts"],
+        )
+
+    return run
 
 
 def needed_overlap(size: int, percent: int = PERCENT) -> int:
@@ -159,26 +173,30 @@ def needed_overlap(size: int, percent: int = PERCENT) -> int:
 def _ordered_sets(percent: int):
     """Whole sets in the common order, of nodes that may link to any other."""
 
-    def run(table: pa.Table) -> pa.Table:
-        nodes = table["node"].to_numpy()
-        sizes = table["size"].to_numpy()
-        tokens, times = table["tokens"].to_pylist(), table["times"].to_pylist()
-        order = np.argsort(nodes, kind="stable")
-        edges = np.flatnonzero(np.concatenate([[True], np.diff(nodes[order]) != 0])[: len(order)])
+    def run(shared: pa.Table, known: pa.Table) -> pa.Table:
         rows = {"node": [], "size": [], "tokens": [], "firsts": []}
-        for members in np.split(order, edges[1:]) if len(order) else []:
-            size = int(sizes[members[0]])
-            own = np.frombuffer(b"".join([tokens[i] for i in members]), np.int64)
-            if len(own) < needed_overlap(size, percent):
-                continue
-            often = np.frombuffer(b"".join([times[i] for i in members]), np.int32)
-            own = own[np.lexsort((own, often))]
-            # its own shingles come first in the order and take up places among the first
-            firsts = size - needed_overlap(size, percent) + 1 - (size - len(own))
-            rows["node"].append(int(nodes[members[0]]))
-            rows["size"].append(size)
-            rows["tokens"].append(own.tobytes() + np.sort(often).tobytes())
-            rows["firsts"].append(firsts)
+        if shared.num_rows:
+            counts = _joined(shared, "counts", np.int32)
+            node = np.repeat(_joined(shared, "nodes", np.int64), counts)
+            tokens = _joined(shared, "low", np.uint32).astype(np.int64)
+            tokens |= _joined(shared, "high", np.uint8).astype(np.int64) << 32
+            lengths = [len(x) for x in shared["high"].to_pylist()]
+            tokens |= np.repeat(shared["bucket"].to_numpy().astype(np.int64), lengths) << 40
+            times = _joined(shared, "times", np.uint8)
+            order = np.lexsort((tokens, times, node))
+            node, tokens, times = node[order], tokens[order], times[order]
+            opens = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+            sizes = dict(zip(known["node"].to_pylist(), known["size"].to_pylist()))
+            for start, stop in zip(opens.tolist(), [*opens[1:].tolist(), len(node)]):
+                size = sizes[int(node[start])]
+                needed = needed_overlap(size, percent)
+                if stop - start < needed:
+                    continue
+                rows["node"].append(int(node[start]))
+                rows["size"].append(size)
+                rows["tokens"].append(tokens[start:stop].tobytes() + times[start:stop].tobytes())
+                # its own shingles come first in the order and take up places among the first
+                rows["firsts"].append(size - needed + 1 - (size - (stop - start)))
         return pa.table({
             "node": pa.array(rows["node"], pa.int64()), "size": pa.array(rows["size"], pa.int32()),
             "tokens": pa.array(rows["tokens"], pa.binary()), "firsts": pa.array(rows["firsts"], pa.int32()),
@@ -295,8 +313,8 @@ class _Union:
 
 def _numbered(packed: list[bytes]) -> tuple[list[np.ndarray], int]:
     """Sets as numbers in the common order, from tokens and how often each occurs."""
-    tokens = [np.frombuffer(x, np.int64, len(x) // 12) for x in packed]
-    times = [np.frombuffer(x, np.int32, offset=len(x) // 12 * 8) for x in packed]
+    tokens = [np.frombuffer(x, np.int64, len(x) // 9) for x in packed]
+    times = [np.frombuffer(x, np.uint8, offset=len(x) // 9 * 8) for x in packed]
     every, first = np.unique(np.concatenate(tokens), return_index=True)
     rank = np.empty(len(every), np.int64)
     rank[np.lexsort((every, np.concatenate(times)[first]))] = np.arange(len(every))
@@ -432,14 +450,17 @@ def linked_components(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     known = cut_lineage(needed.mapInArrow(_node_of, "doc_id bigint, n_shingles bigint, node bigint"), "nodes")
+    asked = needed.select("text").mapInArrow(
+        _ask(buckets), "bucket int, low binary, high binary, nodes binary, counts binary"
+    )
+    shared = asked.groupBy("bucket").applyInArrow(
+        _shared_shingles(buckets),
+        "bucket int, group int, low binary, high binary, times binary, nodes binary, counts binary",
+    )
+    sizes = known.filter("node is not null").groupBy("node").agg(F.max("n_shingles").cast("int").alias("size"))
     sets = (
-        needed.select("text")
-        .mapInArrow(
-            _ask(buckets), "bucket int, low binary, high binary, nodes binary, sizes binary, counts binary"
-        )
-        .groupBy("bucket")
-        .applyInArrow(_shared_shingles, "node bigint, size int, tokens binary, times binary")
-        .groupBy(F.pmod("node", F.lit(buckets)).alias("bucket"))
+        shared.groupBy("group")
+        .cogroup(sizes.groupBy(F.pmod("node", F.lit(buckets)).cast("int").alias("group")))
         .applyInArrow(_ordered_sets(percent), "node bigint, size int, tokens binary, firsts int")
     )
     sets = cut_lineage(sets, "ngram-sets")
