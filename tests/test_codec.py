@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.codec import (
     apply_types,
     as_text,
+    number_text,
     decode_transactions,
     encode_rows,
 )
@@ -79,3 +80,14 @@ def test_unknown_field_is_refused():
 
     with pytest.raises(ValueError):
         raw_schema(["colour"])
+
+
+def test_numbers_are_written_out(spark):
+    values = [
+        1e7, 123456789.0, 12345678.9, -2.5e7, 1e15, 9.007199254740993e15, 1e16, 1.5e16, 1e22, 1e300,
+        0.001, 0.0001, 0.00012, -0.00025, 0.00001, 1.5e-7, 0.0, -0.0, 1.0, 0.1, 999.99, None,
+    ]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    found = [row.text for row in rows.select(number_text("v").alias("text")).collect()]
+    assert found == [None if v is None else str(v) for v in values]
+    assert as_text(rows).first()[0] == "10000000.0"

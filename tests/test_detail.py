@@ -1,3 +1,4 @@
+import pytest
 import pickle
 import uuid
 from pathlib import Path
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.cells import FAMILIES
 from tillsight.operators.detail import detail_cells, detail_rows
 from tillsight.plans import jobs
-from tillsight.sinks.detail_store import write_detail_store
+from tillsight.sinks.detail_store import read_version, write_detail_store, write_version
 from tillsight.sinks.publish import publish_transactions
 from tillsight.sources.topics import FileTopics
 from tillsight.sources.warehouse import chargebacks, transactions
@@ -80,7 +81,7 @@ def test_loading_twice_equals_loading_once(spark, small, tmp_path):
     jobs.detail_job(spark, topics, str(tmp_path / "once"))
     publish_transactions(rows, topics)
     jobs.detail_job(spark, topics, str(tmp_path / "twice"))
-    once, twice = (spark.read.parquet(str(tmp_path / name)) for name in ("once", "twice"))
+    once, twice = (read_version(spark, str(tmp_path / name)) for name in ("once", "twice"))
     assert once.count() == rows.count()
     assert once.exceptAll(twice).isEmpty() and twice.exceptAll(once).isEmpty()
 
@@ -95,20 +96,36 @@ def test_later_message_wins_and_rows_without_id_are_left_out(spark, small, tmp_p
         spark, topics, open_writer=recording_writer(_made(tmp_path / "puts"))
     )
     puts = [put for _, task in recorded(tmp_path / "puts") for put in task]
-    assert written == rows.select("transaction_id").distinct().count() == len(puts)
+    assert written.stored == rows.select("transaction_id").distinct().count() == len(puts)
+    assert written.refused == rows.count()
+    assert written.rows_read == written.stored + written.replaced + written.refused
     for _, cells in puts:
         if cells[b"customer_data:fraud_label"] == b"1":
             assert cells[b"transaction_data:total_amount"] == b"0.0"
 
 
-def test_parquet_load_shuffles_once(spark, small, tmp_path):
+def test_parquet_load_shuffles_once_and_parses_winners_only(spark, small, tmp_path):
     topics = FileTopics(str(tmp_path / "topics"))
     publish_transactions(transactions(spark, small), topics)
-    latest = jobs.latest_transactions(jobs.arrivals(spark, topics))
-    plan = detail_rows(latest.sortWithinPartitions("transaction_id"))
+    messages = jobs.arrivals(spark, topics).filter("reason is null")
+    plan = detail_rows(jobs.latest_transactions(messages).sortWithinPartitions("transaction_id"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1
-    assert text.count("Sort [") == 2  # before each of the two aggregation steps, none after
+    before = text[text.index("Exchange"):]
+    assert "user_gender" not in before and "price" not in before
+
+
+def test_failed_load_leaves_the_version_before(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write_version(spark.range(3), path)
+    broken = spark.range(3).select(F.raise_error(F.lit("stop")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        write_version(broken, path)
+    assert read_version(spark, path).count() == 3
+    write_version(spark.range(5), path)
+    assert read_version(spark, path).count() == 5
+    with pytest.raises(ValueError):
+        read_version(spark, str(tmp_path / "nothing"))
 
 
 def _made(path):

@@ -126,18 +126,16 @@ def test_series_of_unknown_or_chartless_insight(spark):
         shaping.series(table, "income")
 
 
-def test_large_series_comes_in_several_rows(spark):
-    table = spark.range(500).select(
+def test_series_is_one_row_at_any_size(spark):
+    table = spark.range(150_000).select(
         F.col("id").cast("string").alias("payment_method"), F.col("id").alias("transaction_count")
     )
-    assert len(shaping.series(table, "payment_method", 500).collect()) == 1
-    rows = shaping.series(table, "payment_method", 50).collect()
-    assert len(rows) == 10 and max(len(row.labels) for row in rows) < 100
-    points = [pair for row in rows for pair in zip(row.labels, row.values)]
-    assert sorted(points) == sorted((str(i), i) for i in range(500))
-    assert all(row.labels == sorted(row.labels) for row in rows)
+    rows = shaping.series(table.repartition(5), "payment_method").collect()
+    assert len(rows) == 1 and len(rows[0].labels) == 150_000
+    assert rows[0].labels == sorted(rows[0].labels)
+    assert all(label == str(value) for label, value in zip(rows[0].labels, rows[0].values))
 
 
 def test_series_of_an_empty_table(spark):
     table = spark.createDataFrame([], "payment_method string, transaction_count bigint")
-    assert shaping.series(table, "payment_method").isEmpty()
+    assert shaping.series(table, "payment_method").collect()[0].asDict() == {"labels": [], "values": []}

@@ -14,7 +14,9 @@ def trained(spark, small, tmp_path_factory):
     folder = tmp_path_factory.mktemp("model")
     topics = FileTopics(str(folder / "topics"))
     publish_transactions(transactions(spark, small), topics)
-    fitted, area = jobs.training_job(spark, topics, str(folder / "saved"))
+    fitted, area, read, left_out = jobs.training_job(spark, topics, str(folder / "saved"))
+    rows = transactions(spark, small)
+    assert read == rows.count() and left_out == read - model.complete_rows(rows).count()
     _, test = model.stable_split(model.complete_rows(transactions(spark, small)))
     return fitted, area, str(folder / "saved"), test
 
@@ -89,3 +91,31 @@ def test_index_is_by_frequency_then_text(spark):
     rows = spark.createDataFrame([(v,) for v in values], "category string")
     found = {r.category: (r.occurrences, r.category_index) for r in model.frequency_index(rows, "category").collect()}
     assert found == {"c": (2, 0.0), "a": (1, 1.0), "b": (1, 2.0), "é": (1, 3.0)}
+
+
+def test_job_survives_a_value_that_only_the_test_part_has(spark, small, tmp_path):
+    rows = transactions(spark, small)
+    _, test = model.stable_split(model.complete_rows(rows))
+    rare = test.limit(1).first().transaction_id
+    city = F.when(F.col("transaction_id") == rare, "Nowhere").otherwise(F.col("user_city"))
+    topics = FileTopics(str(tmp_path / "topics"))
+    publish_transactions(rows.withColumn("user_city", city), topics)
+
+    def by_id(rows):  # so that the changed value does not move its row to the other part
+        in_test = F.col("transaction_id") == rare
+        training, test = model.stable_split(rows)
+        return training.filter(~in_test), test.unionByName(training.filter(in_test))
+
+    trained = jobs.training_job(spark, topics, str(tmp_path / "kept"), by_id)
+    assert 0.5 < trained.area.first()[0] <= 1
+    failing = jobs.training_job
+    with pytest.raises(Exception, match="Nowhere|[Uu]nseen"):
+        failing(spark, topics, str(tmp_path / "error"), by_id, unseen="error").area.first()
+
+
+def test_missing_categories_can_be_kept(spark, small):
+    rows = transactions(spark, small)
+    kept, dropped = model.complete_rows(rows, "keep"), model.complete_rows(rows)
+    assert dropped.count() < kept.count() < rows.count()
+    with pytest.raises(ValueError):
+        model.complete_rows(rows, "guess")

@@ -1,10 +1,11 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tillsight.operators.insights import fraud_by
 from tillsight.operators.latest import ARRIVAL, arrival_order, latest_by_key, read_insight
 from tillsight.schema import COLUMNS, ENVELOPE
 from tillsight.sinks.csv_files import write_csv
-from tillsight.sinks.publish import publish_insight, publish_insight_batch
+from tillsight.sinks.publish import first_run_id, publish_insight, publish_insight_batch
 from tillsight.sources.csv_files import read_csv
 from tillsight.sources.topics import FileTopics, KafkaTopics
 
@@ -23,6 +24,16 @@ def test_kafka_options():
     assert kafka.write_options("t") == {"kafka.bootstrap.servers": "broker:9092", "topic": "t"}
 
 
+def test_kafka_offsets_and_other_options():
+    ends = {"starting_offsets": '{"t":{"0":23}}', "ending_offsets": '{"t":{"0":99}}'}
+    kafka = KafkaTopics("b:1", **ends, options={"failOnDataLoss": "false", "kafka.security.protocol": "SSL"})
+    batch, stream = kafka.batch_options("t"), kafka.stream_options("t")
+    assert (batch["startingOffsets"], batch["endingOffsets"]) == tuple(ends.values())
+    assert stream["startingOffsets"] == ends["starting_offsets"] and "endingOffsets" not in stream
+    for options in (batch, stream, kafka.write_options("t")):
+        assert options["kafka.security.protocol"] == "SSL" and options["failOnDataLoss"] == "false"
+
+
 def test_file_topic_has_kafka_columns(spark, tmp_path):
     topics = FileTopics(str(tmp_path))
     messages = spark.range(100, numPartitions=4).select(F.col("id").cast("string").alias("value"))
@@ -54,6 +65,35 @@ def test_latest_run_only(spark, tmp_path):
     assert {tuple(row) for row in latest.collect()} == {("PayPal", 2, 10), (None, 3, 10)}
 
 
+def test_run_cut_short_is_passed_over(spark, tmp_path):
+    topics = FileTopics(str(tmp_path))
+    topic = "payment_method_analytics"
+    publish_insight(table(spark, [("PayPal", 1)]), topics, topic, run_id=1)
+    cut = [('{"payment_method":"PayPal","transaction_count":7,"run_id":2}',), ('{"run_id":2,"run_rows":2}',)]
+    topics.write(spark.createDataFrame(cut[:1], "value string"), topic)
+    latest = lambda: [tuple(r) for r in read_insight(spark, topics, "payment_method", latest=True).collect()]
+    assert latest() == [("PayPal", 1, 1)]
+    topics.write(spark.createDataFrame(cut[1:], "value string"), topic)
+    assert latest() == [("PayPal", 1, 1)]
+    publish_insight(table(spark, []), topics, topic, run_id=3)
+    assert latest() == []
+
+
+def test_streams_on_new_checkpoints_come_after_the_old(spark, tmp_path):
+    first = first_run_id(spark, str(tmp_path / "one"))
+    assert first_run_id(spark, str(tmp_path / "one")) == first
+    assert first_run_id(spark, str(tmp_path / "two")) > first
+
+
+def test_folder_topic_between_two_times(spark, tmp_path):
+    topics = FileTopics(str(tmp_path))
+    times = [("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-03")]
+    rows = spark.createDataFrame(times, "value string, at string")
+    topics.write(rows.select("value", F.col("at").cast("timestamp").alias("timestamp")), "t")
+    later = FileTopics(str(tmp_path), since="2024-01-02", until="2024-01-03").read(spark, "t")
+    assert [bytes(row.value) for row in later.collect()] == [b"b"]
+
+
 def test_latest_run_reads_the_topic_once(spark, tmp_path):
     topics = FileTopics(str(tmp_path))
     publish_insight(table(spark, [("PayPal", 1)]), topics, "payment_method_analytics", run_id=1)
@@ -99,6 +139,18 @@ def test_csv_keeps_quotes_commas_and_breaks(spark, tmp_path):
     assert [found[str(i)] or None for i in range(len(awkward))] == [text or None for text in awkward]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "reordered.csv"
+    path.write_text("user_city,other,transaction_id\nRome,x,1-1\n,y,1-2\n")
+    rows = read_csv(spark, str(path))
+    assert rows.columns == list(COLUMNS)
+    found = {row.transaction_id: (row.user_city, row.category) for row in rows.collect()}
+    assert found == {"1-1": ("Rome", None), "1-2": (None, None)}
+    path.write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError):
+        read_csv(spark, str(path))
+
+
 def test_arrival_is_a_total_order(spark, tmp_path):
     topics = FileTopics(str(tmp_path))
     topics.write(spark.range(10).select(F.col("id").cast("string").alias("value")), "t")

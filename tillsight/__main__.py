@@ -7,9 +7,11 @@ Topics are Kafka topics if ``--kafka`` names servers, else folders under
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from pyspark.sql import SparkSession
 
+from tillsight.operators import model
 from tillsight.operators.insights import SALES_INSIGHTS
 from tillsight.operators.latest import read_insight
 from tillsight.operators.shaping import series_json
@@ -17,7 +19,7 @@ from tillsight.plans import jobs
 from tillsight.sinks.publish import publish_transactions
 from tillsight.sources.csv_files import read_csv
 from tillsight.sources.topics import FileTopics, KafkaTopics
-from tillsight.streaming.insight_streams import start_insights
+from tillsight.streaming.insight_streams import STATE_PARTITIONS, start_decode, start_insights
 
 
 def parser() -> argparse.ArgumentParser:
@@ -25,28 +27,42 @@ def parser() -> argparse.ArgumentParser:
     where = top.add_mutually_exclusive_group(required=True)
     where.add_argument("--kafka", metavar="SERVERS")
     where.add_argument("--folder")
+    top.add_argument("--from", dest="start", help="first offsets of a batch read, or first time of a folder's")
+    top.add_argument("--to", dest="end", help="last offsets, or the time before which messages came")
     commands = top.add_subparsers(dest="command", required=True)
 
     publish = commands.add_parser("publish", help="CSV records to the transactions topic")
     publish.add_argument("csv")
     sales = commands.add_parser("sales", help="sales insights to their topics")
     sales.add_argument("--income", action="store_true", help="average spending per income too")
-    commands.add_parser("fraud", help="fraud insights to their topics, and on the console")
+    fraud = commands.add_parser("fraud", help="fraud insights to their topics, and on the console")
+    fraud.add_argument("--rows", type=int, default=20, help="rows of each table to show")
     detail = commands.add_parser("detail", help="latest message per id to a Parquet table")
     detail.add_argument("path")
     train = commands.add_parser("train", help="fit, save and evaluate the fraud model")
     train.add_argument("path")
+    train.add_argument("--unseen", choices=["keep", "skip", "error"], default="keep")
+    train.add_argument("--missing", choices=["drop", "keep"], default="drop")
+    train.add_argument("--random-split", type=int, metavar="SEED", help="split by a seeded draw")
     chart = commands.add_parser("series", help="an insight's latest table as chart arrays")
     chart.add_argument("name")
     follow = commands.add_parser("stream", help="keep insights up to date")
-    follow.add_argument("names", nargs="+", metavar="name")
+    follow.add_argument("names", nargs="+", metavar="name", help="insights, or 'records' alone")
+    follow.add_argument("--max-per-trigger", type=int, help="offsets, or files of a folder, at a time")
+    follow.add_argument("--state-partitions", type=int, default=STATE_PARTITIONS)
+    follow.add_argument("--path", help="where records go")
     follow.add_argument("--checkpoint", required=True)
     follow.add_argument("--available-now", action="store_true", help="stop when caught up")
     return top
 
 
 def run(spark: SparkSession, options) -> None:
-    topics = KafkaTopics(options.kafka) if options.kafka else FileTopics(options.folder)
+    if options.kafka:
+        topics = KafkaTopics(
+            options.kafka, starting_offsets=options.start or "earliest", ending_offsets=options.end or "latest"
+        )
+    else:
+        topics = FileTopics(options.folder, options.start, options.end)
     match options.command:
         case "publish":
             publish_transactions(read_csv(spark, options.csv), topics)
@@ -54,21 +70,38 @@ def run(spark: SparkSession, options) -> None:
             names = (*SALES_INSIGHTS, "income") if options.income else SALES_INSIGHTS
             jobs.insight_job(spark, topics, topics, names)
         case "fraud":
-            jobs.show(jobs.fraud_job(spark, topics, topics))
+            jobs.show(jobs.fraud_job(spark, topics, topics), options.rows)
         case "detail":
-            jobs.detail_job(spark, topics, options.path)
+            load = jobs.detail_job(spark, topics, options.path)
+            print(
+                f"{load.rows_read} read, {load.stored} stored, {load.replaced} replaced, "
+                f"{load.refused} refused"
+            )
         case "train":
-            _, area = jobs.training_job(spark, topics, options.path)
-            area.show()
+            split = model.stable_split
+            if options.random_split is not None:
+                split = partial(model.random_split, seed=options.random_split)
+            trained = jobs.training_job(
+                spark, topics, options.path, split, options.unseen, options.missing
+            )
+            trained.area.show()
+            print(f"{trained.rows_read} rows read, {trained.left_out} left out")
         case "series":
             table = read_insight(spark, topics, options.name, latest=True)
             for document in series_json(table, options.name).toLocalIterator():
                 print(document.value)
         case "stream":
-            start_insights(
-                spark, topics, topics, options.names, options.checkpoint,
-                available_now=options.available_now,
-            ).awaitTermination()
+            limits = {
+                "max_per_trigger": options.max_per_trigger, "available_now": options.available_now
+            }
+            if options.names == ["records"]:
+                query = start_decode(spark, topics, options.path, options.checkpoint, **limits)
+            else:
+                query = start_insights(
+                    spark, topics, topics, options.names, options.checkpoint,
+                    state_partitions=options.state_partitions, **limits,
+                )
+            query.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tillsight.functions.codec import number_text
+from tillsight.schema import TRANSACTION_FIELDS
 
 # The two column families and their qualifiers.
 FAMILIES: dict[str, tuple[str, ...]] = {
@@ -31,7 +35,9 @@ FAMILIES: dict[str, tuple[str, ...]] = {
 
 def cell_text(column) -> Column:
     """A value as cell text; NULL is the empty cell."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+    kind = TRANSACTION_FIELDS.get(column)
+    text = number_text(column) if isinstance(kind, T.DoubleType) else F.col(column).cast("string")
+    return F.coalesce(text, F.lit(""))
 
 
 def cell_bytes(column) -> Column:

@@ -58,6 +58,33 @@ def decode_transactions(envelope: DataFrame, columns=None) -> DataFrame:
     return apply_types(decode_rows(envelope, raw_schema(columns)))
 
 
+def number_text(column) -> Column:
+    """A double as text: plain digits from 0.0001 up to 1e16, else with an exponent.
+
+    Spark itself turns to exponents from 1e7 on and below 0.001.
+    """
+    text = F.col(column).cast("string") if isinstance(column, str) else column.cast("string")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    parts = F.split(F.ltrim(text, F.lit("-")), "E")
+    mantissa, power = F.regexp_replace(parts[0], r"\.0$", ""), F.get(parts, F.lit(1)).cast("int")
+    digits = F.replace(mantissa, F.lit("."), F.lit(""))
+    whole = F.rpad(digits, power + 1, "0")
+    behind = F.substr(digits, power + 2)
+    plain = F.concat(
+        F.substr(whole, F.lit(1), power + 1), F.lit("."), F.when(behind == "", "0").otherwise(behind)
+    )
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    exponent = F.concat(
+        mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"),
+        F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), "0"),
+    )
+    written = F.when(power.between(0, 15), plain).when(power.between(-4, -1), small).otherwise(exponent)
+    return F.when(power.isNull(), text).otherwise(F.concat(sign, written))
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Every column as text, the form in which the feed carries records."""
-    return df.select(*[F.col(name).cast("string").alias(name) for name in df.columns])
+    return df.select(*[
+        (number_text(name) if kind == "double" else F.col(name).cast("string")).alias(name)
+        for name, kind in df.dtypes
+    ])

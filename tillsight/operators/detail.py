@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.cells import FAMILIES, cell_bytes, cell_text, family_struct
+from tillsight.functions.codec import apply_types, decode_rows
 from tillsight.operators.latest import latest_by_key
+from tillsight.schema import raw_schema
 
 
 def has_key() -> Column:
@@ -14,9 +16,13 @@ def has_key() -> Column:
     return F.col("transaction_id").isNotNull() & (F.col("transaction_id") != "")
 
 
-def latest_transactions(arrivals: DataFrame) -> DataFrame:
-    """Typed transactions with an ``arrival`` column to one row per id, the last one."""
-    return latest_by_key(arrivals.filter(has_key()), "transaction_id")
+def latest_transactions(messages: DataFrame) -> DataFrame:
+    """(transaction_id, value, arrival) to typed transactions, the last message of each id.
+
+    Messages are reduced as they are and only the last ones are parsed in full.
+    """
+    latest = latest_by_key(messages.select("transaction_id", "value", "arrival"), "transaction_id")
+    return apply_types(decode_rows(latest, raw_schema()))
 
 
 def detail_rows(transactions: DataFrame) -> DataFrame:

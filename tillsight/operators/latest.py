@@ -29,19 +29,37 @@ def latest_by_key(rows: DataFrame, key: str, arrival: str = "arrival") -> DataFr
 
 
 def read_insight(spark: SparkSession, topics, name: str, latest: bool = False) -> DataFrame:
-    """An insight table back from its topic: all rows, or the table of the last run.
+    """An insight table back from its topic: all rows, or the last whole run's table.
 
-    Within the last run a group's latest row counts, as a write that was
-    retried may have sent some twice. Messages without a run id form one run.
+    A run is whole when its last message is there and as many groups as that
+    says, so a run that is being sent or was cut short is passed over, and an
+    empty one counts. Within a run a group's latest row counts, as a write that
+    was retried may have sent some twice. Messages without a run id are one
+    run, older than all others.
     """
     wanted = insight(name)
-    schema = T.StructType(wanted.schema.fields + [T.StructField("run_id", T.LongType())])
+    numbers = [T.StructField("run_id", T.LongType()), T.StructField("run_rows", T.LongType())]
+    schema = T.StructType(wanted.schema.fields + numbers)
+    columns = [*wanted.schema.names, "run_id"]
     messages = topics.read(spark, wanted.topic)
     if not latest:
-        return decode_rows(messages, schema)
+        return decode_rows(messages, schema).filter("run_rows is null").select(*columns)
     rows = decode_rows(messages.withColumn("arrival", arrival_order()), schema, keep=["arrival"])
-    by_run = rows.withColumn("arrival", F.struct("run_id", "arrival"))
-    newest = latest_by_key(by_run, wanted.dimension)
+    keys = ["run_id", "is_end", wanted.dimension]
+    marked = rows.withColumn("is_end", F.col("run_rows").isNotNull())
+    fields = F.struct(*[name for name in marked.columns if name not in (*keys, "arrival")])
+    # Kept beside the keys too: a filter on a key would move below the aggregate,
+    # and the subquery could not share it.
+    groups = marked.groupBy(*keys).agg(
+        F.max_by(fields, "arrival").alias("newest"),
+        F.max("run_id").alias("run"), F.max("is_end").alias("end"),
+    ).select(*keys, "newest.*", "run", "end")
+    whole = (
+        groups.groupBy("run")
+        .agg(F.count_if(~F.col("end")).alias("there"), F.max("run_rows").alias("needed"))
+        .filter(F.col("there") >= F.col("needed"))
+    )
     # The subquery reuses the aggregate above it, so both see one state of the topic.
-    last_run = newest.agg(F.max("run_id")).scalar()
-    return newest.filter(F.col("run_id").eqNullSafe(last_run))
+    last_run = whole.agg(F.max("run")).scalar()
+    found = groups.filter(~F.col("end") & F.col("run").eqNullSafe(last_run))
+    return found.select(*columns)

@@ -27,14 +27,16 @@ TRAIN_SHARE = 0.8
 SEED = 42
 
 
-def complete_rows(transactions: DataFrame) -> DataFrame:
+def complete_rows(transactions: DataFrame, missing: str = "drop") -> DataFrame:
     """The model's inputs, rows with any of them missing left out.
 
-    One NULL category would make the whole fit fail.
+    One NULL category would make the whole fit fail. With ``missing="keep"``
+    rows without a category stay, for an indexer that keeps them.
     """
-    return transactions.select(*MODEL_INPUTS).dropna(
-        subset=[*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, LABEL]
-    )
+    if missing not in ("drop", "keep"):
+        raise ValueError(f"missing is drop or keep, not {missing!r}")
+    needed = [*NUMERIC_FEATURES, LABEL] + (CATEGORICAL_FEATURES if missing == "drop" else [])
+    return transactions.select(*MODEL_INPUTS).dropna(subset=needed)
 
 
 def indexer(handle_invalid: str = "error") -> StringIndexer:
@@ -69,21 +71,27 @@ def frequency_index(rows: DataFrame, column: str) -> DataFrame:
     return model.transform(counts)
 
 
-def in_training(share: float = TRAIN_SHARE) -> Column:
-    """Whether a row belongs to the training part, by a hash of the record.
+def split_draw() -> Column:
+    """A number below 2^32 from a hash of the record.
 
-    Other than a random draw this does not depend on how rows are partitioned
-    or on which attempt of a task sees them. Repeats of a record stay together.
+    Other than a random draw it does not depend on how rows are partitioned or
+    on which attempt of a task sees them. Repeats of a record stay together.
     More than the id is hashed, so that missing ids, or one id on very many
     records, do not all go to one part.
     """
     digits = F.substring(F.md5(F.concat_ws("|", *SPLIT_FIELDS)), 1, 8)
-    return F.conv(digits, 16, 10).cast("bigint") < int(share * (1 << 32))
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
+def in_training(share: float = TRAIN_SHARE, draw: Column | None = None) -> Column:
+    """Whether a row belongs to the training part; ``draw`` if it is stored with the row."""
+    return (split_draw() if draw is None else draw) < int(share * (1 << 32))
 
 
 def stable_split(rows: DataFrame, share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(training, test) by ``in_training``."""
-    return rows.filter(in_training(share)), rows.filter(~in_training(share))
+    """(training, test) by ``in_training``, from the column ``_draw`` if there is one."""
+    part = in_training(share, F.col("_draw") if "_draw" in rows.columns else None)
+    return rows.filter(part), rows.filter(~part)
 
 
 def random_split(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = SEED):
@@ -114,14 +122,34 @@ def score(fitted: PipelineModel, rows: DataFrame) -> DataFrame:
     })
 
 
+def checked_scores(fitted: PipelineModel, scored: DataFrame) -> DataFrame:
+    """``scored`` with whether the saved weights give its probability and prediction.
+
+    The margin is the intercept plus the weights times the features, computed
+    by Spark from the vector and not by the model.
+    """
+    regression = fitted.stages[-1]
+    values = vector_to_array("features")
+    margin = F.lit(float(regression.intercept))
+    for place, weight in enumerate(regression.coefficients.toArray().tolist()):
+        margin += F.lit(weight) * values[place]
+    expected = 1 / (1 + F.exp(-margin))
+    return scored.withColumns({
+        "probability_holds": F.abs(F.col("fraud_probability") - expected) < 1e-9,
+        "prediction_holds": (F.col("prediction") == 1) == (F.col("fraud_probability") > 0.5),
+    })
+
+
 def area_under_roc(scored: DataFrame) -> DataFrame:
     """The exact area, as one row."""
     return score_auc(scored, "fraud_margin", LABEL)
 
 
-def evaluator_area(scored: DataFrame) -> float:
-    """The area as MLlib's evaluator estimates it from a thousand thresholds."""
-    return BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC").evaluate(scored)
+def evaluator_area(scored: DataFrame, bins: int = 1000) -> float:
+    """The area as MLlib's evaluator estimates it from ``bins`` thresholds, or from all for 0."""
+    return BinaryClassificationEvaluator(
+        labelCol=LABEL, metricName="areaUnderROC", numBins=bins
+    ).evaluate(scored)
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -61,6 +61,22 @@ def judge_messages(envelope: DataFrame) -> DataFrame:
     return apply_types(flat).select("value", "reason", *COLUMNS)
 
 
+def judge_keys(envelope: DataFrame, keep=()) -> DataFrame:
+    """Messages with their id and the same ``reason``; nothing else of them is parsed."""
+    schema = raw_schema(["transaction_id"]).add(_UNREADABLE, T.StringType())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}
+    parsed = F.from_json(payload_text(), schema, options)
+    records = envelope.select(*keep, "value", F.explode(F.array(parsed)).alias("record"))
+    flat = records.select(
+        *keep, "value", "record.transaction_id", F.col(f"record.{_UNREADABLE}").alias(_UNREADABLE),
+        F.col("record").isNull().alias("_no_record"),
+    )
+    reason = F.when(F.col("_no_record") | F.col(_UNREADABLE).isNotNull(), "unreadable").when(
+        ~F.coalesce(has_key(), F.lit(False)), "missing_id"
+    )
+    return flat.withColumn("reason", reason).drop(_UNREADABLE, "_no_record")
+
+
 def split_quarantine(envelope: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good transactions, quarantined messages with reason and raw value)."""
     judged = judge_messages(envelope)

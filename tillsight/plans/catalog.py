@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.functions.cells import FAMILIES
+from tillsight.functions.cells import FAMILIES, cell_text
 from tillsight.functions.codec import (
     apply_types,
     as_text,
@@ -21,6 +21,7 @@ from tillsight.operators.detail import detail_cells
 from tillsight.operators.latest import read_insight
 from tillsight.plans import jobs
 from tillsight.sinks.csv_files import write_csv
+from tillsight.sinks.detail_store import read_version
 from tillsight.sinks.publish import TRANSACTIONS_TOPIC, publish_insight, publish_transactions
 from tillsight.sources.csv_files import read_csv
 from tillsight.sources.topics import FileTopics
@@ -79,6 +80,14 @@ def csv_roundtrip(spark, folder):
     return apply_types(read_csv(spark, path))
 
 
+def csv_reordered(spark, folder):
+    """A file whose columns come backwards, one of them left out."""
+    path = fresh_folder(spark, "csv")
+    rows = transactions(spark, folder)
+    write_csv(rows.select(*[name for name in reversed(rows.columns) if name != "user_city"]), path)
+    return apply_types(read_csv(spark, path))
+
+
 def typed_transactions(spark, folder):
     return apply_types(as_text(transactions(spark, folder)))
 
@@ -97,21 +106,68 @@ def cells(spark, folder):
     return detail_cells(transactions(spark, folder))
 
 
+def cells_large(spark, folder):
+    """Amounts above ten million and below a thousandth, made from the price."""
+    rows = transactions(spark, folder, ["transaction_id", "price", "total_amount"])
+    scaled = rows.select(
+        "transaction_id",
+        (F.col("price") * 1e6).alias("price"),
+        (F.floor("price") / 1e7).alias("total_amount"),
+    )
+    return scaled.select("transaction_id", cell_text("price").alias("price"),
+                         cell_text("total_amount").alias("total_amount"))
+
+
 def detail_upsert(spark, folder):
     topics, path = _new_topics(spark), fresh_folder(spark, "detail")
     rows = transactions(spark, folder)
     publish_transactions(rows, topics)
     publish_transactions(chargebacks(rows), topics)
     jobs.detail_job(spark, topics, path)
+    return _stored_text(spark, path)
+
+
+def _stored_text(spark, path):
     flat = [
         F.decode(f"{family}.{name}", "UTF-8").alias(name)
         for family, names in FAMILIES.items()
         for name in names
     ]
-    stored = spark.read.parquet(path)
+    stored = read_version(spark, path)
     return stored.select(F.decode("row_key", "UTF-8").alias("row_key"), *flat)
 
 
+def dirty_feed(spark: SparkSession, folder: str) -> FileTopics:
+    """Topics with the faulty transactions published, some as junk; once per session and folder."""
+    key = (shared_folder(spark), spark.sparkContext.applicationId, folder, "dirty")
+    if key not in _feeds:
+        rows = dirty_transactions(spark, folder)
+        fields = F.struct(*[name for name in rows.columns if name != "unreadable"])
+        value = F.when(F.col("unreadable"), "junk").otherwise(F.to_json(fields))
+        topics = _new_topics(spark)
+        topics.write(rows.select(value.alias("value")), TRANSACTIONS_TOPIC)
+        _feeds[key] = topics
+    return _feeds[key]
+
+
+def detail_quarantine(spark, folder):
+    """What a load of the faulty feed refuses."""
+    path = fresh_folder(spark, "detail")
+    jobs.detail_job(spark, dirty_feed(spark, folder), path)
+    _, refused = quality.split_quarantine(read_version(spark, f"{path}-refused"))
+    return refused.select(*_REFUSED)
+
+
+def detail_counts(spark, folder):
+    """What becomes of the messages of the faulty feed, in numbers."""
+    load = jobs.detail_job(spark, dirty_feed(spark, folder), fresh_folder(spark, "detail"))
+    counts = [(load.rows_read, load.stored, load.replaced, load.refused)]
+    return spark.createDataFrame(counts, "rows_read bigint, stored bigint, replaced bigint, refused bigint")
+
+
+_REFUSED = ["reason", "user_id", "product_id", "timestamp", "total_amount"]
+
+
 def published(spark, folder):
     topics = _new_topics(spark)
     publish_insight(_build("fraud_category", spark, folder), topics, "fraud_category")
@@ -127,6 +183,20 @@ def insight_latest(spark, folder):
     return read_insight(spark, topics, "fraud_category", latest=True).drop("run_id")
 
 
+def insight_latest_empty_run(spark, folder):
+    """A run without groups after one with some: the latest table is empty."""
+    topics, wanted = _new_topics(spark), insights.insight("fraud_category")
+    rows = transactions(spark, folder, [*wanted.reads, "user_age"])
+    publish_insight(wanted.build(rows), topics, wanted.topic, run_id=1)
+    publish_insight(wanted.build(rows.filter("user_age > 1000")), topics, wanted.topic, run_id=2)
+    latest = read_insight(spark, topics, "fraud_category", latest=True)
+    every = read_insight(spark, topics, "fraud_category")
+    latest_groups = latest.agg(F.count("*")).scalar()
+    return every.agg(F.count("*").alias("all_groups")).select(
+        latest_groups.alias("latest_groups"), "all_groups"
+    )
+
+
 # Insight tables and charts.
 
 
@@ -150,7 +220,17 @@ def share(name, spark, folder):
 
 def chart(name, spark, folder):
     """The arrays as text, numbers as decimals, since engines print doubles differently."""
-    arrays = shaping.series(cut_lineage(_build(name, spark, folder), "insight"), name)
+    return _chart_text(shaping.series(_build(name, spark, folder), name))
+
+
+def series_empty(spark, folder):
+    """The chart of an insight over no transactions."""
+    wanted = insights.insight("fraud_category")
+    none = transactions(spark, folder, [*wanted.reads, "user_age"]).filter("user_age > 1000")
+    return _chart_text(shaping.series(wanted.build(none), "fraud_category"))
+
+
+def _chart_text(arrays):
 
     def text(field):
         is_double = isinstance(field.dataType.elementType, T.DoubleType)
@@ -208,7 +288,14 @@ def dq_domain_violations(spark, folder):
         .select(F.col("p_type").alias("category"), F.col("p_brand").alias("sub_category"))
         .distinct(),
     }
-    fields = ["transaction_id", "user_city", "category", "sub_category"]
+    for field, values in quality.DOMAINS.items():
+        if field != "user_city":  # all but the last value, so that there is something to find
+            rows = [(value,) for value in values[:-1]]
+            allowed[field,] = spark.createDataFrame(rows, f"{field} string")
+    fields = [
+        "transaction_id", "user_city", "category", "sub_category", "payment_method", "user_device",
+        "user_gender",
+    ]
     return quality.domain_violations(dirty_transactions(spark, folder, fields), allowed)
 
 
@@ -221,15 +308,8 @@ def dq_range_violations(spark, folder):
 
 
 def quarantine_rows(spark, folder):
-    rows = dirty_transactions(spark, folder)
-    messages = rows.select(
-        F.when(F.col("unreadable"), "junk")
-        .otherwise(F.to_json(F.struct(*[name for name in rows.columns if name != "unreadable"])))
-        .cast("binary")
-        .alias("value")
-    )
-    _, bad = quality.split_quarantine(messages)
-    return bad.select("reason", "user_id", "product_id", "timestamp", "total_amount")
+    _, bad = quality.split_quarantine(dirty_feed(spark, folder).read(spark, TRANSACTIONS_TOPIC))
+    return bad.select(*_REFUSED)
 
 
 # Model.
@@ -254,25 +334,33 @@ def train_test_split(spark, folder):
 
 
 def _trained(spark, folder):
-    """The training job's model, once per session and folder."""
+    """The training job's model as loaded, and its test part with scores; once per session and folder."""
     key = (shared_folder(spark), spark.sparkContext.applicationId, folder)
     if key not in _models:
         path = fresh_folder(spark, "model")
-        _, area = jobs.training_job(spark, feed(spark, folder), path)
-        _models[key] = model.load(path), area
+        trained = jobs.training_job(spark, feed(spark, folder), path)
+        rows = model.complete_rows(transactions(spark, folder, model.MODEL_INPUTS))
+        fitted = model.load(path)
+        _, test = model.stable_split(rows)
+        _models[key] = fitted, model.score(fitted, test), trained.area
     return _models[key]
 
 
 def fraud_model_predict(spark, folder):
-    fitted, _ = _trained(spark, folder)
-    rows = model.complete_rows(transactions(spark, folder, model.MODEL_INPUTS))
-    _, test = model.stable_split(rows)
-    scored = model.score(fitted, test)
-    return scored.select("transaction_id", "fraud_label", "prediction", "fraud_probability")
+    """The test part, and whether the saved weights give each score."""
+    fitted, scored, _ = _trained(spark, folder)
+    checked = model.checked_scores(fitted, scored)
+    return checked.select("transaction_id", "fraud_label", "probability_holds", "prediction_holds")
 
 
 def fraud_model_auc(spark, folder):
-    return _trained(spark, folder)[1]
+    """The test part by label, and whether the job's area is that of the evaluator on all thresholds."""
+    _, scored, area = _trained(spark, folder)
+    exact = model.evaluator_area(scored, bins=0)
+    counts = scored.agg(
+        F.count_if("fraud_label = 1").alias("positives"), F.count_if("fraud_label <> 1").alias("negatives")
+    )
+    return counts.select("*", (F.abs(area.scalar() - exact) < 1e-6).alias("area_holds"))
 
 
 # Streams.
@@ -306,6 +394,35 @@ def stream_insights(spark, folder):
     return result
 
 
+def stream_sales(spark, folder):
+    """All sales tables from one stream in long form: counts, and the fraud table's percentages."""
+    topics, names = _new_topics(spark), insights.SALES_INSIGHTS
+    streams.start_insights(
+        spark, feed(spark, folder), topics, names, fresh_folder(spark, "stream"), available_now=True
+    ).awaitTermination()
+    parts = []
+    for name in names:
+        value = "fraud_percentage" if name == "fraud" else "transaction_count"
+        parts.append(read_insight(spark, topics, name, latest=True).select(
+            F.lit(name).alias("insight"), F.col(insights.insight(name).dimension).alias("key"),
+            F.col(value).cast("double").alias("value"),
+        ))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def stream_two_queries(spark, folder):
+    """Two queries with checkpoints of their own into one topic; both runs are there."""
+    topics, source = _new_topics(spark), feed(spark, folder)
+    for _ in range(2):
+        streams.start_insight(
+            spark, source, topics, "payment_method", fresh_folder(spark, "stream"), available_now=True
+        ).awaitTermination()
+    every = read_insight(spark, topics, "payment_method")
+    return every.groupBy("payment_method").agg(
+        F.max("transaction_count").alias("transaction_count"), F.count_distinct("run_id").alias("runs")
+    )
+
+
 def stream_decode(spark, folder):
     path, checkpoint = fresh_folder(spark, "decoded"), fresh_folder(spark, "stream")
     streams.start_decode(
@@ -320,10 +437,15 @@ QUERIES = {
     "typed_transactions": typed_transactions,
     "decode_events_props": decode_events_props,
     "total_rows": total_rows,
+    "csv_reordered": csv_reordered,
     "detail_cells": cells,
+    "detail_cells_large": cells_large,
     "detail_upsert": detail_upsert,
+    "detail_quarantine": detail_quarantine,
+    "detail_counts": detail_counts,
     "publish_insight": published,
     "insight_latest": insight_latest,
+    "insight_latest_empty_run": insight_latest_empty_run,
     "category_analytics": partial(table, "category"),
     "payment_method_distribution": partial(table, "payment_method"),
     "age_distribution": partial(table, "age_group"),
@@ -340,6 +462,7 @@ QUERIES = {
         for name, wanted in insights.INSIGHTS.items()
         if wanted.series
     },
+    "series_empty": series_empty,
     "rule_risk_score": rule_risk_score,
     "risk_calibration": risk_calibration,
     "score_auc": score_auc,
@@ -357,5 +480,7 @@ QUERIES = {
     "stream_fraud_category": partial(stream, "fraud_category"),
     "stream_category": partial(stream, "category"),
     "stream_insights": stream_insights,
+    "stream_sales": stream_sales,
+    "stream_two_queries": stream_two_queries,
     "stream_decode": stream_decode,
 }

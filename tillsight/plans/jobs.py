@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from typing import NamedTuple
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.functions.codec import apply_types, decode_rows, decode_transactions
+from tillsight.functions.codec import decode_transactions
 from tillsight.operators import model
 from tillsight.operators.detail import detail_rows, latest_transactions
 from tillsight.operators.insights import (
@@ -17,8 +20,8 @@ from tillsight.operators.insights import (
     pick,
 )
 from tillsight.operators.latest import arrival_order
-from tillsight.schema import raw_schema
-from tillsight.sinks.detail_store import write_detail_parquet, write_detail_store
+from tillsight.operators.quality import judge_keys
+from tillsight.sinks.detail_store import read_version, write_detail_store, write_version
 from tillsight.sinks.publish import TRANSACTIONS_TOPIC, new_run_id, publish_insight
 from tillsight.workspace import cut_lineage
 
@@ -47,45 +50,91 @@ def fraud_job(spark: SparkSession, source, target, run_id: int | None = None):
 
 
 def show(tables: dict[str, DataFrame], rows: int = 20) -> None:
-    """The first rows of each table on the console."""
-    for table in tables.values():
+    """The first rows of each table on the console, and how many more there are."""
+    for name, table in tables.items():
         table.show(rows)
+        left = table.count() - rows
+        if left > 0:
+            print(f"{name}: {left} more rows")
+
+
+@dataclass(frozen=True)
+class Load:
+    """What a load did with the messages it read."""
+
+    rows_read: int
+    stored: int
+    refused: int
+
+    @property
+    def replaced(self) -> int:
+        """Messages that a later one of the same id stands for."""
+        return self.rows_read - self.stored - self.refused
 
 
 def arrivals(spark: SparkSession, source) -> DataFrame:
-    """Typed transactions with the order in which they arrived."""
+    """Messages with their id, why they are refused if they are, and the order of arrival."""
     messages = source.read(spark, TRANSACTIONS_TOPIC).withColumn("arrival", arrival_order())
-    return apply_types(decode_rows(messages, raw_schema(), keep=["arrival"]))
+    return judge_keys(messages, keep=["arrival"])
 
 
-def detail_job(spark: SparkSession, source, path: str | None = None, open_writer=None) -> int | None:
+def detail_job(
+    spark: SparkSession, source, path: str | None = None, open_writer=None, refused_path: str | None = None
+) -> Load:
     """The topic into the detail table, the last message per id.
 
-    Into Parquet at ``path``, or into the store that ``open_writer`` connects
-    to; the latter returns the number of rows put. Each task's rows are in key
-    order, which the aggregation leaves them in: no sort or shuffle is added,
-    and Parquet files can be skipped by their key ranges.
+    Into a new version of the Parquet table at ``path``, or into the store
+    that ``open_writer`` connects to. Messages that cannot be read or have no
+    id go to the table at ``refused_path`` (beside ``path`` by default) with
+    reason and raw value. Each task's rows are in key order, which the
+    aggregation leaves them in: no sort or shuffle is added, and Parquet files
+    can be skipped by their key ranges.
     """
-    latest = latest_transactions(arrivals(spark, source)).sortWithinPartitions("transaction_id")
+    judged = arrivals(spark, source)
+    refused = judged.filter("reason is not null").select("reason", "value", "arrival")
+    refused_path = refused_path or (path and f"{path}-refused")
+    if refused_path:
+        write_version(refused, refused_path)
+        refused = read_version(spark, refused_path)
+    latest = latest_transactions(judged.filter("reason is null")).sortWithinPartitions("transaction_id")
     rows = detail_rows(latest)
     if open_writer is not None:
-        return write_detail_store(rows, open_writer)
-    write_detail_parquet(rows, path)
-    return None
+        stored = write_detail_store(rows, open_writer)
+    else:
+        write_version(rows, path)
+        stored = read_version(spark, path).count()
+    # Stored tables and topics count their rows without reading them.
+    return Load(source.read(spark, TRANSACTIONS_TOPIC).count(), stored, refused.count())
 
 
-def training_job(
-    spark: SparkSession, source, path: str, split=model.stable_split
-) -> tuple[PipelineModel, DataFrame]:
-    """Trains on four fifths of the topic, saves the model, returns it and its test area.
+class Training(NamedTuple):
+    """The fitted model, its area on the test part, and what went in."""
+
+    model: PipelineModel
+    area: DataFrame
+    rows_read: int
+    left_out: int
 
-    ``split`` may be ``model.random_split`` for a draw that varies with partitioning.
+
+def training_job(
+    spark: SparkSession, source, path: str, split=model.stable_split, unseen: str = "keep", missing: str = "drop"
+) -> Training:
+    """Trains on four fifths of the topic and saves the model.
+
+    ``split`` may be ``model.random_split`` for a draw that varies with
+    partitioning. ``unseen`` is what to do with a category that the training
+    part lacks: ``keep`` gives all such values one index, ``skip`` leaves their
+    rows out of the scores, ``error`` fails. ``missing`` is ``drop``, or
+    ``keep`` to treat a missing category as such a value; rows without a
+    number or label are left out either way.
     """
-    rows = decode_transactions(
-        source.read(spark, TRANSACTIONS_TOPIC), model.MODEL_INPUTS
-    )
-    complete = cut_lineage(model.complete_rows(rows), "model-inputs")
+    messages = source.read(spark, TRANSACTIONS_TOPIC)
+    rows = decode_transactions(messages, model.MODEL_INPUTS)
+    complete = model.complete_rows(rows, missing).withColumn("_draw", model.split_draw())
+    complete = cut_lineage(complete, "model-inputs")
     training, test = split(complete)
-    fitted = model.train(training)
+    fitted = model.train(training.drop("_draw"), "keep" if missing == "keep" else unseen)
     model.save(fitted, path)
-    return fitted, model.area_under_roc(model.score(fitted, test))
+    area = model.area_under_roc(model.score(fitted, test.drop("_draw")))
+    read = messages.count()
+    return Training(fitted, area, read, read - complete.count())

@@ -167,6 +167,20 @@ def _fraud_long():
     return f"WITH {_TRANSACTIONS} " + " UNION ALL ".join(parts)
 
 
+def _sales_long():
+    """Five sales tables by their count, and the fraud table by its percentage."""
+    counted = {"category": "category", "payment_method": "payment_method",
+               "age_group": "age_group", "city": "user_city", "device": "user_device"}
+    parts = [
+        f"SELECT '{name}' AS insight, {column} AS key, CAST(count(transaction_id) AS DOUBLE) AS value "
+        f"FROM labelled GROUP BY {column}"
+        for name, column in counted.items()
+    ]
+    parts.append(f"SELECT 'fraud' AS insight, category AS key, {_PERCENTAGE} AS value "
+                 "FROM labelled GROUP BY category")
+    return f"WITH {_TRANSACTIONS} " + " UNION ALL ".join(parts)
+
+
 _NUMERIC = ["price", "quantity", "total_amount", "user_age", "user_income"]
 _CATEGORICAL = ["category", "sub_category", "payment_method", "user_device", "user_city",
                 "user_gender"]
@@ -198,6 +212,12 @@ def _split():
     return _from(f"transaction_id, {part}", rest=f"WHERE {_COMPLETE}")
 
 
+def _test_part(selection):
+    names = ["transaction_id", *_CATEGORICAL, "quantity", "user_age", "user_income"]
+    draw = f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(names)})), 1, 8) AS BIGINT)"
+    return _from(selection, rest=f"WHERE {_COMPLETE} AND {draw} >= 3435973836")
+
+
 def _auc():
     return f"""WITH {_TRANSACTIONS},
     groups AS (
@@ -220,7 +240,16 @@ def _domain():
     FROM dirty
     WHERE category IS NOT NULL AND NOT EXISTS (
       SELECT 1 FROM part WHERE p_type = category AND p_brand = sub_category
-        AND (p_type <> 'PROMO' OR p_brand < 'Brand#3'))"""
+        AND (p_type <> 'PROMO' OR p_brand < 'Brand#3'))
+    UNION ALL
+    SELECT transaction_id, 'payment_method' AS field, payment_method AS value FROM dirty
+    WHERE payment_method NOT IN ('CreditCard', 'DebitCard', 'PayPal')
+    UNION ALL
+    SELECT transaction_id, 'user_device' AS field, user_device AS value FROM dirty
+    WHERE user_device NOT IN ('Desktop', 'Mobile')
+    UNION ALL
+    SELECT transaction_id, 'user_gender' AS field, user_gender AS value FROM dirty
+    WHERE user_gender NOT IN ('M', 'F')"""
 
 
 def _ranges():
@@ -258,18 +287,35 @@ def _quarantine():
     )
 
 
+def _load_counts():
+    good = "mod(l_orderkey, 211) <> 0 AND transaction_id IS NOT NULL"
+    stored = f"count(DISTINCT transaction_id) FILTER (WHERE {good})"
+    return _from(
+        f"count(*) AS rows_read, {stored} AS stored, count(*) FILTER (WHERE {good}) - {stored} "
+        f"AS replaced, count(*) FILTER (WHERE NOT ({good})) AS refused", _DIRTY, "dirty",
+    )
+
+
 _RECORDS = _from(_COLUMNS)
 _BY_CATEGORY = _group("category", _FRAUD)
 
 ORACLE = {
     "decode_roundtrip": _RECORDS,
     "csv_roundtrip": _RECORDS,
+    "csv_reordered":
+        _from(_COLUMNS.replace("user_city", "CAST(NULL AS VARCHAR) AS user_city")),
     "typed_transactions": _RECORDS,
     "decode_events_props":
         "SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events",
     "total_rows": _from("count(*) AS total_rows"),
     "detail_cells": _cells(),
+    "detail_cells_large": _from(
+        "transaction_id, CAST(price * 1e6 AS VARCHAR) AS price, "
+        "CAST(floor(price) / 1e7 AS VARCHAR) AS total_amount"
+    ),
     "detail_upsert": _upsert(),
+    "detail_quarantine": _quarantine(),
+    "detail_counts": _load_counts(),
     "publish_insight": _BY_CATEGORY,
     "insight_latest": _BY_CATEGORY,
     "category_analytics": _group("category", _AMOUNTS),
@@ -304,6 +350,7 @@ ORACLE = {
     "series_fraud_city": _rated("cities", "user_city"),
     "series_fraud_age": _rated("age_groups", "age_group"),
     "series_fraud_income": _rated("income_groups", "income_group"),
+    "series_empty": "SELECT '' AS categories, '' AS fraud_percentages",
     "rule_risk_score": _from("transaction_id, risk, fraud_label"),
     "risk_calibration": _group("risk", _FRAUD),
     "score_auc": _auc(),
@@ -322,5 +369,14 @@ ORACLE = {
     "stream_fraud_category": _BY_CATEGORY,
     "stream_category": _group("category", _AMOUNTS),
     "stream_insights": _fraud_long(),
+    "stream_sales": _sales_long(),
+    "stream_two_queries": _group("payment_method", f"{_COUNT}, 2 AS runs"),
+    "insight_latest_empty_run":
+        f"SELECT 0 AS latest_groups, count(*) AS all_groups FROM ({_BY_CATEGORY})",
+    "fraud_model_predict": _test_part("transaction_id, fraud_label, true AS probability_holds, "
+                                      "true AS prediction_holds"),
+    "fraud_model_auc": _test_part("count(*) FILTER (WHERE fraud_label = 1) AS positives, "
+                                  "count(*) FILTER (WHERE fraud_label <> 1) AS negatives, "
+                                  "true AS area_holds"),
     "stream_decode": _RECORDS,
 }

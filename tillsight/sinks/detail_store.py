@@ -6,15 +6,45 @@ from collections.abc import Callable
 from itertools import batched
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.functions.cells import FAMILIES
 
 
-def write_detail_parquet(rows: DataFrame, path: str) -> None:
-    """Rows of the wide form, one Parquet file per partition in the order they have."""
-    rows.write.mode("overwrite").parquet(path)
+def write_version(rows: DataFrame, path: str) -> None:
+    """A new version of the table at ``path``, beside those it has.
+
+    Readers see it once it is complete; a job that fails leaves the version
+    before. Old versions stay until someone removes their folders.
+    """
+    numbers = [int(name.removeprefix(_VERSION)) for name in _versions(rows.sparkSession, path)]
+    rows.write.parquet(f"{path}/{_VERSION}{max(numbers, default=0) + 1:09d}")
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete version of the table at ``path``."""
+    complete = _versions(spark, path, complete=True)
+    if not complete:
+        raise ValueError(f"no complete version under {path}")
+    return spark.read.parquet(f"{path}/{complete[-1]}")
+
+
+_VERSION = "version-"
+
+
+def _versions(spark: SparkSession, path: str, complete: bool = False) -> list[str]:
+    """Names of the versions, through the file system that Spark itself uses."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(hadoop.Path(path)):
+        return []
+    names = (status.getPath().getName() for status in files.listStatus(hadoop.Path(path)))
+    return sorted(
+        name for name in names
+        if name.startswith(_VERSION)
+        and (not complete or files.exists(hadoop.Path(f"{path}/{name}/_SUCCESS")))
+    )
 
 
 def write_detail_store(

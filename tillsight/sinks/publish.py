@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.functions.codec import as_text, encode_rows
@@ -23,22 +23,37 @@ def publish_insight(
     """An insight table as messages, one per row.
 
     Insight topics only grow. With a ``run_id`` (any number that rises from
-    run to run) a reader can tell the latest table from earlier ones.
+    run to run) a last message tells how many rows the run has, so a reader
+    can tell the latest whole table from earlier ones and from one cut short.
     """
     topics.write(_stamped(insight, run_id, ignore_null_fields), topic)
 
 
-def publish_insight_batch(insight: DataFrame, topics, topic: str, batch_id: int) -> None:
-    """The same from a micro-batch, as a run of its own."""
-    topics.write_batch(_stamped(insight, new_run_id(), True), topic, batch_id)
+def publish_insight_batch(insight: DataFrame, topics, topic: str, run_id: int) -> None:
+    """The same from a micro-batch; a replay of the run replaces it where the topic can."""
+    topics.write_batch(_stamped(insight, run_id, True), topic, run_id)
 
 
 def new_run_id() -> int:
-    """Rises from run to run, for batch jobs and streams alike."""
+    """The time; give a number of your own where clocks of several machines are used."""
     return time.time_ns()
 
 
+def first_run_id(spark: SparkSession, checkpoint: str) -> int:
+    """The number that a stream's micro-batches are counted on from.
+
+    Drawn once for a checkpoint and kept beside it, so a replayed batch has the
+    number it had, and a query on a new checkpoint comes after the old one.
+    """
+    path = f"{checkpoint}-first-run"
+    spark.createDataFrame([(new_run_id(),)], "run_id bigint").coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.parquet(path).first()["run_id"]
+
+
 def _stamped(insight, run_id, ignore_null_fields):
-    if run_id is not None:
-        insight = insight.withColumn("run_id", F.lit(run_id).cast("bigint"))
-    return encode_rows(insight, ignore_null_fields)
+    if run_id is None:
+        return encode_rows(insight, ignore_null_fields)
+    number = F.lit(run_id).cast("bigint").alias("run_id")
+    end = insight.agg(F.count("*").alias("run_rows")).select(number, "run_rows")
+    rows = encode_rows(insight.select("*", number), ignore_null_fields)
+    return rows.unionAll(encode_rows(end, ignore_null_fields))

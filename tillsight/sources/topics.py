@@ -6,7 +6,8 @@ Both kinds offer the same four calls, and jobs take either one:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -22,18 +23,25 @@ class KafkaTopics:
 
     A topic partition is read by several tasks when it holds more than
     ``records_per_task``, so one overfull partition does not hold up a job.
+    Offsets are what the connector takes: a word, or JSON of partitions to
+    offsets. ``options`` go to reader and writer as they are, such as those
+    for security or for lost data.
     """
 
     bootstrap_servers: str
     records_per_task: int = 1_000_000
+    starting_offsets: str = "earliest"
+    ending_offsets: str = "latest"
+    options: Mapping[str, str] = field(default_factory=dict)
 
     def batch_options(self, topic: str) -> dict[str, str]:
         return {
             "kafka.bootstrap.servers": self.bootstrap_servers,
             "subscribe": topic,
-            "startingOffsets": "earliest",
-            "endingOffsets": "latest",
+            "startingOffsets": self.starting_offsets,
+            "endingOffsets": self.ending_offsets,
             "maxRecordsPerPartition": str(self.records_per_task),
+            **self.options,
         }
 
     def stream_options(self, topic: str, max_per_trigger: int | None = None) -> dict[str, str]:
@@ -41,15 +49,16 @@ class KafkaTopics:
         options = {
             "kafka.bootstrap.servers": self.bootstrap_servers,
             "subscribe": topic,
-            "startingOffsets": "earliest",
+            "startingOffsets": self.starting_offsets,
             "maxRecordsPerPartition": str(self.records_per_task),
+            **self.options,
         }
         if max_per_trigger is not None:
             options["maxOffsetsPerTrigger"] = str(max_per_trigger)
         return options
 
     def write_options(self, topic: str) -> dict[str, str]:
-        return {"kafka.bootstrap.servers": self.bootstrap_servers, "topic": topic}
+        return {"kafka.bootstrap.servers": self.bootstrap_servers, "topic": topic, **self.options}
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         return spark.read.format("kafka").options(**self.batch_options(topic)).load()
@@ -61,26 +70,37 @@ class KafkaTopics:
     def write(self, messages: DataFrame, topic: str) -> None:
         messages.select("value").write.format("kafka").options(**self.write_options(topic)).save()
 
-    def write_batch(self, messages: DataFrame, topic: str, batch_id: int) -> None:
-        """One micro-batch. A replayed batch is sent again; readers drop the repeats."""
+    def write_batch(self, messages: DataFrame, topic: str, run_id: int) -> None:
+        """One micro-batch. A replayed batch is sent again, under the number it had."""
         self.write(messages, topic)
 
 
 @dataclass(frozen=True)
 class FileTopics:
-    """Topics as folders of Parquet envelopes under ``root``."""
+    """Topics as folders of Parquet envelopes under ``root``.
+
+    A batch read takes messages that arrived from ``since`` on and before
+    ``until``, both times as Spark reads them; the place of offsets.
+    """
 
     root: str
+    since: str | None = None
+    until: str | None = None
 
     def path(self, topic: str) -> str:
         return f"{self.root}/{topic}"
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
-        return (
+        messages = (
             spark.read.schema(ENVELOPE)
             .option("recursiveFileLookup", "true")
             .parquet(self.path(topic))
         )
+        if self.since is not None:
+            messages = messages.filter(F.col("timestamp") >= F.lit(self.since).cast("timestamp"))
+        if self.until is not None:
+            messages = messages.filter(F.col("timestamp") < F.lit(self.until).cast("timestamp"))
+        return messages
 
     def read_stream(self, spark: SparkSession, topic: str, max_per_trigger=None) -> DataFrame:
         """``max_per_trigger`` counts files here, as folders have no offsets to count."""
@@ -92,9 +112,9 @@ class FileTopics:
     def write(self, messages: DataFrame, topic: str) -> None:
         self._writer(messages, topic).mode("append").parquet(self.path(topic))
 
-    def write_batch(self, messages: DataFrame, topic: str, batch_id: int) -> None:
-        """One micro-batch in its own folder, so a replay replaces it."""
-        folder = f"{self.path(topic)}/batch-{batch_id}"
+    def write_batch(self, messages: DataFrame, topic: str, run_id: int) -> None:
+        """One micro-batch in a folder of its run, so a replay replaces it and nothing else."""
+        folder = f"{self.path(topic)}/run-{run_id}"
         self._writer(messages, topic).mode("overwrite").parquet(folder)
 
     @staticmethod
@@ -115,9 +135,9 @@ class FileTopics:
         }
         given = set(messages.columns)
         envelopes = messages.select(*[
-            (F.col(field.name) if field.name in given else columns[field.name])
-            .cast(field.dataType)
-            .alias(field.name)
-            for field in ENVELOPE
+            (F.col(column.name) if column.name in given else columns[column.name])
+            .cast(column.dataType)
+            .alias(column.name)
+            for column in ENVELOPE
         ])
         return envelopes.write.option("parquet.block.size", _ROW_GROUP_BYTES)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillsight.functions.codec import decode_transactions
 from tillsight.operators.insights import fields_for, insight, one_pass, pick
-from tillsight.sinks.publish import TRANSACTIONS_TOPIC, publish_insight_batch
+from tillsight.sinks.publish import TRANSACTIONS_TOPIC, first_run_id, publish_insight_batch
 
 # An insight has few groups, so its state needs few partitions, whatever the
 # cluster's setting for batch shuffles; each partition costs a task and a state
@@ -44,16 +44,11 @@ def start_insight(
     readers take the latest run.
     """
     wanted = insight(name)
+    own = _session(spark, state_partitions)
     table = wanted.build(
-        transaction_stream(spark, source, wanted.reads, max_per_trigger=max_per_trigger)
-    )
-
-    def publish(batch, batch_id):
-        publish_insight_batch(batch, target, wanted.topic, batch_id)
-
-    return _start(
-        table, publish, f"{checkpoint}/{wanted.topic}", available_now, state_partitions
+        transaction_stream(own, source, wanted.reads, max_per_trigger=max_per_trigger)
     )
+    return _start(own, table, target, {name: lambda batch: batch}, f"{checkpoint}/{wanted.topic}", available_now)
 
 
 def start_insights(
@@ -67,17 +62,10 @@ def start_insights(
     state_partitions: int = STATE_PARTITIONS,
 ) -> StreamingQuery:
     """Several insight tables from one read of the topic."""
-    rows = transaction_stream(spark, source, fields_for(names), max_per_trigger=max_per_trigger)
-
-    def publish(batch, batch_id):
-        batch.persist()
-        for name in names:
-            publish_insight_batch(pick(batch, name), target, insight(name).topic, batch_id)
-        batch.unpersist()
-
-    return _start(
-        one_pass(rows, names), publish, f"{checkpoint}/insights", available_now, state_partitions
-    )
+    own = _session(spark, state_partitions)
+    rows = transaction_stream(own, source, fields_for(names), max_per_trigger=max_per_trigger)
+    tables = {name: partial(pick, name=name) for name in names}
+    return _start(own, one_pass(rows, names), target, tables, f"{checkpoint}/insights", available_now)
 
 
 def start_decode(
@@ -104,26 +92,31 @@ def start_console(rows: DataFrame) -> StreamingQuery:
     return rows.writeStream.outputMode("append").format("console").start()
 
 
-def _start(table, publish, checkpoint, available_now, state_partitions):
+def _session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A session of the stream's own, as its state has fewer partitions than other shuffles."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    return own
+
+
+def _start(spark, table, target, tables, checkpoint, available_now):
+    """Publishes, at each trigger, the tables that are made of the batch."""
+    first = first_run_id(spark, checkpoint)
+
+    def publish(batch, batch_id):
+        batch.persist()
+        try:
+            for name, build in tables.items():
+                publish_insight_batch(build(batch), target, insight(name).topic, first + batch_id)
+        finally:
+            batch.unpersist()
+
     writer = (
         table.writeStream.outputMode("complete")
         .foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
     )
-    with _shuffle_partitions(table.sparkSession, state_partitions):
-        return _trigger(writer, available_now).start()
-
-
-@contextmanager
-def _shuffle_partitions(spark, number):
-    """The setting as a query finds it when it starts; queries keep their own copy."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, number)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    return _trigger(writer, available_now).start()
 
 
 def _trigger(writer, available_now):
