@@ -4,6 +4,7 @@ from tillsight.__main__ import parser, run
 from tillsight.operators.insights import insight
 from tillsight.operators.latest import read_insight
 from tillsight.sinks.csv_files import write_csv
+from tillsight.sinks.detail_store import read_version
 from tillsight.sources.warehouse import transactions
 
 
@@ -19,20 +20,30 @@ def test_from_csv_to_charts(spark, small, tmp_path, capsys):
     command("publish", str(tmp_path / "csv"))
     command("sales", "--income")
     assert read_insight(spark, _topics(tmp_path), "income").count() > 100
-    assert "fraud_percentage" in command("fraud")
+    shown = command("fraud", "--rows", "3")
+    assert "fraud_percentage" in shown and "more rows" in shown
 
     arrays = json.loads(command("series", "device"))
     counts = {row[0]: row[1] for row in insight("device").build(rows).collect()}
     assert dict(zip(arrays["labels"], arrays["values"])) == counts
 
-    command("detail", str(tmp_path / "detail"))
-    stored = spark.read.parquet(str(tmp_path / "detail"))
+    assert f"{rows.count()} read" in command("detail", str(tmp_path / "detail"))
+    stored = read_version(spark, str(tmp_path / "detail"))
     assert stored.count() == rows.select("transaction_id").distinct().count()
-    assert "area_under_roc" in command("train", str(tmp_path / "model"))
+    trained = command("train", str(tmp_path / "model"), "--unseen", "keep", "--random-split", "7")
+    assert "area_under_roc" in trained and "left out" in trained
 
     checkpoint = str(tmp_path / "checkpoint")
     command("publish", str(tmp_path / "csv"))
-    command("stream", "device", "category", "--checkpoint", checkpoint, "--available-now")
+    command(
+        "stream", "device", "category", "--checkpoint", checkpoint, "--available-now",
+        "--max-per-trigger", "5",
+    )
+    command(
+        "stream", "records", "--path", str(tmp_path / "records"), "--checkpoint",
+        str(tmp_path / "records-checkpoint"), "--available-now",
+    )
+    assert spark.read.parquet(str(tmp_path / "records")).count() == 2 * rows.count()
     arrays = json.loads(command("series", "device"))
     assert dict(zip(arrays["labels"], arrays["values"])) == {k: 2 * n for k, n in counts.items()}
 

@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as contract
+from tillsight.plans.catalog import QUERIES
 
-QUERIES = contract.queries()
 WRITING = {"decode_roundtrip", "csv_roundtrip", "detail_upsert", "publish_insight",
-           "insight_latest", "score_auc", "fraud_model_predict", "fraud_model_auc"}
+           "insight_latest", "insight_latest_empty_run", "csv_reordered",
+           "detail_quarantine", "detail_counts", "quarantine_rows", "score_auc", "fraud_model_predict", "fraud_model_auc"}
 LAZY = sorted(
     name for name in QUERIES
     if name not in WRITING and not name.startswith(("series_", "stream_"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.functions.codec import apply_types, parse_json, payload_text
+from tillsight.functions.codec import apply_types, payload_text
 from tillsight.operators.detail import has_key
 from tillsight.schema import COLUMNS, raw_schema
 

@@ -32,7 +32,7 @@ from tillsight.sources.warehouse import (
     transactions,
 )
 from tillsight.streaming import insight_streams as streams
-from tillsight.workspace import cut_lineage, fresh_folder, shared_folder
+from tillsight.workspace import fresh_folder, shared_folder
 
 # Engines add doubles in different orders. Averages are compared to this many
 # decimals, and are rounded as decimals so that exact halves go the same way.
@@ -358,7 +358,7 @@ def fraud_model_auc(spark, folder):
     _, scored, area = _trained(spark, folder)
     exact = model.evaluator_area(scored, bins=0)
     counts = scored.agg(
-        F.count_if("fraud_label = 1").alias("positives"), F.count_if("fraud_label <> 1").alias("negatives")
+        F.count_if(F.col("fraud_label") == 1).alias("positives"), F.count_if(F.col("fraud_label") != 1).alias("negatives")
     )
     return counts.select("*", (F.abs(area.scalar() - exact) < 1e-6).alias("area_holds"))
 
