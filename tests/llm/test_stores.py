@@ -284,7 +284,7 @@ def test_pipeline_stages(spark, small):
     assert sorted(r.doc_id for r in whole.collect()) == sorted(r.doc_id for r in packed.collect())
 
 
-@pytest.mark.parametrize("name", ["op9_warc", "op10_line_dedup"])
+@pytest.mark.parametrize("name", ["op2_ngram_join", "op3_substring_dedup", "op9_warc", "op10_line_dedup"])
 def test_equals_sql(spark, medium, name):
     import duckdb
 

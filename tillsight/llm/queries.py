@@ -88,7 +88,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
+_WORDS = r"""words AS (
+    SELECT doc_id, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') AS words FROM documents
+)"""
+_LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
 ORACLE = {
+    "op2_ngram_join": f"""
+WITH RECURSIVE {_WORDS.format(text=_LOWERED)}, grams AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS gram
+    FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS i FROM words)
+    WHERE len(words) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a
+)
+SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reached r LEFT JOIN sizes ON sizes.doc_id = r.doc_id GROUP BY r.doc_id
+""",
+    "op3_substring_dedup": f"""
+WITH {_WORDS.format(text="coalesce(text, '')")}, windows AS (
+    SELECT doc_id, i, array_to_string(list_slice(words, i, i + 19), ' ') AS said
+    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS i FROM words)
+), later AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY said ORDER BY doc_id, i) AS nth FROM windows
+    ) WHERE nth > 1
+), gone AS (
+    SELECT DISTINCT doc_id, i + k AS i FROM later, generate_series(0, 19) AS steps(k)
+), single AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM words
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+    FROM single ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM words w LEFT JOIN kept ON kept.doc_id = w.doc_id
+""",
     "op9_warc": """
 WITH p AS (
     SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
