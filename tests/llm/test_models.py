@@ -71,6 +71,18 @@ def test_quality_agrees_with_labels(spark, medium):
     assert sum(kept == bool(label) for kept, label in pairs) >= 0.97 * len(pairs)
 
 
+def test_clean_documents_without_a_label_are_kept(spark, medium):
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    labels = spark.read.parquet(f"{medium}/labels.parquet")
+    kept = []
+    for half in (0, 1):
+        some = labels.filter(f"pmod(xxhash64(doc_id, 5), 2) = {half}")
+        hidden = labels.join(some, "doc_id", "left_anti").filter("quality = 1")
+        found = quality.quality_verdicts(docs, some).filter("not base_failed").join(hidden, "doc_id")
+        kept += [row.kept for row in found.collect()]
+    assert sum(kept) >= 0.95 * len(kept) > 200
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
