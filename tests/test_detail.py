@@ -128,6 +128,28 @@ def test_failed_load_leaves_the_version_before(spark, tmp_path):
         read_version(spark, str(tmp_path / "nothing"))
 
 
+def test_load_from_a_start_keeps_the_rows_before(spark, tmp_path):
+    topics, path = FileTopics(str(tmp_path / "topics")), str(tmp_path / "table")
+    sent = [("a", "1", "01"), ("b", "1", "01"), ("a", "2", "02"), ("c", "1", "02"), ("b", "0", "00")]
+    rows = spark.createDataFrame(sent, "transaction_id string, quantity string, day string")
+    value = F.to_json(F.struct("transaction_id", "quantity")).alias("value")
+    messages = rows.select(value, F.concat(F.lit("2024-01-1"), F.substring("day", 2, 1)).cast("timestamp").alias("timestamp"))
+    later = FileTopics(topics.root, since="2024-01-12")
+    topics.write(messages.filter("timestamp < '2024-01-12'"), "transactions")
+    with pytest.raises(ValueError):
+        jobs.detail_job(spark, later, path)
+    jobs.detail_job(spark, topics, path)
+    topics.write(messages.filter("timestamp >= '2024-01-12'"), "transactions")
+    again = FileTopics(topics.root, since="2024-01-10", until="2024-01-11")
+    for source, counts in ((later, (2, 3, 1)), (again, (1, 3, 1))):
+        load = jobs.detail_job(spark, source, path)
+        assert (load.rows_read, load.stored, load.replaced) == counts
+        stored = read_version(spark, path)
+        assert stored.columns == ["row_key", *FAMILIES]
+        found = {bytes(r.row_key): bytes(r.transaction_data.quantity) for r in stored.collect()}
+        assert found == {b"a": b"2", b"b": b"1", b"c": b"1"}
+
+
 def _made(path):
     path.mkdir()
     return path

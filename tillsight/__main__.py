@@ -37,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
     sales.add_argument("--income", action="store_true", help="average spending per income too")
     fraud = commands.add_parser("fraud", help="fraud insights to their topics, and on the console")
     fraud.add_argument("--rows", type=int, default=20, help="rows of each table to show")
-    detail = commands.add_parser("detail", help="latest message per id to a Parquet table")
+    detail = commands.add_parser("detail", help="latest message per id to a Parquet table; with --from, added to it")
     detail.add_argument("path")
     train = commands.add_parser("train", help="fit, save and evaluate the fraud model")
     train.add_argument("path")

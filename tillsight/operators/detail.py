@@ -16,20 +16,23 @@ def has_key() -> Column:
     return F.col("transaction_id").isNotNull() & (F.col("transaction_id") != "")
 
 
-def latest_transactions(messages: DataFrame) -> DataFrame:
+def latest_transactions(messages: DataFrame, keep=()) -> DataFrame:
     """(transaction_id, value, arrival) to typed transactions, the last message of each id.
 
     Messages are reduced as they are and only the last ones are parsed in full.
+    ``keep`` may name ``arrival``, to carry it along in front.
     """
-    latest = latest_by_key(messages.select("transaction_id", "value", "arrival"), "transaction_id")
-    return apply_types(decode_rows(latest, raw_schema()))
+    messages = messages.select("transaction_id", "value", "arrival")
+    latest = latest_by_key(messages, "transaction_id", keep_arrival="arrival" in keep)
+    return apply_types(decode_rows(latest, raw_schema(), keep))
 
 
-def detail_rows(transactions: DataFrame) -> DataFrame:
-    """Wide form: row key and one struct of cells per column family."""
+def detail_rows(transactions: DataFrame, keep=()) -> DataFrame:
+    """Wide form: row key and one struct of cells per column family, then ``keep``."""
     return transactions.select(
         cell_bytes("transaction_id").alias("row_key"),
         *[family_struct(family) for family in FAMILIES],
+        *keep,
     )
 
 

@@ -17,15 +17,19 @@ def arrival_order() -> Column:
     return F.struct(*ARRIVAL).alias("arrival")
 
 
-def latest_by_key(rows: DataFrame, key: str, arrival: str = "arrival") -> DataFrame:
-    """The row that arrived last for each ``key``, without the arrival column.
+def latest_by_key(
+    rows: DataFrame, key: str, arrival: str = "arrival", keep_arrival: bool = False
+) -> DataFrame:
+    """The row that arrived last for each ``key``, without the arrival column unless told to keep it.
 
     An aggregate instead of a ranking, so each task first reduces its own rows
     to one per key and a key that is repeated very often moves few rows.
     """
     fields = [name for name in rows.columns if name not in (key, arrival)]
-    newest = F.max_by(F.struct(*fields), F.col(arrival))
-    return rows.groupBy(key).agg(newest.alias("newest")).select(key, "newest.*")
+    newest = [F.max_by(F.struct(*fields), F.col(arrival)).alias("newest")]
+    kept = [arrival] if keep_arrival else []
+    newest += [F.max(name).alias(name) for name in kept]
+    return rows.groupBy(key).agg(*newest).select(key, "newest.*", *kept)
 
 
 def read_insight(spark: SparkSession, topics, name: str, latest: bool = False) -> DataFrame:

@@ -127,6 +127,19 @@ def detail_upsert(spark, folder):
     return _stored_text(spark, path)
 
 
+def detail_incremental(spark, folder):
+    """A full load, then one of the later messages alone."""
+    topics, path = _new_topics(spark), fresh_folder(spark, "detail")
+    rows = transactions(spark, folder)
+    publish_transactions(rows, topics)
+    jobs.detail_job(spark, topics, path)
+    after = F.max("timestamp") + F.expr("interval 1 microsecond")
+    since = topics.read(spark, TRANSACTIONS_TOPIC).agg(after.cast("string")).first()[0]
+    publish_transactions(chargebacks(rows), topics)
+    jobs.detail_job(spark, FileTopics(topics.root, since=since), path)
+    return _stored_text(spark, path)
+
+
 def _stored_text(spark, path):
     flat = [
         F.decode(f"{family}.{name}", "UTF-8").alias(name)
@@ -441,6 +454,7 @@ QUERIES = {
     "detail_cells": cells,
     "detail_cells_large": cells_large,
     "detail_upsert": detail_upsert,
+    "detail_incremental": detail_incremental,
     "detail_quarantine": detail_quarantine,
     "detail_counts": detail_counts,
     "publish_insight": published,

@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillsight.functions.codec import decode_transactions
 from tillsight.operators import model
@@ -19,9 +20,9 @@ from tillsight.operators.insights import (
     one_pass,
     pick,
 )
-from tillsight.operators.latest import arrival_order
+from tillsight.operators.latest import arrival_order, latest_by_key
 from tillsight.operators.quality import judge_keys
-from tillsight.sinks.detail_store import read_version, write_detail_store, write_version
+from tillsight.sinks.detail_store import ARRIVAL_COLUMN, read_version, write_detail_store, write_version
 from tillsight.sinks.publish import TRANSACTIONS_TOPIC, new_run_id, publish_insight
 from tillsight.workspace import cut_lineage
 
@@ -60,16 +61,17 @@ def show(tables: dict[str, DataFrame], rows: int = 20) -> None:
 
 @dataclass(frozen=True)
 class Load:
-    """What a load did with the messages it read."""
+    """What a load did with the messages it read, and the rows of the version it added them to."""
 
     rows_read: int
     stored: int
     refused: int
+    before: int = 0
 
     @property
     def replaced(self) -> int:
-        """Messages that a later one of the same id stands for."""
-        return self.rows_read - self.stored - self.refused
+        """Messages and rows from before that a later one of the same id stands for."""
+        return self.rows_read + self.before - self.stored - self.refused
 
 
 def arrivals(spark: SparkSession, source) -> DataFrame:
@@ -89,22 +91,37 @@ def detail_job(
     reason and raw value. Each task's rows are in key order, which the
     aggregation leaves them in: no sort or shuffle is added, and Parquet files
     can be skipped by their key ranges.
+
+    From a source with a start bound, the messages are merged with the rows of
+    the last complete version by their arrival, which the table keeps in
+    a column of its own, and the new version is the whole table again.
+    A table without such a version is an error, as it would hold a part only.
     """
+    merged = source.has_start and open_writer is None
+    before = read_version(spark, path, with_arrivals=True) if merged else None
+    if merged and ARRIVAL_COLUMN not in before.columns:
+        raise ValueError(f"the version under {path} has no arrivals; load it without a start first")
     judged = arrivals(spark, source)
     refused = judged.filter("reason is not null").select("reason", "value", "arrival")
     refused_path = refused_path or (path and f"{path}-refused")
     if refused_path:
         write_version(refused, refused_path)
         refused = read_version(spark, refused_path)
-    latest = latest_transactions(judged.filter("reason is null")).sortWithinPartitions("transaction_id")
-    rows = detail_rows(latest)
+    good = judged.filter("reason is null")
+    latest = latest_transactions(good, keep=["arrival"]).sortWithinPartitions("transaction_id")
+    arrival = [F.col("arrival").alias(ARRIVAL_COLUMN)]
+    rows = detail_rows(latest, keep=[] if open_writer else arrival)
+    if merged:
+        both = rows.unionByName(before)
+        rows = latest_by_key(both, "row_key", ARRIVAL_COLUMN, keep_arrival=True).sortWithinPartitions("row_key")
     if open_writer is not None:
         stored = write_detail_store(rows, open_writer)
     else:
         write_version(rows, path)
         stored = read_version(spark, path).count()
     # Stored tables and topics count their rows without reading them.
-    return Load(source.read(spark, TRANSACTIONS_TOPIC).count(), stored, refused.count())
+    read = source.read(spark, TRANSACTIONS_TOPIC).count()
+    return Load(read, stored, refused.count(), before.count() if merged else 0)
 
 
 class Training(NamedTuple):

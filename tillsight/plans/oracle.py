@@ -314,6 +314,7 @@ ORACLE = {
         "CAST(floor(price) / 1e7 AS VARCHAR) AS total_amount"
     ),
     "detail_upsert": _upsert(),
+    "detail_incremental": _upsert(),
     "detail_quarantine": _quarantine(),
     "detail_counts": _load_counts(),
     "publish_insight": _BY_CATEGORY,

@@ -22,14 +22,17 @@ def write_version(rows: DataFrame, path: str) -> None:
     rows.write.parquet(f"{path}/{_VERSION}{max(numbers, default=0) + 1:09d}")
 
 
-def read_version(spark: SparkSession, path: str) -> DataFrame:
-    """The last complete version of the table at ``path``."""
+def read_version(spark: SparkSession, path: str, with_arrivals: bool = False) -> DataFrame:
+    """The last complete version of the table at ``path``, without the column for later merges."""
     complete = _versions(spark, path, complete=True)
     if not complete:
         raise ValueError(f"no complete version under {path}")
-    return spark.read.parquet(f"{path}/{complete[-1]}")
+    rows = spark.read.parquet(f"{path}/{complete[-1]}")
+    return rows if with_arrivals else rows.drop(ARRIVAL_COLUMN)
 
 
+#: When each row's message arrived; tells which row stays when a later load is merged in.
+ARRIVAL_COLUMN = "_arrival"
 _VERSION = "version-"
 
 

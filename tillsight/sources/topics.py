@@ -34,6 +34,11 @@ class KafkaTopics:
     ending_offsets: str = "latest"
     options: Mapping[str, str] = field(default_factory=dict)
 
+    @property
+    def has_start(self) -> bool:
+        """Whether a batch read leaves out the topic's first messages."""
+        return self.starting_offsets != "earliest"
+
     def batch_options(self, topic: str) -> dict[str, str]:
         return {
             "kafka.bootstrap.servers": self.bootstrap_servers,
@@ -87,6 +92,11 @@ class FileTopics:
     since: str | None = None
     until: str | None = None
 
+    @property
+    def has_start(self) -> bool:
+        """Whether a batch read leaves out the topic's first messages."""
+        return self.since is not None
+
     def path(self, topic: str) -> str:
         return f"{self.root}/{topic}"
 
