@@ -1,8 +1,8 @@
 """Documents into batches of about equal length within a budget of tokens.
 
 A batch is padded to the length limit of its bucket. Dynamic programming over
-the histogram of all lengths finds the limits that need the least padding.
-Inside a bucket each batch takes as many documents as the budget allows.
+the histogram of all lengths finds the limits that need the least padding,
+among the longest lengths of its cells. Inside a bucket each batch takes as many documents as the budget allows.
 """
 
 from __future__ import annotations
@@ -46,7 +46,13 @@ def length_histogram(lengths: DataFrame) -> np.ndarray:
 
 
 def best_limits(histogram: np.ndarray, buckets: int = BUCKETS) -> list[int]:
-    """At most ``buckets`` length limits with the least padding in total."""
+    """At most ``buckets`` length limits with the least padding in total, as far as cells tell.
+
+    A limit is the longest length of a cell. Up to ``EXACT_LENGTHS`` a cell is
+    one length and the limits are the best of all. A longer cell spans up to a
+    64th of its length, so a limit inside one may save up to that much of a
+    document's padding, and is not looked for.
+    """
     cells = len(histogram)
     if not cells:
         return []
