@@ -39,6 +39,23 @@ def cut_lineage(df, label: str):
     A small result that several later jobs need is computed once, describes
     one snapshot of its source, and survives the loss of any executor.
     """
+    return stored(df, label)[0]
+
+
+def stored(df, label: str):
+    """The same, and the path, for a table that is removed once the next one is written."""
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a table that ``stored`` wrote and that nothing reads any more."""
+    folder, file_system = hadoop_path(spark, path)
+    file_system.delete(folder, True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, as Spark itself reaches it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
