@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.llm.byte_bpe import bpe_digest
+from tillsight.llm.centroids import cluster_digest
+from tillsight.llm.license_scan import LEAST_COVERAGE, MOST_SLACK, TEMPLATES, license_digest
 from tillsight.llm.line_dedup import line_dedup_digest
 from tillsight.llm.ngram_join import linked_components
 from tillsight.llm.packing import pack_documents
@@ -17,6 +19,7 @@ from tillsight.llm.substring_dedup import substring_dedup_digest
 from tillsight.llm.toxicity import toxicity_scores
 from tillsight.llm.vector_search import nearest
 from tillsight.llm.warc import archived_and_read_back
+from tillsight.llm.whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +71,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_license_scan": op13_license_scan,
     "pipeline": pipeline,
 }
 
@@ -95,6 +113,88 @@ _LOWERED = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
 
+
+
+def _clustering_sql(rounds: int = 10) -> str:
+    """Every distance anew in every round, in long form."""
+    parts = ["""
+WITH v AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)::BIGINT) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64
+), p AS MATERIALIZED (
+    SELECT vec_id, unnest(x) AS a, generate_subscripts(x, 1) AS d FROM v
+), c0 AS MATERIALIZED (
+    SELECT k, unnest(x) AS m, generate_subscripts(x, 1) AS d FROM (
+        SELECT x, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k FROM v
+    ) WHERE k < 8
+)"""]
+    for step in range(rounds + 1):
+        parts.append(f""", a{step} AS MATERIALIZED (
+    SELECT vec_id, arg_min(k, (t, k)) AS k, min(t) AS t FROM (
+        SELECT vec_id, k, sum((a - m) * (a - m))::BIGINT AS t FROM p JOIN c{step} USING (d) GROUP BY ALL
+    ) GROUP BY vec_id
+)""")
+        if step < rounds:
+            parts.append(f""", c{step + 1} AS MATERIALIZED (
+    SELECT k, d, coalesce((s - ((s % n) + n) % n) // n, m) AS m FROM c{step} LEFT JOIN (
+        SELECT k, d, sum(a)::BIGINT AS s, count(*) AS n FROM p JOIN a{step} USING (vec_id) GROUP BY ALL
+    ) USING (k, d)
+)""")
+    parts.append(f"""
+SELECT vec_id, k::INTEGER AS cluster, t AS distance, cluster_inertia::BIGINT AS cluster_inertia,
+       (SELECT sum(t) FROM a{rounds})::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN (SELECT k, sum(t) AS cluster_inertia FROM a{rounds} GROUP BY k) USING (k)
+JOIN (SELECT k, sha256(string_agg(m::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY k) USING (k)
+""")
+    return "".join(parts)
+
+
+def _license_sql() -> str:
+    """Grams joined as words; diagonals of one template are merged up to its slack."""
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+    rows = ", ".join(
+        f"({number}, {quote(t.label)}, {quote(t.text)}, {t.exact})" for number, t in enumerate(TEMPLATES)
+    )
+    words = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{}')".format(word)
+    return f"""
+WITH t AS (
+    SELECT number, label, exact, {words} AS words FROM (VALUES {rows}) AS given(number, label, text, exact)
+), tg AS (
+    SELECT number, pos, size, list_slice(words, pos + 1, pos + size) AS gram
+    FROM (SELECT number, words, least(3, len(words)) AS size, unnest(range(len(words) - least(3, len(words)) + 1)) AS pos FROM t)
+), d AS (
+    SELECT doc_id, {words} AS words FROM documents
+), g AS (
+    SELECT doc_id, pos, size, list_slice(words, pos + 1, pos + size) AS gram
+    FROM (SELECT doc_id, words, unnest(range(len(words))) AS pos FROM d), (VALUES (2), (3)) AS sizes(size)
+), hits AS (
+    SELECT doc_id, number, size, tg.pos AS pos, g.pos - tg.pos AS diagonal FROM g JOIN tg USING (size, gram)
+), marked AS (
+    SELECT hits.*, len(words) AS n, label, exact,
+           diagonal - lag(diagonal) OVER (PARTITION BY doc_id, number ORDER BY diagonal, hits.pos)
+           > (CASE WHEN exact THEN 0 ELSE least({MOST_SLACK}, ceil(len(words) / 5)) END) AS new
+    FROM hits JOIN t USING (number)
+), runs AS (
+    SELECT *, sum(coalesce(new, false)::INT) OVER (PARTITION BY doc_id, number ORDER BY diagonal, pos) AS run FROM marked
+), spans AS (
+    SELECT doc_id, label, exact, min(diagonal + pos) AS first,
+           len(list_distinct(flatten(list(range(pos, pos + size))))) / any_value(n) AS coverage
+    FROM runs GROUP BY doc_id, number, label, exact, run
+), judged AS (
+    SELECT *, CASE WHEN exact THEN coverage = 1 ELSE coverage >= {LEAST_COVERAGE} END AS verified FROM spans
+)
+SELECT doc_id, len(words)::BIGINT AS n_words,
+       count(*) FILTER (WHERE exact AND verified) AS n_base,
+       min(first) FILTER (WHERE exact AND verified) AS first_word,
+       max(first) FILTER (WHERE exact AND verified) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact AND verified), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE verified), '') AS labels,
+       coalesce(max(coverage) FILTER (WHERE NOT exact OR verified), 0.0)::DOUBLE AS score
+FROM d LEFT JOIN judged USING (doc_id) GROUP BY doc_id, words
+"""
+
+
 ORACLE = {
     "op2_ngram_join": f"""
 WITH RECURSIVE {_WORDS.format(text=_LOWERED)}, grams AS (
@@ -172,4 +272,6 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """,
+    "op11_centroid_clustering": _clustering_sql(),
+    "op13_license_scan": _license_sql(),
 }
