@@ -6,7 +6,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from tillsight.functions.cells import FAMILIES
-from tillsight.operators.detail import detail_cells, detail_rows
+from tillsight.operators.detail import detail_cells, detail_rows, last_messages, parsed
 from tillsight.plans import jobs
 from tillsight.sinks.detail_store import read_version, write_detail_store, write_version
 from tillsight.sinks.publish import publish_transactions
@@ -81,7 +81,7 @@ def test_loading_twice_equals_loading_once(spark, small, tmp_path):
     jobs.detail_job(spark, topics, str(tmp_path / "once"))
     publish_transactions(rows, topics)
     jobs.detail_job(spark, topics, str(tmp_path / "twice"))
-    once, twice = (read_version(spark, str(tmp_path / name)) for name in ("once", "twice"))
+    once, twice = (jobs.read_detail(spark, str(tmp_path / name)) for name in ("once", "twice"))
     assert once.count() == rows.count()
     assert once.exceptAll(twice).isEmpty() and twice.exceptAll(once).isEmpty()
 
@@ -107,8 +107,7 @@ def test_later_message_wins_and_rows_without_id_are_left_out(spark, small, tmp_p
 def test_parquet_load_shuffles_once_and_parses_winners_only(spark, small, tmp_path):
     topics = FileTopics(str(tmp_path / "topics"))
     publish_transactions(transactions(spark, small), topics)
-    messages = jobs.arrivals(spark, topics).filter("reason is null")
-    plan = detail_rows(jobs.latest_transactions(messages).sortWithinPartitions("transaction_id"))
+    plan = detail_rows(parsed(last_messages(jobs.arrivals(spark, topics)).filter("reason is null")))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1
     before = text[text.index("Exchange"):]
@@ -144,7 +143,7 @@ def test_load_from_a_start_keeps_the_rows_before(spark, tmp_path):
     for source, counts in ((later, (2, 3, 1)), (again, (1, 3, 1))):
         load = jobs.detail_job(spark, source, path)
         assert (load.rows_read, load.stored, load.replaced) == counts
-        stored = read_version(spark, path)
+        stored = jobs.read_detail(spark, path)
         assert stored.columns == ["row_key", *FAMILIES]
         found = {bytes(r.row_key): bytes(r.transaction_data.quantity) for r in stored.collect()}
         assert found == {b"a": b"2", b"b": b"1", b"c": b"1"}

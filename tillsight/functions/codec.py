@@ -64,6 +64,11 @@ def number_text(column) -> Column:
     Spark itself turns to exponents from 1e7 on and below 0.001.
     """
     text = F.col(column).cast("string") if isinstance(column, str) else column.cast("string")
+    # Most numbers have no exponent and are done here; only the others are taken apart.
+    return F.when(F.contains(text, F.lit("E")), _without_exponent(text)).otherwise(text)
+
+
+def _without_exponent(text: Column) -> Column:
     sign = F.when(text.startswith("-"), "-").otherwise("")
     parts = F.split(F.ltrim(text, F.lit("-")), "E")
     mantissa, power = F.regexp_replace(parts[0], r"\.0$", ""), F.get(parts, F.lit(1)).cast("int")
@@ -79,7 +84,7 @@ def number_text(column) -> Column:
         F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), "0"),
     )
     written = F.when(power.between(0, 15), plain).when(power.between(-4, -1), small).otherwise(exponent)
-    return F.when(power.isNull(), text).otherwise(F.concat(sign, written))
+    return F.concat(sign, written)
 
 
 def as_text(df: DataFrame) -> DataFrame:

@@ -4,27 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillsight.functions.cells import FAMILIES, cell_bytes, cell_text, family_struct
 from tillsight.functions.codec import apply_types, decode_rows
-from tillsight.operators.latest import latest_by_key
+from tillsight.operators.latest import ARRIVAL
 from tillsight.schema import raw_schema
 
+#: When each row's message arrived; tells which row stays when a later load is merged in.
+ARRIVAL_COLUMN = "_arrival"
+
 
 def has_key() -> Column:
     """Rows without an id have no place in a keyed table."""
     return F.col("transaction_id").isNotNull() & (F.col("transaction_id") != "")
 
 
-def latest_transactions(messages: DataFrame, keep=()) -> DataFrame:
-    """(transaction_id, value, arrival) to typed transactions, the last message of each id.
+def last_messages(judged: DataFrame) -> DataFrame:
+    """The last good message of each id and every refused one, from one pass over judged messages.
 
-    Messages are reduced as they are and only the last ones are parsed in full.
-    ``keep`` may name ``arrival``, to carry it along in front.
+    (transaction_id, reason, value, arrival, messages), where ``messages`` is
+    how many the row stands for. Messages are reduced as they are; refused
+    ones are told apart by arrival and payload, so each keeps its row.
     """
-    messages = messages.select("transaction_id", "value", "arrival")
-    latest = latest_by_key(messages, "transaction_id", keep_arrival="arrival" in keep)
-    return apply_types(decode_rows(latest, raw_schema(), keep))
+    refused = F.struct(F.col("arrival").alias("at"), F.xxhash64("value").alias("said"))
+    each = F.when(F.col("reason").isNotNull(), refused)
+    return (
+        judged.withColumn("_each", each)
+        .groupBy("transaction_id", "reason", "_each")
+        .agg(F.max_by("value", "arrival").alias("value"), F.max("arrival").alias("arrival"), F.count("*").alias("messages"))
+        .drop("_each")
+    )
+
+
+def parsed(messages: DataFrame, keep=("arrival",)) -> DataFrame:
+    """Good messages to typed transactions, with the columns ``keep`` in front."""
+    return apply_types(decode_rows(messages, raw_schema(), keep))
+
+
+def refused_messages(messages: DataFrame) -> DataFrame:
+    """(reason, value, arrival), a row for each message that was refused."""
+    bad = messages.filter("reason is not null")
+    again = F.explode(F.array_repeat(F.lit(0), F.col("messages").cast("int"))).alias("_copy")
+    return bad.select("reason", "value", "arrival", again).drop("_copy")
 
 
 def detail_rows(transactions: DataFrame, keep=()) -> DataFrame:
@@ -36,6 +58,17 @@ def detail_rows(transactions: DataFrame, keep=()) -> DataFrame:
     )
 
 
+def detail_schema() -> T.StructType:
+    """Columns of the detail table; ``ARRIVAL_COLUMN`` is for later merges and not for readers."""
+    families = [
+        T.StructField(family, T.StructType([T.StructField(name, T.BinaryType()) for name in names]))
+        for family, names in FAMILIES.items()
+    ]
+    times = {"timestamp": T.TimestampType(), "partition": T.IntegerType(), "offset": T.LongType()}
+    arrival = T.StructType([T.StructField(name, times[name]) for name in ARRIVAL])
+    return T.StructType([T.StructField("row_key", T.BinaryType()), *families, T.StructField(ARRIVAL_COLUMN, arrival)])
+
+
 def detail_cells(transactions: DataFrame) -> DataFrame:
     """Long form: (row_key, family, qualifier, value), as text."""
     cells = [

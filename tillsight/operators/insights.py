@@ -180,26 +180,33 @@ def total_rows(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("total_rows"))
 
 
-def one_pass(transactions: DataFrame, names=tuple(INSIGHTS)) -> DataFrame:
-    """Several insights from one scan: (dimension, key, measures).
+def by_each(transactions: DataFrame, dimensions, fields, aggregates) -> DataFrame:
+    """``aggregates`` of ``fields`` by each of the dimensions, from one scan: (dimension, key, ...).
 
     One grouping set per dimension. The sets' sizes add up, whereas a
     pre-aggregation over all dimensions at once would multiply them. The
     grouping flags tell a NULL key from a dimension outside the set.
     """
-    tables = [insight(name) for name in names]
-    dimensions = list(dict.fromkeys(table.dimension for table in tables))
-    measures = list(dict.fromkeys(name for table in tables for name in table.measures))
-    fields = dict.fromkeys(field for name in measures for field in MEASURES[name].reads)
-    inputs = transactions.select(
-        *[_dimension_column(name).alias(name) for name in dimensions], *fields
-    )
+    inputs = transactions.select(*[_dimension_column(name).alias(name) for name in dimensions], *fields)
     grouped = inputs.groupingSets([[name] for name in dimensions], *dimensions).agg(
         F.coalesce(*[F.when(F.grouping(name) == 0, name) for name in dimensions]).alias("dimension"),
-        *_aggregates(measures),
+        *aggregates,
     )
     key = F.coalesce(*[F.col(name).cast("string") for name in dimensions])
-    return grouped.select("dimension", key.alias("key"), *measures)
+    rest = [name for name in grouped.columns if name not in (*dimensions, "dimension")]
+    return grouped.select("dimension", key.alias("key"), *rest)
+
+
+def dimensions_of(names) -> list[str]:
+    """The dimensions of several insights, each once."""
+    return list(dict.fromkeys(insight(name).dimension for name in names))
+
+
+def one_pass(transactions: DataFrame, names=tuple(INSIGHTS)) -> DataFrame:
+    """Several insights from one scan: (dimension, key, measures)."""
+    measures = list(dict.fromkeys(name for table in names for name in insight(table).measures))
+    fields = dict.fromkeys(field for name in measures for field in MEASURES[name].reads)
+    return by_each(transactions, dimensions_of(names), fields, _aggregates(measures))
 
 
 def pick(combined: DataFrame, name: str) -> DataFrame:

@@ -19,7 +19,9 @@ from tillsight.functions.codec import (
 from tillsight.operators import insights, model, quality, scoring, shaping
 from tillsight.operators.detail import detail_cells
 from tillsight.operators.latest import read_insight
+from tillsight.operators.partials import finished_insights
 from tillsight.plans import jobs
+from tillsight.sinks.covered_store import read_covered
 from tillsight.sinks.csv_files import write_csv
 from tillsight.sinks.detail_store import read_version
 from tillsight.sinks.publish import TRANSACTIONS_TOPIC, publish_insight, publish_transactions
@@ -146,7 +148,7 @@ def _stored_text(spark, path):
         for family, names in FAMILIES.items()
         for name in names
     ]
-    stored = read_version(spark, path)
+    stored = jobs.read_detail(spark, path)
     return stored.select(F.decode("row_key", "UTF-8").alias("row_key"), *flat)
 
 
@@ -227,6 +229,35 @@ def insights_one_pass(spark, folder):
     return _rounded(insights.one_pass(transactions(spark, folder, fields)))
 
 
+def insights_incremental_published(spark, folder):
+    """Four runs, each after a part of the transactions was published, and one after nothing was."""
+    topics, path = _new_topics(spark), fresh_folder(spark, "covered")
+    rows = transactions(spark, folder)
+    for part in range(4):
+        publish_transactions(rows.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(4)) == part), topics)
+        jobs.increment_job(spark, topics, topics, path, names=[])
+    tables = jobs.increment_job(spark, topics, topics, path, names=["category", "fraud_category"])
+    latest = [read_insight(spark, topics, name, latest=True).drop("run_id") for name in tables]
+    long = [
+        table.select(F.lit(name).alias("insight"), F.col("category").alias("key"), *[
+            (F.col(measure) if measure in table.columns else F.lit(None)).cast(insights.MEASURES[measure].type).alias(measure)
+            for measure in insights.MEASURES
+        ])
+        for name, table in zip(tables, latest)
+    ]
+    return _rounded(long[0].unionAll(long[1]))
+
+
+def insights_incremental(spark, folder):
+    """All insight tables after two runs, in long form."""
+    topics, path = _new_topics(spark), fresh_folder(spark, "covered")
+    rows = transactions(spark, folder)
+    for part in range(2):
+        publish_transactions(rows.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == part), topics)
+        jobs.increment_job(spark, topics, topics, path, names=[])
+    return _rounded(finished_insights(read_covered(spark, path).table))
+
+
 def share(name, spark, folder):
     return shaping.with_share(_build(name, spark, folder))
 
@@ -469,6 +500,8 @@ QUERIES = {
     "fraud_analytics": partial(table, "fraud"),
     **{name: partial(table, name) for name in insights.FRAUD_INSIGHTS},
     "insights_one_pass": insights_one_pass,
+    "insights_incremental": insights_incremental,
+    "insights_incremental_published": insights_incremental_published,
     "payment_method_share": partial(share, "payment_method"),
     "device_share": partial(share, "device"),
     **{

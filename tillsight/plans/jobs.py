@@ -1,4 +1,8 @@
-"""The jobs a deployment schedules. Each reads its source once."""
+"""The jobs a deployment schedules.
+
+Each fixes at its start which messages it reads, so its tables and counts
+describe the same ones while the topic goes on growing.
+"""
 
 from __future__ import annotations
 
@@ -11,19 +15,31 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.codec import decode_transactions
 from tillsight.operators import model
-from tillsight.operators.detail import detail_rows, latest_transactions
+from tillsight.operators.detail import (
+    ARRIVAL_COLUMN,
+    detail_rows,
+    detail_schema,
+    last_messages,
+    parsed,
+    refused_messages,
+)
 from tillsight.operators.insights import (
     FRAUD_INSIGHTS,
+    INSIGHTS,
     SALES_INSIGHTS,
     fields_for,
     insight,
     one_pass,
     pick,
 )
-from tillsight.operators.latest import arrival_order, latest_by_key
+from tillsight.operators.latest import arrival_order
+from tillsight.operators.partials import finished_insights, merged_insights, partial_insights
 from tillsight.operators.quality import judge_keys
-from tillsight.sinks.detail_store import ARRIVAL_COLUMN, read_version, write_detail_store, write_version
+from tillsight.sinks.covered_store import read_covered, write_covered
+from tillsight.sinks.detail_store import write_detail_store, write_version
 from tillsight.sinks.publish import TRANSACTIONS_TOPIC, new_run_id, publish_insight
+from tillsight.sinks.ranged_store import Stored, merge_ranges, read_ranges, write_ranges
+from tillsight.sinks.versions import last_version
 from tillsight.workspace import cut_lineage
 
 
@@ -42,6 +58,37 @@ def insight_job(spark: SparkSession, source, target, names, run_id: int | None =
     return tables
 
 
+def increment_job(
+    spark: SparkSession, source, target, path: str, names=tuple(INSIGHTS), run_id: int | None = None
+):
+    """The same tables from the messages that are new since the job's last run; returns them by name.
+
+    The folder ``path`` keeps, per version, partial aggregates of all insights
+    and the messages they cover. A run reads what no complete version covers,
+    merges it with the last one, and publishes. A run that fails before its
+    version is complete has covered nothing, and one that fails after it is
+    published by the next. A source with bounds is refused, as part of a
+    message's file or partition would then count as covered.
+    """
+    if source.bounded:
+        raise ValueError("new messages are found by what was covered; give no start or end")
+    before = read_covered(spark, path)
+    covered = before.positions if before else {}
+    pinned = source.pinned(spark, TRANSACTIONS_TOPIC, covered)
+    if before is None or before.is_behind(pinned.covers(TRANSACTIONS_TOPIC)):
+        rows = decode_transactions(pinned.read(spark, TRANSACTIONS_TOPIC), fields_for(INSIGHTS))
+        parts = partial_insights(rows)
+        if before:
+            parts = merged_insights(before.table, parts)
+        before = write_covered(parts, path, pinned.covers(TRANSACTIONS_TOPIC))
+    run_id = new_run_id() if run_id is None else run_id
+    whole = finished_insights(before.table)
+    tables = {name: pick(whole, name) for name in names}
+    for name, table in tables.items():
+        publish_insight(table, target, insight(name).topic, run_id)
+    return tables
+
+
 def sales_job(spark: SparkSession, source, target, run_id: int | None = None):
     return insight_job(spark, source, target, SALES_INSIGHTS, run_id)
 
@@ -85,43 +132,52 @@ def detail_job(
 ) -> Load:
     """The topic into the detail table, the last message per id.
 
-    Into a new version of the Parquet table at ``path``, or into the store
-    that ``open_writer`` connects to. Messages that cannot be read or have no
-    id go to the table at ``refused_path`` (beside ``path`` by default) with
-    reason and raw value. Each task's rows are in key order, which the
-    aggregation leaves them in: no sort or shuffle is added, and Parquet files
-    can be skipped by their key ranges.
-
-    From a source with a start bound, the messages are merged with the rows of
-    the last complete version by their arrival, which the table keeps in
-    a column of its own, and the new version is the whole table again.
-    A table without such a version is an error, as it would hold a part only.
+    Into a new version of the table at ``path``, which ``read_detail`` reads,
+    or into the store that ``open_writer`` connects to. Messages that cannot be
+    read or have no id go to the table at ``refused_path`` (beside ``path`` by
+    default) with reason and raw value.
+
+    The topic is read and shuffled once: what it comes to, the last message of
+    each id and the refused ones, is stored, and both tables and all counts are
+    taken from there. Only these messages are parsed in full.
+
+    From a source with a start bound, the messages are merged with the last
+    complete version by their arrival. Only the key ranges that they fall into
+    are written anew; the new version shares the files of all others. A table
+    without a version is an error then, as it would hold a part only.
     """
-    merged = source.has_start and open_writer is None
-    before = read_version(spark, path, with_arrivals=True) if merged else None
-    if merged and ARRIVAL_COLUMN not in before.columns:
-        raise ValueError(f"the version under {path} has no arrivals; load it without a start first")
-    judged = arrivals(spark, source)
-    refused = judged.filter("reason is not null").select("reason", "value", "arrival")
     refused_path = refused_path or (path and f"{path}-refused")
-    if refused_path:
-        write_version(refused, refused_path)
-        refused = read_version(spark, refused_path)
-    good = judged.filter("reason is null")
-    latest = latest_transactions(good, keep=["arrival"]).sortWithinPartitions("transaction_id")
-    arrival = [F.col("arrival").alias(ARRIVAL_COLUMN)]
-    rows = detail_rows(latest, keep=[] if open_writer else arrival)
+    merged = source.has_start and open_writer is None
     if merged:
-        both = rows.unionByName(before)
-        rows = latest_by_key(both, "row_key", ARRIVAL_COLUMN, keep_arrival=True).sortWithinPartitions("row_key")
+        last_version(spark, path)
+    pinned = source.pinned(spark, TRANSACTIONS_TOPIC)
+    messages = cut_lineage(last_messages(arrivals(spark, pinned)), "last-messages")
+    counts = messages.agg(
+        F.sum("messages").alias("read"), F.count_if(F.col("reason").isNull()).alias("ids"),
+        F.sum(F.when(F.col("reason").isNotNull(), F.col("messages"))).alias("refused"),
+    ).first()
+    if refused_path:
+        write_version(refused_messages(messages), refused_path)
+    good = messages.filter("reason is null").select("value", "arrival")
     if open_writer is not None:
-        stored = write_detail_store(rows, open_writer)
+        ordered = parsed(good).drop("arrival").sortWithinPartitions("transaction_id")
+        stored = Stored(write_detail_store(detail_rows(ordered), open_writer), 0)
     else:
-        write_version(rows, path)
-        stored = read_version(spark, path).count()
-    # Stored tables and topics count their rows without reading them.
-    read = source.read(spark, TRANSACTIONS_TOPIC).count()
-    return Load(read, stored, refused.count(), before.count() if merged else 0)
+        rows = detail_rows(parsed(good), keep=[F.col("arrival").alias(ARRIVAL_COLUMN)])
+        stored = store_rows(rows, path, counts.ids, merged)
+    return Load(counts.read or 0, stored.rows, counts.refused or 0, stored.before)
+
+
+def store_rows(rows: DataFrame, path: str, expected: int, merged: bool) -> Stored:
+    """Rows of the detail table as a new version of it, alone or merged with the one before."""
+    if merged:
+        return merge_ranges(rows, path, "row_key", ARRIVAL_COLUMN, detail_schema())
+    return write_ranges(rows, path, "row_key", expected)
+
+
+def read_detail(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """The detail table at ``path``: the last complete version, or the one in folder ``version``."""
+    return read_ranges(spark, path, detail_schema(), version).drop(ARRIVAL_COLUMN)
 
 
 class Training(NamedTuple):
@@ -145,7 +201,7 @@ def training_job(
     ``keep`` to treat a missing category as such a value; rows without a
     number or label are left out either way.
     """
-    messages = source.read(spark, TRANSACTIONS_TOPIC)
+    messages = source.pinned(spark, TRANSACTIONS_TOPIC).read(spark, TRANSACTIONS_TOPIC)
     rows = decode_transactions(messages, model.MODEL_INPUTS)
     complete = model.complete_rows(rows, missing).withColumn("_draw", model.split_draw())
     complete = cut_lineage(complete, "model-inputs")

@@ -157,6 +157,21 @@ def _one_pass():
     return f"WITH {_TRANSACTIONS} " + " UNION ALL ".join(parts)
 
 
+def _published_tables():
+    none = "CAST(NULL AS {}) AS {}"
+    amounts = ["avg_transaction_amount", "transaction_count", "max_transaction_amount", "min_transaction_amount"]
+    frauds = ["fraud_count", "total_transactions", "fraud_percentage"]
+    whole = {"transaction_count", "fraud_count", "total_transactions"}
+    empty = lambda names: ", ".join(none.format("BIGINT" if n in whole else "DOUBLE", n) for n in names)
+    columns = f"insight, key, {', '.join(amounts + frauds)}"
+    return f"""WITH {_TRANSACTIONS}
+    SELECT {columns} FROM (SELECT 'category' AS insight, category AS key, {_AMOUNTS}, {empty(frauds)}
+      FROM labelled GROUP BY category)
+    UNION ALL
+    SELECT {columns} FROM (SELECT 'fraud_category' AS insight, category AS key, {empty(amounts)}, {_FRAUD}
+      FROM labelled GROUP BY category)"""
+
+
 def _fraud_long():
     dimensions = ["category", "payment_method", "user_device", "user_city", "age_group",
                   "income_group"]
@@ -334,6 +349,8 @@ ORACLE = {
     "fraud_age": _group("age_group", _FRAUD),
     "fraud_income": _group("income_group", _FRAUD),
     "insights_one_pass": _one_pass(),
+    "insights_incremental": _one_pass(),
+    "insights_incremental_published": _published_tables(),
     "payment_method_share": _share("payment_method"),
     "device_share": _share("user_device"),
     "series_payment_method": _counted("labels", "payment_method", "values"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.functions.cells import FAMILIES
+from tillsight.sinks.versions import last_version, next_version
 
 
 def write_version(rows: DataFrame, path: str) -> None:
@@ -18,36 +19,12 @@ def write_version(rows: DataFrame, path: str) -> None:
     Readers see it once it is complete; a job that fails leaves the version
     before. Old versions stay until someone removes their folders.
     """
-    numbers = [int(name.removeprefix(_VERSION)) for name in _versions(rows.sparkSession, path)]
-    rows.write.parquet(f"{path}/{_VERSION}{max(numbers, default=0) + 1:09d}")
+    rows.write.parquet(next_version(rows.sparkSession, path))
 
 
-def read_version(spark: SparkSession, path: str, with_arrivals: bool = False) -> DataFrame:
-    """The last complete version of the table at ``path``, without the column for later merges."""
-    complete = _versions(spark, path, complete=True)
-    if not complete:
-        raise ValueError(f"no complete version under {path}")
-    rows = spark.read.parquet(f"{path}/{complete[-1]}")
-    return rows if with_arrivals else rows.drop(ARRIVAL_COLUMN)
-
-
-#: When each row's message arrived; tells which row stays when a later load is merged in.
-ARRIVAL_COLUMN = "_arrival"
-_VERSION = "version-"
-
-
-def _versions(spark: SparkSession, path: str, complete: bool = False) -> list[str]:
-    """Names of the versions, through the file system that Spark itself uses."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(hadoop.Path(path)):
-        return []
-    names = (status.getPath().getName() for status in files.listStatus(hadoop.Path(path)))
-    return sorted(
-        name for name in names
-        if name.startswith(_VERSION)
-        and (not complete or files.exists(hadoop.Path(f"{path}/{name}/_SUCCESS")))
-    )
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete version of the table at ``path``."""
+    return spark.read.parquet(last_version(spark, path))
 
 
 def write_detail_store(

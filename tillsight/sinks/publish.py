@@ -24,9 +24,14 @@ def publish_insight(
 
     Insight topics only grow. With a ``run_id`` (any number that rises from
     run to run) a last message tells how many rows the run has, so a reader
-    can tell the latest whole table from earlier ones and from one cut short.
+    can tell the latest whole table from earlier ones and from one cut short,
+    and the run can be found without reading those before it.
     """
-    topics.write(_stamped(insight, run_id, ignore_null_fields), topic)
+    messages = _stamped(insight, run_id, ignore_null_fields)
+    if run_id is None:
+        topics.write(messages, topic)
+    else:
+        topics.write_run(messages, topic, run_id)
 
 
 def publish_insight_batch(insight: DataFrame, topics, topic: str, run_id: int) -> None:
