@@ -1,0 +1,112 @@
+"""Streams that refuse bad messages and keep a table, whose batches may be run again."""
+
+from pyspark.sql import functions as F
+
+from tillsight.operators.latest import read_insight
+from tillsight.operators.scoring import score_auc
+from tillsight.schema import typed_schema
+from tillsight.sinks import batches
+from tillsight.sinks.batches import read_batches
+from tillsight.sinks.detail_table import read_detail
+from tillsight.sinks.publish import publish_insight_batch
+from tillsight.sources.topics import FileTopics
+from tillsight.streaming import insight_streams as streams
+
+REFUSED = "reason string, value binary"
+
+
+def send(spark, topics, values):
+    topics.write(spark.createDataFrame([(value,) for value in values], "value string").coalesce(1), "transactions")
+
+
+def message(key, quantity):
+    return f'{{"transaction_id":"{key}","quantity":"{quantity}"}}'
+
+
+def test_a_batch_run_again_replaces_itself(spark, tmp_path, monkeypatch):
+    topics, path = FileTopics(str(tmp_path / "topics")), str(tmp_path / "records")
+    send(spark, topics, [message("a", 1), "junk", "{}", message("b", 2)])
+    write, failed = batches.write_batch, []
+
+    def fails_after_writing(rows, folder, number):
+        write(rows, folder, number)
+        if folder == path and not failed:
+            failed.append(number)
+            raise RuntimeError("gone")
+
+    def run():
+        query = streams.start_decode(
+            spark, topics, path, str(tmp_path / "checkpoint"), available_now=True, refused_path=f"{path}-refused"
+        )
+        query.awaitTermination()
+
+    monkeypatch.setattr(streams, "write_batch", fails_after_writing)
+    try:
+        run()
+    except Exception as error:
+        assert "gone" in str(error)
+    assert failed
+    run()
+    send(spark, topics, [message("c", 3), "more junk"])
+    run()
+    good = read_batches(spark, path, typed_schema())
+    assert sorted((row.transaction_id, row.quantity) for row in good.collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    refused = read_batches(spark, f"{path}-refused", REFUSED).collect()
+    assert sorted((row.reason, bytes(row.value)) for row in refused) == [
+        ("missing_id", b"{}"), ("unreadable", b"junk"), ("unreadable", b"more junk"),
+    ]
+    assert read_batches(spark, str(tmp_path / "none"), REFUSED).collect() == []
+
+
+def test_the_table_of_a_stream_takes_late_and_repeated_messages(spark, tmp_path):
+    topics, path = FileTopics(str(tmp_path / "topics")), str(tmp_path / "table")
+    days = {"late": "2024-01-01", "early": "2024-01-02", "last": "2024-01-03"}
+
+    def run():
+        streams.start_detail(spark, topics, path, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+        found = {bytes(row.row_key): bytes(row.transaction_data.quantity) for row in read_detail(spark, path).collect()}
+        return found
+
+    def at(day, values):
+        rows = spark.createDataFrame([(value,) for value in values], "value string").coalesce(1)
+        topics.write(rows.withColumn("timestamp", F.lit(days[day]).cast("timestamp")), "transactions")
+
+    at("early", [message("a", 5), message("b", 1), "junk"])
+    assert run() == {b"a": b"5", b"b": b"1"}
+    at("late", [message("a", 9), message("c", 1)])
+    assert run() == {b"a": b"5", b"b": b"1", b"c": b"1"}
+    at("early", [message("a", 5)])
+    at("last", [message("b", 7), message("b", 8)])
+    assert run() == {b"a": b"5", b"b": b"8", b"c": b"1"}
+    assert read_batches(spark, f"{path}-refused", REFUSED).count() == 1
+
+
+def test_a_run_sent_again_is_read_once(spark, tmp_path):
+    """On a topic that only grows, as a replayed batch leaves it on Kafka."""
+
+    class Growing(FileTopics):
+        def write_batch(self, messages, topic, run_id):
+            self.write(messages, topic)
+
+    topics = Growing(str(tmp_path))
+    rows = spark.createDataFrame([("PayPal", 1), (None, 2)], "payment_method string, transaction_count bigint")
+    for run in (1, 1, 2):
+        publish_insight_batch(rows, topics, "payment_method_analytics", run)
+    every = read_insight(spark, topics, "payment_method").collect()
+    assert sorted(map(tuple, every), key=str) == sorted(
+        [(kind, count, run) for run in (1, 2) for kind, count in (("PayPal", 1), (None, 2))], key=str
+    )
+
+
+def test_the_area_is_planned_and_not_run(spark):
+    rows = spark.range(1000).select((F.col("id") % 97).cast("double").alias("score"), (F.col("id") % 3).alias("label"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("area", "area")
+    area = score_auc(rows, "score", "label")
+    assert list(tracker.getJobIdsForGroup("area")) == []
+    plan = area._jdf.queryExecution().executedPlan().toString()
+    # by score, into ranges, and one row per range to the end
+    assert plan.count("Exchange") == 3 and plan.count("Exchange rangepartitioning") == 1
+    assert plan.count("Exchange SinglePartition") == 1 and "Window" not in plan
+    assert 0 < area.first()[0] < 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

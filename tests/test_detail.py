@@ -9,6 +9,7 @@ from tillsight.functions.cells import FAMILIES
 from tillsight.operators.detail import detail_cells, detail_rows, last_messages, parsed
 from tillsight.plans import jobs
 from tillsight.sinks.detail_store import read_version, write_detail_store, write_version
+from tillsight.sinks.detail_table import read_detail
 from tillsight.sinks.publish import publish_transactions
 from tillsight.sources.topics import FileTopics
 from tillsight.sources.warehouse import chargebacks, transactions
@@ -81,7 +82,7 @@ def test_loading_twice_equals_loading_once(spark, small, tmp_path):
     jobs.detail_job(spark, topics, str(tmp_path / "once"))
     publish_transactions(rows, topics)
     jobs.detail_job(spark, topics, str(tmp_path / "twice"))
-    once, twice = (jobs.read_detail(spark, str(tmp_path / name)) for name in ("once", "twice"))
+    once, twice = (read_detail(spark, str(tmp_path / name)) for name in ("once", "twice"))
     assert once.count() == rows.count()
     assert once.exceptAll(twice).isEmpty() and twice.exceptAll(once).isEmpty()
 
@@ -143,7 +144,7 @@ def test_load_from_a_start_keeps_the_rows_before(spark, tmp_path):
     for source, counts in ((later, (2, 3, 1)), (again, (1, 3, 1))):
         load = jobs.detail_job(spark, source, path)
         assert (load.rows_read, load.stored, load.replaced) == counts
-        stored = jobs.read_detail(spark, path)
+        stored = read_detail(spark, path)
         assert stored.columns == ["row_key", *FAMILIES]
         found = {bytes(r.row_key): bytes(r.transaction_data.quantity) for r in stored.collect()}
         assert found == {b"a": b"2", b"b": b"1", b"c": b"1"}

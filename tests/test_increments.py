@@ -12,6 +12,7 @@ from tillsight.operators.partials import finished_insights
 from tillsight.plans import jobs
 from tillsight.schema import ENVELOPE
 from tillsight.sinks import covered_store, ranged_store
+from tillsight.sinks.detail_table import read_detail
 from tillsight.sinks.publish import publish_insight, publish_transactions
 from tillsight.sinks.ranged_store import manifest, merge_ranges, read_ranges, write_ranges
 from tillsight.sinks.versions import complete_versions
@@ -118,7 +119,7 @@ def test_counts_add_up_while_the_topic_grows(spark, small, tmp_path):
     sent = FileTopics(topics.root).read(spark, "transactions").count()
     load = jobs.detail_job(spark, topics, str(tmp_path / "table"))
     assert load.rows_read == sent == load.stored + load.replaced + load.refused
-    assert load.stored == jobs.read_detail(spark, str(tmp_path / "table")).count() and load.refused == 0
+    assert load.stored == read_detail(spark, str(tmp_path / "table")).count() and load.refused == 0
     trained = jobs.training_job(spark, topics, str(tmp_path / "model"))
     assert trained.rows_read > sent and trained.left_out < trained.rows_read
     again = jobs.detail_job(spark, topics, str(tmp_path / "table"))

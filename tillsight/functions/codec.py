@@ -19,10 +19,11 @@ def parse_json(column, schema: T.StructType) -> Column:
     return F.from_json(column, schema)
 
 
-def encode_rows(df: DataFrame, ignore_null_fields: bool = True) -> DataFrame:
-    """Each row as one JSON ``value``. NULL fields are left out by default."""
+def encode_rows(df: DataFrame, ignore_null_fields: bool = True, key: Column | None = None) -> DataFrame:
+    """Each row as one JSON ``value``, under ``key`` if given. NULL fields are left out by default."""
     options = {"ignoreNullFields": str(ignore_null_fields).lower()}
-    return df.select(F.to_json(F.struct("*"), options).alias("value"))
+    value = F.to_json(F.struct("*"), options).alias("value")
+    return df.select(value) if key is None else df.select(key.alias("key"), value)
 
 
 def decode_rows(envelope: DataFrame, schema: T.StructType, keep=()) -> DataFrame:

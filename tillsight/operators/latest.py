@@ -35,6 +35,9 @@ def latest_by_key(
 def read_insight(spark: SparkSession, topics, name: str, latest: bool = False) -> DataFrame:
     """An insight table back from its topic: all rows, or the last whole run's table.
 
+    A message that a retry sent again has the key of the one before and counts
+    once. Messages without a key all count.
+
     A run is whole when its last message is there and as many groups as that
     says, so a run that is being sent or was cut short is passed over, and an
     empty one counts. Within a run a group's latest row counts, as a write that
@@ -49,7 +52,9 @@ def read_insight(spark: SparkSession, topics, name: str, latest: bool = False) -
     narrowed = topics.last_run(spark, wanted.topic) if latest else None
     messages = (narrowed or topics).read(spark, wanted.topic)
     if not latest:
-        return decode_rows(messages, schema).filter("run_rows is null").select(*columns)
+        keyed = messages.filter("key is not null").withColumn("arrival", arrival_order()).select("key", "value", "arrival")
+        once = latest_by_key(keyed, "key").unionByName(messages.filter("key is null").select("key", "value"))
+        return decode_rows(once, schema).filter("run_rows is null").select(*columns)
     rows = decode_rows(messages.withColumn("arrival", arrival_order()), schema, keep=["arrival"])
     keys = ["run_id", "is_end", wanted.dimension]
     marked = rows.withColumn("is_end", F.col("run_rows").isNotNull())

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.risk import RiskRules, rule_risk
 from tillsight.operators.insights import fraud_by
-from tillsight.workspace import cut_lineage
-
-_FIRST = Window.unboundedPreceding
 
 
 def with_risk(transactions: DataFrame, rules: RiskRules = RiskRules()) -> DataFrame:
@@ -26,11 +25,11 @@ def score_auc(rows: DataFrame, score: str, label: str, ranges: int | None = None
 
     Counts pairs of a positive and a negative in which the positive scores
     higher, ties as half. Distinct scores may be as many as rows, so they are
-    not ranked in one task: they are written in as many ranges as shuffles have
-    partitions (or ``ranges``), a file each, every file is ranked by itself, and
-    only one total per file is put in order at last. How the ranges are cut
-    affects balance, not the result. Rows without a score or label are left
-    out; with only one class the area is NULL.
+    not ranked in one task: a range exchange deals them to as many tasks as
+    shuffles have partitions (or ``ranges``), each task adds its scores up in
+    order, and only one total per task is put in order at last. How the ranges
+    are cut affects balance, not the result. Rows without a score or label are
+    left out; with only one class the area is NULL.
     """
     scored = rows.select(
         F.col(score).cast("double").alias("score"), (F.col(label) == 1).alias("positive")
@@ -41,27 +40,39 @@ def score_auc(rows: DataFrame, score: str, label: str, ranges: int | None = None
     )
     number = [] if ranges is None else [ranges]
     in_ranges = groups.repartitionByRange(*number, "score").sortWithinPartitions("score")
-    stored = cut_lineage(in_ranges, "score-groups")
-
-    def preceding_negatives(window):
-        return F.coalesce(F.sum("negatives").over(window.rowsBetween(_FIRST, -1)), F.lit(0))
-
-    in_range = Window.partitionBy("range").orderBy("score")
-    totals = (
-        stored.withColumn("range", F.col("_metadata.file_path"))
-        .withColumn("below", preceding_negatives(in_range))
-        .groupBy("range")
-        .agg(
-            F.min("score").alias("lowest"),
-            F.sum("positives").alias("positives"),
-            F.sum("negatives").alias("negatives"),
-            F.sum(F.col("positives") * (F.col("below") + F.col("negatives") / 2)).alias("pairs"),
+    totals = in_ranges.mapInArrow(_range_totals, _TOTALS)
+    # One entry per range; a range without scores has none.
+    in_order = F.array_sort(F.collect_list(F.struct("lowest", "positives", "negatives", "pairs")))
+    nothing = F.struct(F.lit(0.0).alias("pairs"), F.lit(0).cast("bigint").alias("positives"), F.lit(0).cast("bigint").alias("negatives"))
+
+    def add(sofar, part):
+        pairs = sofar["pairs"] + part["pairs"] + part["positives"].cast("double") * sofar["negatives"]
+        return F.struct(
+            pairs.alias("pairs"), (sofar["positives"] + part["positives"]).alias("positives"),
+            (sofar["negatives"] + part["negatives"]).alias("negatives"),
+        )
+
+    def area(sums):
+        return F.try_divide(sums["pairs"], sums["positives"].cast("double") * sums["negatives"])
+
+    return totals.agg(in_order.alias("ranges")).select(F.aggregate("ranges", nothing, add, area).alias("area_under_roc"))
+
+
+_TOTALS = "lowest double, positives bigint, negatives bigint, pairs double"
+
+
+def _range_totals(batches):
+    """One row for a task's scores, which come in order: its counts, and its pairs within the range."""
+    lowest, positives, negatives, pairs = None, 0, 0, 0.0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        up, down = (batch[name].to_numpy() for name in ("positives", "negatives"))
+        below = negatives + np.cumsum(down) - down
+        pairs += float((up * (below + down / 2)).sum())
+        lowest = batch["score"][0].as_py() if lowest is None else lowest
+        positives, negatives = positives + int(up.sum()), negatives + int(down.sum())
+    if lowest is not None:
+        yield pa.RecordBatch.from_pydict(
+            {"lowest": [lowest], "positives": [positives], "negatives": [negatives], "pairs": [pairs]}
         )
-    )
-    over_ranges = totals.withColumn("below", preceding_negatives(Window.orderBy("lowest")))
-    return over_ranges.agg(
-        F.try_divide(
-            F.sum(F.col("pairs") + F.col("positives").cast("double") * F.col("below")),
-            F.sum("positives").cast("double") * F.sum("negatives"),
-        ).alias("area_under_roc")
-    )

@@ -15,15 +15,19 @@ from tillsight.functions.codec import (
     as_text,
     decode_rows,
     decode_transactions,
+    encode_rows,
 )
 from tillsight.operators import insights, model, quality, scoring, shaping
 from tillsight.operators.detail import detail_cells
 from tillsight.operators.latest import read_insight
 from tillsight.operators.partials import finished_insights
 from tillsight.plans import jobs
+from tillsight.schema import typed_schema
+from tillsight.sinks.batches import read_batches
 from tillsight.sinks.covered_store import read_covered
 from tillsight.sinks.csv_files import write_csv
 from tillsight.sinks.detail_store import read_version
+from tillsight.sinks.detail_table import read_detail
 from tillsight.sinks.publish import TRANSACTIONS_TOPIC, publish_insight, publish_transactions
 from tillsight.sources.csv_files import read_csv
 from tillsight.sources.topics import FileTopics
@@ -148,7 +152,7 @@ def _stored_text(spark, path):
         for family, names in FAMILIES.items()
         for name in names
     ]
-    stored = jobs.read_detail(spark, path)
+    stored = read_detail(spark, path)
     return stored.select(F.decode("row_key", "UTF-8").alias("row_key"), *flat)
 
 
@@ -475,6 +479,29 @@ def stream_decode(spark, folder):
     return spark.read.parquet(path)
 
 
+def stream_quarantine(spark, folder):
+    """All messages of the faulty feed by way of a stream: good ones without a reason, and refused ones."""
+    path, checkpoint = fresh_folder(spark, "decoded"), fresh_folder(spark, "stream")
+    streams.start_decode(
+        spark, dirty_feed(spark, folder), path, checkpoint, available_now=True, refused_path=f"{path}-refused"
+    ).awaitTermination()
+    good = read_batches(spark, path, typed_schema()).withColumn("reason", F.lit(None).cast("string"))
+    refused = read_batches(spark, f"{path}-refused", "reason string, value binary")
+    _, again = quality.split_quarantine(refused)
+    return good.select("transaction_id", *_REFUSED).unionByName(again.select("transaction_id", *_REFUSED))
+
+
+def stream_detail(spark, folder):
+    """Later messages first, then the ones they replace, then those again: a batch each."""
+    topics, path = _new_topics(spark), fresh_folder(spark, "detail")
+    rows = transactions(spark, folder)
+    for sent, day in ((chargebacks(rows), "2024-01-02"), (rows, "2024-01-01"), (rows, "2024-01-01")):
+        messages = encode_rows(as_text(sent)).withColumn("timestamp", F.lit(day).cast("timestamp"))
+        topics.write(messages, TRANSACTIONS_TOPIC)
+        streams.start_detail(spark, topics, path, f"{path}-checkpoint", available_now=True).awaitTermination()
+    return _stored_text(spark, path)
+
+
 QUERIES = {
     "decode_roundtrip": decode_roundtrip,
     "csv_roundtrip": csv_roundtrip,
@@ -530,4 +557,6 @@ QUERIES = {
     "stream_sales": stream_sales,
     "stream_two_queries": stream_two_queries,
     "stream_decode": stream_decode,
+    "stream_quarantine": stream_quarantine,
+    "stream_detail": stream_detail,
 }

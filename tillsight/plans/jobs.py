@@ -15,14 +15,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.codec import decode_transactions
 from tillsight.operators import model
-from tillsight.operators.detail import (
-    ARRIVAL_COLUMN,
-    detail_rows,
-    detail_schema,
-    last_messages,
-    parsed,
-    refused_messages,
-)
+from tillsight.operators.detail import detail_rows, last_messages, parsed, refused_messages
 from tillsight.operators.insights import (
     FRAUD_INSIGHTS,
     INSIGHTS,
@@ -37,8 +30,9 @@ from tillsight.operators.partials import finished_insights, merged_insights, par
 from tillsight.operators.quality import judge_keys
 from tillsight.sinks.covered_store import read_covered, write_covered
 from tillsight.sinks.detail_store import write_detail_store, write_version
+from tillsight.sinks.detail_table import store_detail
 from tillsight.sinks.publish import TRANSACTIONS_TOPIC, new_run_id, publish_insight
-from tillsight.sinks.ranged_store import Stored, merge_ranges, read_ranges, write_ranges
+from tillsight.sinks.ranged_store import Stored
 from tillsight.sinks.versions import last_version
 from tillsight.workspace import cut_lineage
 
@@ -163,23 +157,10 @@ def detail_job(
         ordered = parsed(good).drop("arrival").sortWithinPartitions("transaction_id")
         stored = Stored(write_detail_store(detail_rows(ordered), open_writer), 0)
     else:
-        rows = detail_rows(parsed(good), keep=[F.col("arrival").alias(ARRIVAL_COLUMN)])
-        stored = store_rows(rows, path, counts.ids, merged)
+        stored = store_detail(good, path, counts.ids, merged)
     return Load(counts.read or 0, stored.rows, counts.refused or 0, stored.before)
 
 
-def store_rows(rows: DataFrame, path: str, expected: int, merged: bool) -> Stored:
-    """Rows of the detail table as a new version of it, alone or merged with the one before."""
-    if merged:
-        return merge_ranges(rows, path, "row_key", ARRIVAL_COLUMN, detail_schema())
-    return write_ranges(rows, path, "row_key", expected)
-
-
-def read_detail(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
-    """The detail table at ``path``: the last complete version, or the one in folder ``version``."""
-    return read_ranges(spark, path, detail_schema(), version).drop(ARRIVAL_COLUMN)
-
-
 class Training(NamedTuple):
     """The fitted model, its area on the test part, and what went in."""
 

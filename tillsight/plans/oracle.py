@@ -302,6 +302,16 @@ def _quarantine():
     )
 
 
+def _judged():
+    """All messages of the faulty feed; the id of an unreadable one is lost."""
+    fields = ", ".join(
+        f'CASE WHEN mod(l_orderkey, 211) <> 0 THEN "{name}" END AS "{name}"'
+        for name in ["transaction_id", "user_id", "product_id", "timestamp", "total_amount"]
+    )
+    reason = "CASE WHEN mod(l_orderkey, 211) = 0 THEN 'unreadable' WHEN transaction_id IS NULL THEN 'missing_id' END AS reason"
+    return _from(f"{reason}, {fields}", _DIRTY, "dirty")
+
+
 def _load_counts():
     good = "mod(l_orderkey, 211) <> 0 AND transaction_id IS NOT NULL"
     stored = f"count(DISTINCT transaction_id) FILTER (WHERE {good})"
@@ -397,4 +407,6 @@ ORACLE = {
                                   "count(*) FILTER (WHERE fraud_label <> 1) AS negatives, "
                                   "true AS area_holds"),
     "stream_decode": _RECORDS,
+    "stream_quarantine": _judged(),
+    "stream_detail": _upsert(),
 }

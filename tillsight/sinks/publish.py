@@ -56,9 +56,12 @@ def first_run_id(spark: SparkSession, checkpoint: str) -> int:
 
 
 def _stamped(insight, run_id, ignore_null_fields):
+    """Messages of a run under a key of run and dimension value, so that one sent again can be told."""
     if run_id is None:
         return encode_rows(insight, ignore_null_fields)
     number = F.lit(run_id).cast("bigint").alias("run_id")
     end = insight.agg(F.count("*").alias("run_rows")).select(number, "run_rows")
-    rows = encode_rows(insight.select("*", number), ignore_null_fields)
-    return rows.unionAll(encode_rows(end, ignore_null_fields))
+    keyed = insight.select("*", number)
+    dimension = F.col(insight.columns[0]).alias("of")
+    rows = encode_rows(keyed, ignore_null_fields, key=F.to_json(F.struct("run_id", dimension)))
+    return rows.unionAll(encode_rows(end, ignore_null_fields, key=F.to_json(F.struct("run_id", F.lit(True).alias("end")))))

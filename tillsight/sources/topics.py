@@ -153,7 +153,8 @@ class KafkaTopics:
         row.write.format("kafka").options(**self.write_options(f"{topic}{_POINTERS}")).save()
 
     def write(self, messages: DataFrame, topic: str) -> None:
-        messages.select("value").write.format("kafka").options(**self.write_options(topic)).save()
+        sent = [name for name in ("key", "value") if name in messages.columns]
+        messages.select(*sent).write.format("kafka").options(**self.write_options(topic)).save()
 
     def write_batch(self, messages: DataFrame, topic: str, run_id: int) -> None:
         """One micro-batch. A replayed batch is sent again, under the number it had."""
