@@ -119,3 +119,50 @@ def test_missing_categories_can_be_kept(spark, small):
     assert dropped.count() < kept.count() < rows.count()
     with pytest.raises(ValueError):
         model.complete_rows(rows, "guess")
+
+
+def test_a_save_that_fails_leaves_the_model_before(spark, trained, tmp_path, monkeypatch):
+    fitted, _, _, test = trained
+    path = str(tmp_path / "model")
+    model.save(fitted, path)
+    with monkeypatch.context() as broken:
+        broken.setattr(model, "write_mark", lambda *a: (_ for _ in ()).throw(RuntimeError("gone")))
+        with pytest.raises(RuntimeError):
+            model.save(fitted, path)
+    assert model.load(path).indexes.path.endswith("version-000000001/indexes")
+    model.save(fitted, path)
+    again = model.load(path)
+    assert again.indexes.path.endswith("version-000000003/indexes") and again.unseen == "keep"
+    assert model.score(again, test).count() == test.count()
+
+
+def test_as_many_values_as_rows(spark):
+    """Every value once but one; places go on from task to task."""
+    names = F.concat(F.lit("value-"), F.lpad(F.col("id").cast("string"), 6, "0"))
+    rows = spark.range(20_000, numPartitions=5).select(
+        F.when(F.col("id") % 4 == 3, F.lit("hot")).otherwise(names).alias("category"),
+        F.when(F.col("id") < 9_000, F.lit("x")).otherwise("y").alias("user_gender"),
+    )
+    found = model.value_indexes(rows, ["category", "user_gender"])
+    expected = ["hot", *[f"value-{i:06d}" for i in range(20_000) if i % 4 != 3]]
+    by_index = found.filter("column = 'category'").orderBy("index").collect()
+    assert [row.value for row in by_index] == expected
+    assert [row["index"] for row in by_index] == list(map(float, range(len(expected))))
+    gender = {(row.value, row.occurrences, row["index"]) for row in found.filter("column = 'user_gender'").collect()}
+    assert gender == {("y", 11_000, 0.0), ("x", 9_000, 1.0)}
+    assert model.value_indexes(rows.limit(0), ["category"]).collect() == []
+
+
+def test_unseen_values_are_kept_skipped_or_refused(spark):
+    rows = spark.createDataFrame(
+        [("a", "b")] * 2 + [("c", None)], "category string, sub_category string"
+    ).withColumns({name: F.lit("z") for name in model.CATEGORICAL_FEATURES[2:]})
+    indexes = model.Indexes.fit(rows)
+    other = rows.withColumn("category", F.lit("new"))
+    kept = indexes.add(other, "keep").select("category_index", "sub_category_index").distinct().collect()
+    assert sorted(map(tuple, kept)) == [(2.0, 0.0), (2.0, 1.0)]
+    assert indexes.add(other, "skip").count() == 0
+    with pytest.raises(Exception, match="Unseen label in category: new"):
+        indexes.add(other).collect()
+    with pytest.raises(ValueError):
+        indexes.add(other, "guess")

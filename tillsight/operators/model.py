@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillsight.operators.ranking import ranked
 from tillsight.operators.scoring import score_auc
+from tillsight.sinks.versions import last_version, next_version, write_mark
+from tillsight.workspace import fresh_folder, hadoop_path
 
 # Model inputs, in vector order.
 NUMERIC_FEATURES = ["price", "quantity", "total_amount", "user_age", "user_income"]
@@ -39,14 +45,70 @@ def complete_rows(transactions: DataFrame, missing: str = "drop") -> DataFrame:
     return transactions.select(*MODEL_INPUTS).dropna(subset=needed)
 
 
-def indexer(handle_invalid: str = "error") -> StringIndexer:
-    """Most frequent value first, ties by text; all six columns counted in one pass."""
-    return StringIndexer(
-        inputCols=CATEGORICAL_FEATURES,
-        outputCols=INDEXED_FEATURES,
-        stringOrderType="frequencyDesc",
-        handleInvalid=handle_invalid,
-    )
+def value_indexes(rows: DataFrame, columns=CATEGORICAL_FEATURES) -> DataFrame:
+    """(column, value, occurrences, index) for every value of ``columns``.
+
+    The most frequent value has index 0, ties go by text. All columns are
+    counted in one pass and ranked by ranges, so no task and not the driver
+    holds a column's values, however many there are. NULL has no index.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("value")) for name in columns]))
+    counts = rows.select(pairs.alias("pair")).select("pair.*").filter("value is not null")
+    counts = counts.groupBy("column", "value").agg(F.count("*").alias("occurrences"))
+    places = ranked(counts, "column", F.desc("occurrences"), F.asc("value"))
+    return places.select("column", "value", "occurrences", F.col("place").cast("double").alias("index"))
+
+
+def frequency_index(rows: DataFrame, column: str) -> DataFrame:
+    """(value, occurrences, index): the index the classifier gives each value."""
+    found = value_indexes(rows, [column])
+    return found.select(F.col("value").alias(column), "occurrences", F.col("index").alias(f"{column}_index"))
+
+
+class Indexes:
+    """The index tables of the categorical columns, stored in a folder for each column."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    @classmethod
+    def fit(cls, rows: DataFrame, path: str | None = None) -> Indexes:
+        spark = rows.sparkSession
+        path = path or fresh_folder(spark, "indexes")
+        value_indexes(rows).write.partitionBy("column").parquet(path)
+        return cls(spark, path)
+
+    def of(self, column: str) -> DataFrame:
+        """(value, index) of one column, read by itself so that Spark knows its size."""
+        schema = "value string, occurrences bigint, index double"
+        folder = f"{self.path}/column={column}"
+        place, file_system = hadoop_path(self.spark, folder)
+        if not file_system.exists(place):  # a column without any value
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder)
+
+    def add(self, rows: DataFrame, unseen: str = "error") -> DataFrame:
+        """``rows`` with the index of each column's value.
+
+        Index tables are joined; Spark broadcasts those that are small. A value
+        without an index, or none, gets the next one with ``keep``, leaves its
+        row out with ``skip``, and fails with ``error``.
+        """
+        if unseen not in ("keep", "skip", "error"):
+            raise ValueError(f"unseen is keep, skip or error, not {unseen!r}")
+        for column, name in zip(CATEGORICAL_FEATURES, INDEXED_FEATURES):
+            known = self.of(column).select(F.col("value").alias("_value"), F.col("index").alias("_index"))
+            rows = rows.join(known, F.col(column) == F.col("_value"), "left").drop("_value")
+            if unseen == "keep":
+                following = known.agg(F.count("*").cast("double")).scalar()
+                rows = rows.withColumn(name, F.coalesce("_index", following))
+            elif unseen == "skip":
+                rows = rows.withColumn(name, F.col("_index")).filter(F.col(name).isNotNull())
+            else:
+                message = F.concat(F.lit(f"Unseen label in {column}: "), F.coalesce(column, F.lit("NULL")))
+                rows = rows.withColumn(name, F.coalesce("_index", F.raise_error(message).cast("double")))
+            rows = rows.drop("_index")
+        return rows
 
 
 def assembler(handle_invalid: str = "error") -> VectorAssembler:
@@ -59,16 +121,8 @@ def assembler(handle_invalid: str = "error") -> VectorAssembler:
 
 def features(transactions: DataFrame, handle_invalid: str = "error") -> DataFrame:
     """Transactions with their index columns and feature vector."""
-    stages = [indexer(handle_invalid), assembler(handle_invalid)]
-    return Pipeline(stages=stages).fit(transactions).transform(transactions)
-
-
-def frequency_index(rows: DataFrame, column: str) -> DataFrame:
-    """(value, occurrences, index): the index the classifier gives each value."""
-    present = rows.select(column).dropna()
-    model = StringIndexer(inputCol=column, outputCol=f"{column}_index").fit(present)
-    counts = present.groupBy(column).agg(F.count("*").alias("occurrences"))
-    return model.transform(counts)
+    indexed = Indexes.fit(transactions).add(transactions, handle_invalid)
+    return assembler(handle_invalid).transform(indexed)
 
 
 def split_draw() -> Column:
@@ -99,7 +153,23 @@ def random_split(rows: DataFrame, share: float = TRAIN_SHARE, seed: int = SEED):
     return rows.randomSplit([share, 1 - share], seed=seed)
 
 
-def train(training: DataFrame, handle_invalid: str = "error") -> PipelineModel:
+@dataclass(frozen=True)
+class FraudModel:
+    """Index tables, the fitted stages behind them, and what becomes of unseen values."""
+
+    indexes: Indexes
+    pipeline: PipelineModel
+    unseen: str = "error"
+
+    @property
+    def stages(self) -> list:
+        return self.pipeline.stages
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.pipeline.transform(self.indexes.add(rows, self.unseen))
+
+
+def train(training: DataFrame, handle_invalid: str = "error") -> FraudModel:
     """Logistic regression on the assembled features.
 
     ``training`` is read once for the indexes and twice for the regression,
@@ -109,11 +179,12 @@ def train(training: DataFrame, handle_invalid: str = "error") -> PipelineModel:
     regression = LogisticRegression(
         featuresCol="features", labelCol=LABEL, maxIter=MAX_ITERATIONS
     )
-    stages = [indexer(handle_invalid), assembler(handle_invalid), regression]
-    return Pipeline(stages=stages).fit(training)
+    indexes = Indexes.fit(training)
+    stages = Pipeline(stages=[assembler(handle_invalid), regression])
+    return FraudModel(indexes, stages.fit(indexes.add(training, handle_invalid)), handle_invalid)
 
 
-def score(fitted: PipelineModel, rows: DataFrame) -> DataFrame:
+def score(fitted: FraudModel, rows: DataFrame) -> DataFrame:
     """``rows`` with the model's prediction, fraud probability and raw margin."""
     scored = fitted.transform(rows)
     return scored.withColumns({
@@ -122,7 +193,7 @@ def score(fitted: PipelineModel, rows: DataFrame) -> DataFrame:
     })
 
 
-def checked_scores(fitted: PipelineModel, scored: DataFrame) -> DataFrame:
+def checked_scores(fitted: FraudModel, scored: DataFrame) -> DataFrame:
     """``scored`` with whether the saved weights give its probability and prediction.
 
     The margin is the intercept plus the weights times the features, computed
@@ -152,9 +223,23 @@ def evaluator_area(scored: DataFrame, bins: int = 1000) -> float:
     ).evaluate(scored)
 
 
-def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save(model: FraudModel, path: str) -> None:
+    """A new version of the model at ``path``; one that fails midway leaves the version before."""
+    spark = model.indexes.spark
+    version = next_version(spark, path)
+    model.pipeline.write().save(f"{version}/stages")
+    every = [model.indexes.of(name).withColumn("column", F.lit(name)) for name in CATEGORICAL_FEATURES]
+    reduce(DataFrame.unionByName, every).write.partitionBy("column").parquet(f"{version}/indexes")
+    spark.createDataFrame([(model.unseen,)], "unseen string").coalesce(1).write.parquet(f"{version}/settings")
+    write_mark(spark, f"{version}/{_SAVED}")
+
+
+def load(path: str) -> FraudModel:
+    """The last version of the model that was saved whole."""
+    spark = SparkSession.active()
+    version = last_version(spark, path, _SAVED)
+    unseen = spark.read.parquet(f"{version}/settings").first().unseen
+    return FraudModel(Indexes(spark, f"{version}/indexes"), PipelineModel.load(f"{version}/stages"), unseen)
 
 
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+_SAVED = "_SAVED"

@@ -24,10 +24,11 @@ def ranked(rows: DataFrame, group: str, *order) -> DataFrame:
     )
     tasks = numbered.groupBy(group, "_task").agg(F.min("_number").alias("_first"), F.count("*").alias("_rows"))
     before = Window.partitionBy(group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = tasks.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    same = (numbered[group].eqNullSafe(starts[group])) & (numbered["_task"] == starts["_task"])
+    starts = tasks.select(
+        F.col(group).alias("_of"), F.col("_task").alias("_in"), "_first",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+    )
+    same = F.col(group).eqNullSafe(F.col("_of")) & (F.col("_task") == F.col("_in"))
     place = F.col("_number") - F.col("_first") + F.col("_before")
     # At most one row per partition of the exchange and group.
-    return numbered.join(F.broadcast(starts), same).select(
-        *[numbered[name] for name in rows.columns], place.alias("place")
-    )
+    return numbered.join(F.broadcast(starts), same).select(*rows.columns, place.alias("place"))

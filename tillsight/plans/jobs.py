@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +25,7 @@ from tillsight.operators.insights import (
     pick,
 )
 from tillsight.operators.latest import arrival_order
+from tillsight.operators.model import FraudModel
 from tillsight.operators.partials import finished_insights, merged_insights, partial_insights
 from tillsight.operators.quality import judge_keys
 from tillsight.sinks.covered_store import read_covered, write_covered
@@ -164,7 +164,7 @@ def detail_job(
 class Training(NamedTuple):
     """The fitted model, its area on the test part, and what went in."""
 
-    model: PipelineModel
+    model: FraudModel
     area: DataFrame
     rows_read: int
     left_out: int
