@@ -41,6 +41,48 @@ def test_any_bytes_decode_like_utf8(data):
     assert DECODER.decode(ENCODER.transducer.encode(data)) == data.decode("utf-8", "replace")
 
 
+def test_few_states_for_much_text():
+    """A state is the open walks alone: no more of them than nodes in the trie of tokens."""
+    random.seed(12)
+    words = ["".join(random.choices("etaoinshrdlucmfwyp", k=random.randint(2, 12))) for _ in range(120_000)]
+    text = " ".join(words)[: 1 << 20]
+    encoder = byte_bpe.Encoder(byte_bpe.parse_ranks(LINES), public_tokenizers.PATTERN)
+    assert encoder.encode(text) == REFERENCE.encode_ordinary(text)
+    assert encoder.transducer.states < 10_000
+
+
+def test_tokens_come_once_they_are_settled():
+    text = "".join(random.Random(13).choices("abcdefgh", k=3_000))
+    parts = list(ENCODER.transducer.stream(text.encode(), settle_bytes=40))
+    assert [token for ids in parts for token in ids] == REFERENCE.encode_ordinary(text)
+    assert max(map(len, parts)) <= 100 and sum(1 for ids in parts if ids) > 50
+
+
+def test_pieces_that_no_merge_makes():
+    """``abc`` is a token, but neither ``ab`` nor ``bc``: it counts where it is the whole piece."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"xy": 257, b"xyx": 258}
+    encoder = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    expected = tiktoken.Encoding("o", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for text in ("abc", "abcd", " abc", "xyxyx", "xyx abc xy", "x" * 700 + "yx"):
+        assert encoder.encode(text) == expected.encode_ordinary(text)
+
+
+def test_more_pairs_than_are_remembered():
+    pairs = byte_bpe._Pairs(8, lambda pair: pair % 3 == 0)
+    for low in (0, 5, 400, 0):
+        asked = np.arange(low, low + 200, dtype=np.int64)
+        assert pairs(asked).tolist() == [pair % 3 == 0 for pair in asked.tolist()]
+        assert pairs(asked[:5]).tolist() == [pair % 3 == 0 for pair in asked[:5].tolist()]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2_000), max_size=12), max_size=5))
+def test_texts_decode_together_as_one_by_one(texts):
+    bounds = np.cumsum([0, *map(len, texts)])
+    ids = np.array([token for text in texts for token in text], dtype=np.int64)
+    assert DECODER.decode_batch(ids, bounds) == [DECODER.decode(text).encode() for text in texts]
+
+
 def test_streams_across_tokens():
     ids = [token for byte in "日🙂é".encode() for token in ENCODER.transducer.encode(bytes([byte]))]
     assert [text for text in DECODER.stream(ids) if text] == ["日", "🙂", "é"]
