@@ -9,6 +9,7 @@ import pytest
 from awkward_rows import AWKWARD
 
 from tillsight.llm import ngram_join
+from tillsight.llm import components as components_module
 from tillsight.llm.components import components
 from tillsight.llm.queries import QUERIES
 
@@ -132,3 +133,55 @@ def test_components_of_a_path_and_a_star(spark):
     names = {r.node: r.component for r in components(links).collect()}
     assert {names[i] for i in range(61)} == {0}
     assert {names[i] for i in [90, *range(100, 140)]} == {90}
+
+
+def shapes():
+    random = np.random.default_rng(11)
+    number = random.permutation(1000).tolist()
+    ascending = [(i, i + 1) for i in range(999)]
+    return {
+        "ascending": ascending, "descending": [(b, a) for a, b in reversed(ascending)],
+        "random": [(number[a], number[b]) for a, b in ascending], "star": [(999, i) for i in range(999)],
+        "least hubs": [(500 + i // 2, i) for i in range(999) if i != 500 + i // 2],
+    }
+
+
+@pytest.mark.parametrize("name", sorted(shapes()))
+def test_rounds_grow_as_the_logarithm(spark, monkeypatch, name):
+    """Rounds, and doublings of all rounds together, on paths and stars of a thousand nodes."""
+    kept = []
+    store = components_module.stored
+    monkeypatch.setattr(components_module, "stored", lambda df, label: kept.append(label) or store(df, label))
+    pairs = shapes()[name]
+    names = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
+    assert names == _named(pairs)
+    limit = 2 * np.log2(1000) + 2
+    assert kept.count("links") - 1 <= limit and kept.count("pointers") <= 2 * limit
+
+
+def _named(pairs):
+    """Every node's least node, by union and find."""
+    parent = {}
+
+    def root(node):
+        while parent.setdefault(node, node) != node:
+            parent[node] = parent[parent[node]]
+            node = parent[node]
+        return node
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return {node: root(node) for node in list(parent)}
+
+
+def test_a_component_leaves_no_tables_behind(spark):
+    from pathlib import Path
+
+    from tillsight.workspace import shared_folder
+
+    folder = Path(shared_folder(spark))
+    before = {path.name for path in folder.iterdir()}
+    components(spark.createDataFrame([(1, 2), (2, 3), (5, 4)], "a bigint, b bigint")).collect()
+    left = {path.name.rsplit("-", 1)[0] for path in folder.iterdir() if path.name not in before}
+    assert left == {"components", "links"}
