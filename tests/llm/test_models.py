@@ -222,3 +222,11 @@ def test_personal_data_digests(spark, small):
         assert row.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
         assert set(filter(None, written.split(","))) <= set(row.spans.split(","))
         assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(s[1] == k for s in base) for k in range(4)]
+
+
+def test_features_are_of_the_whole_word():
+    """Digits behind any number of letters count, and so does each run of them."""
+    late = "x" * 300 + "5551234567"
+    assert pii.word_features(late) != ("plain",)
+    assert "digits=10" in pii.word_features(late) and "letters=True" in pii.word_features(late)
+    assert pii.word_features("1a" * 9) != pii.word_features("1a" * 8)

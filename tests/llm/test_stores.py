@@ -290,6 +290,15 @@ def test_nearest_of_awkward_vectors(spark):
     assert vector_search.nearest(table, table.limit(0)).collect() == []
 
 
+def test_vectors_whose_squares_are_out_of_range(spark):
+    plain = [(i, np.random.default_rng(i).normal(0, 1, 6).tolist()) for i in range(30)]
+    sizes = (1e200, 1e-200, 1.0, 2.0**-900)
+    rows = [(i, [c * sizes[i % 4] for c in v]) for i, v in plain]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = by_query(vector_search.nearest(table, table))
+    assert found == plain_nearest(plain, range(30))
+
+
 def test_recall(spark):
     random = np.random.default_rng(8)
     rows = [(i, v.tolist()) for i, v in enumerate(random.standard_normal((6000, 48)))]

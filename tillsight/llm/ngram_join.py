@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tillsight.llm.components import components
 from tillsight.llm.texts import (
     ascii_lower,
+    hash_buckets,
     mixed,
     pieces,
     text_buffer,
@@ -444,11 +445,10 @@ def linked_components(
     other, but name no component unless they are alone in it, when it is null.
     Sets are compared by hashes of at least 40 bits beside the bucket's number.
     """
-    spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     needed = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
+    buckets = buckets or hash_buckets(needed)
     known = cut_lineage(needed.mapInArrow(_node_of, "doc_id bigint, n_shingles bigint, node bigint"), "nodes")
     asked = needed.select("text").mapInArrow(
         _ask(buckets), "bucket int, low binary, high binary, nodes binary, counts binary"
@@ -486,8 +486,10 @@ def linked_components(
     if not placed.filter("blocks > 1").isEmpty():
         links = _across_blocks(placed, links, groups, percent)
     named = known.join(components(links), "node", "left")
-    named = named.withColumn("component", F.coalesce("component", "node"))
+    named = cut_lineage(named.withColumn("component", F.coalesce("component", "node")), "named")
     least_id = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    # Stored, so that the join has two plain sides and a component of very many documents is cut up.
+    least_id = cut_lineage(least_id, "least-ids")
     return named.join(least_id, "component", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )

@@ -116,15 +116,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+#: Longer words are looked at each time, so that what is remembered has a bound.
+_REMEMBERED = 256
+
+
 @lru_cache(maxsize=100_000)
 def word_features(word: str) -> tuple[str, ...]:
-    """What the field sees of a word: its shape, in two degrees of detail."""
-    shape = re.sub(r"[0-9]", "0", re.sub(r"[^\W\d_]", "x", word[:64]))
+    """What the field sees of a word: the shape of all of it, in two degrees of detail."""
+    shape = re.sub(r"[0-9]", "0", re.sub(r"[^\W\d_]", "x", word))
     runs = re.sub(r"x+", "x", re.sub(r"0+", "0", shape))
     digits = shape.count("0")
     if not digits and not _AT.search(word):
         return ("plain",)
-    lengths = "-".join(str(min(len(run), 6)) for run in re.findall(r"0+", shape)[:6])
+    lengths = "-".join(str(min(len(run), 6)) for run in re.findall(r"0+", shape))
     return (
         f"runs={runs.strip(',;:!?')}", f"lengths={lengths}", f"digits={min(digits, 17)}",
         f"first={shape[:1]}", f"at={bool(_AT.search(word))}", f"letters={'x' in shape}",
@@ -132,7 +136,7 @@ def word_features(word: str) -> tuple[str, ...]:
 
 
 def _sequence_features(words: list[str]) -> list[list[str]]:
-    own = [word_features(word) for word in words]
+    own = [(word_features if len(word) <= _REMEMBERED else word_features.__wrapped__)(word) for word in words]
     edge = ("edge",)
     return [
         [

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tillsight.llm.texts import (
     WINDOW_BASES,
+    hash_buckets,
     mixed,
     pieces,
     text_buffer,
@@ -228,8 +229,7 @@ def repeated_runs(docs: DataFrame, size: int = WINDOW, buckets: int | None = Non
 
     ``docs`` has just ``doc_id`` and ``text``.
     """
-    spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or hash_buckets(docs)
     halves = (
         docs.mapInArrow(_ask_halves(size, buckets), _DEALT)
         .groupBy("bucket")
@@ -277,7 +277,8 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW, buckets: int |
     without an id is neither compared nor shortened. ``doc_id`` names a text:
     rows that share an id do not remove each other's windows of equal start,
     and each loses what is removed from any of them. An empty table gives an
-    empty one. Hash buckets follow ``spark.sql.shuffle.partitions``.
+    empty one. There are as many hash buckets as shuffles have partitions, or
+    more where the texts need them.
     """
     if size % 2 or size < 2:
         raise ValueError("a window has an even number of words")
@@ -295,6 +296,11 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW, buckets: int |
 
 
 def substring_dedup_digest(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, words, removed words, and the hash of what is kept.
+
+    Nulls, empty texts, repeated rows and rows without an id as in
+    ``remove_repeated_windows``; other columns are ignored.
+    """
     return remove_repeated_windows(docs).select(
         "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),

@@ -24,6 +24,8 @@ _LETTER_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 #: Odd multipliers of the two independent halves of a window's hash.
 WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _CHUNK_BYTES = 4 << 20
+#: Text behind one hash bucket at most, on average; a task holds several times as much for its bucket.
+BUCKET_BYTES = 64 << 20
 
 
 def pieces(
@@ -44,6 +46,13 @@ def pieces(
                 yield batch.slice(start, stop - start)
 
 
+def hash_buckets(docs: DataFrame, text: str = "text") -> int:
+    """As many buckets as shuffles have partitions, or more where the texts need them."""
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(least, -(-total // BUCKET_BYTES))
+
+
 def boxed(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, text): all other columns in one, so that their names clash with nothing."""
     rest = [F.col(f"`{name}`") for name in docs.columns if name != text]

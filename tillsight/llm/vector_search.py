@@ -36,18 +36,27 @@ GROUP_ROWS = 20_000
 
 
 def matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
-    """Vectors as rows; shorter ones end in zeros, and components beyond ``width`` are left out."""
+    """Vectors as rows; shorter ones end in zeros, and components beyond ``width`` are left out.
+
+    Each is scaled by a power of two to a largest component of about one. That
+    changes no cosine and no digit of one, and keeps squares in range.
+    """
     lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     size = int(lengths.max(initial=0)) if width is None else width
     if len(lengths) and (lengths == size).all():
-        return values.reshape(len(lengths), size)
+        return _scaled(values.reshape(len(lengths), size))
     rows = np.zeros((len(lengths), size))
     at = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     row = np.repeat(np.arange(len(lengths)), lengths)
     fits = at < size
     rows[row[fits], at[fits]] = values[fits]
-    return rows
+    return _scaled(rows)
+
+
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    largest = np.abs(rows).max(axis=1, initial=0, keepdims=True)
+    return np.ldexp(rows, -np.frexp(largest)[1])
 
 
 def cosines(left: np.ndarray, right: np.ndarray) -> np.ndarray:
