@@ -4,7 +4,9 @@ from tillsight.__main__ import parser, run
 from tillsight.operators.insights import insight
 from tillsight.operators.latest import read_insight
 from tillsight.sinks.csv_files import write_csv
-from tillsight.sinks.detail_store import read_version
+from tillsight.schema import typed_schema
+from tillsight.sinks.batches import read_batches
+from tillsight.sinks.detail_table import read_detail
 from tillsight.sources.warehouse import transactions
 
 
@@ -18,7 +20,7 @@ def test_from_csv_to_charts(spark, small, tmp_path, capsys):
     rows = transactions(spark, small)
     write_csv(rows, str(tmp_path / "csv"))
     command("publish", str(tmp_path / "csv"))
-    command("sales", "--income")
+    assert "income_" not in command("sales", "--income") and "device: 3 groups" in command("sales", "--covered", str(tmp_path / "covered"))
     assert read_insight(spark, _topics(tmp_path), "income").count() > 100
     shown = command("fraud", "--rows", "3")
     assert "fraud_percentage" in shown and "more rows" in shown
@@ -28,7 +30,7 @@ def test_from_csv_to_charts(spark, small, tmp_path, capsys):
     assert dict(zip(arrays["labels"], arrays["values"])) == counts
 
     assert f"{rows.count()} read" in command("detail", str(tmp_path / "detail"))
-    stored = read_version(spark, str(tmp_path / "detail"))
+    stored = read_detail(spark, str(tmp_path / "detail"))
     assert stored.count() == rows.select("transaction_id").distinct().count()
     trained = command("train", str(tmp_path / "model"), "--unseen", "keep", "--random-split", "7")
     assert "area_under_roc" in trained and "left out" in trained
@@ -43,7 +45,12 @@ def test_from_csv_to_charts(spark, small, tmp_path, capsys):
         "stream", "records", "--path", str(tmp_path / "records"), "--checkpoint",
         str(tmp_path / "records-checkpoint"), "--available-now",
     )
-    assert spark.read.parquet(str(tmp_path / "records")).count() == 2 * rows.count()
+    assert read_batches(spark, str(tmp_path / "records"), typed_schema()).count() == 2 * rows.count()
+    command(
+        "stream", "detail", "--path", str(tmp_path / "followed"), "--checkpoint",
+        str(tmp_path / "followed-checkpoint"), "--available-now",
+    )
+    assert read_detail(spark, str(tmp_path / "followed")).count() == stored.count()
     arrays = json.loads(command("series", "device"))
     assert dict(zip(arrays["labels"], arrays["values"])) == {k: 2 * n for k, n in counts.items()}
 

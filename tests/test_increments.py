@@ -14,7 +14,7 @@ from tillsight.schema import ENVELOPE
 from tillsight.sinks import covered_store, ranged_store
 from tillsight.sinks.detail_table import read_detail
 from tillsight.sinks.publish import publish_insight, publish_transactions
-from tillsight.sinks.ranged_store import manifest, merge_ranges, read_ranges, write_ranges
+from tillsight.sinks.ranged_store import dealt, manifest, merge_ranges, read_ranges, write_ranges
 from tillsight.sinks.versions import complete_versions
 from tillsight.sources.topics import FileTopics, KafkaTopics, resolve_offsets
 from tillsight.sources.warehouse import chargebacks, transactions
@@ -26,7 +26,8 @@ def keyed(spark, numbers, at):
     return rows.select(F.encode("key", "UTF-8").alias("key"), "said", "at")
 
 
-SCHEMA = "key binary, said string, at bigint"
+def stored(rows, path, expected):
+    return write_ranges(dealt(rows, "key", expected), path, "key")
 
 
 def contents(rows):
@@ -41,7 +42,7 @@ def small_ranges(monkeypatch):
 def test_untouched_ranges_are_shared(spark, tmp_path, small_ranges):
     path = str(tmp_path / "table")
     schema = keyed(spark, [1], 1).schema
-    assert write_ranges(keyed(spark, range(400), 1), path, "key", 400) == (400, 0)
+    assert stored(keyed(spark, range(400), 1), path, 400) == (400, 0)
     first = {entry.folder for entry in manifest(spark, path)}
     assert len(first) >= 6
     merged = merge_ranges(keyed(spark, [*range(30, 34), 999], 2), path, "key", "at", schema)
@@ -56,7 +57,7 @@ def test_untouched_ranges_are_shared(spark, tmp_path, small_ranges):
 
 def test_a_merge_again_and_an_older_one_change_nothing(spark, tmp_path, small_ranges):
     path, schema = str(tmp_path / "table"), keyed(spark, [1], 1).schema
-    write_ranges(keyed(spark, range(0, 200, 2), 5), path, "key", 100)
+    stored(keyed(spark, range(0, 200, 2), 5), path, 100)
     for at in (7, 7, 3):
         merge_ranges(keyed(spark, range(0, 200, 10), at), path, "key", "at", schema)
         found = contents(read_ranges(spark, path, schema))
@@ -65,7 +66,7 @@ def test_a_merge_again_and_an_older_one_change_nothing(spark, tmp_path, small_ra
 
 def test_a_grown_range_is_cut_and_small_keys_go_first(spark, tmp_path, small_ranges):
     path, schema = str(tmp_path / "table"), keyed(spark, [1], 1).schema
-    write_ranges(keyed(spark, range(1000, 1040), 1), path, "key", 40)
+    stored(keyed(spark, range(1000, 1040), 1), path, 40)
     assert len(manifest(spark, path)) == 1
     merge_ranges(keyed(spark, range(0, 180), 2), path, "key", "at", schema)
     entries = manifest(spark, path)
@@ -76,7 +77,7 @@ def test_a_grown_range_is_cut_and_small_keys_go_first(spark, tmp_path, small_ran
 
 def test_empty_tables_and_empty_merges(spark, tmp_path):
     path, schema = str(tmp_path / "table"), keyed(spark, [1], 1).schema
-    assert write_ranges(keyed(spark, [1], 1).limit(0), path, "key", 0) == (0, 0)
+    assert stored(keyed(spark, [1], 1).limit(0), path, 0) == (0, 0)
     assert read_ranges(spark, path, schema).collect() == []
     assert merge_ranges(keyed(spark, [4], 1), path, "key", "at", schema).rows == 1
     assert merge_ranges(keyed(spark, [4], 1).limit(0), path, "key", "at", schema) == (1, 1)
@@ -85,7 +86,7 @@ def test_empty_tables_and_empty_merges(spark, tmp_path):
 
 def test_a_merge_that_fails_leaves_the_version_before(spark, tmp_path, small_ranges):
     path, schema = str(tmp_path / "table"), keyed(spark, [1], 1).schema
-    write_ranges(keyed(spark, range(100), 1), path, "key", 100)
+    stored(keyed(spark, range(100), 1), path, 100)
     broken = keyed(spark, [3], 2).withColumn("said", F.raise_error(F.lit("stop")).cast("string"))
     with pytest.raises(Exception, match="stop"):
         merge_ranges(broken, path, "key", "at", schema)

@@ -12,14 +12,14 @@ from functools import partial
 from pyspark.sql import SparkSession
 
 from tillsight.operators import model
-from tillsight.operators.insights import SALES_INSIGHTS
+from tillsight.operators.insights import FRAUD_INSIGHTS, SALES_INSIGHTS
 from tillsight.operators.latest import read_insight
 from tillsight.operators.shaping import series_json
 from tillsight.plans import jobs
 from tillsight.sinks.publish import publish_transactions
 from tillsight.sources.csv_files import read_csv
 from tillsight.sources.topics import FileTopics, KafkaTopics
-from tillsight.streaming.insight_streams import STATE_PARTITIONS, start_decode, start_insights
+from tillsight.streaming.insight_streams import STATE_PARTITIONS, start_decode, start_detail, start_insights
 
 
 def parser() -> argparse.ArgumentParser:
@@ -37,6 +37,8 @@ def parser() -> argparse.ArgumentParser:
     sales.add_argument("--income", action="store_true", help="average spending per income too")
     fraud = commands.add_parser("fraud", help="fraud insights to their topics, and on the console")
     fraud.add_argument("--rows", type=int, default=20, help="rows of each table to show")
+    for insights in (sales, fraud):
+        insights.add_argument("--covered", metavar="PATH", help="read new messages only; what is covered is kept there")
     detail = commands.add_parser("detail", help="latest message per id to a Parquet table; with --from, added to it")
     detail.add_argument("path")
     train = commands.add_parser("train", help="fit, save and evaluate the fraud model")
@@ -47,10 +49,10 @@ def parser() -> argparse.ArgumentParser:
     chart = commands.add_parser("series", help="an insight's latest table as chart arrays")
     chart.add_argument("name")
     follow = commands.add_parser("stream", help="keep insights up to date")
-    follow.add_argument("names", nargs="+", metavar="name", help="insights, or 'records' alone")
+    follow.add_argument("names", nargs="+", metavar="name", help="insights, or 'records' or 'detail' alone")
     follow.add_argument("--max-per-trigger", type=int, help="offsets, or files of a folder, at a time")
     follow.add_argument("--state-partitions", type=int, default=STATE_PARTITIONS)
-    follow.add_argument("--path", help="where records go")
+    follow.add_argument("--path", help="where records or the detail table go; refused messages go beside it")
     follow.add_argument("--checkpoint", required=True)
     follow.add_argument("--available-now", action="store_true", help="stop when caught up")
     return top
@@ -68,9 +70,10 @@ def run(spark: SparkSession, options) -> None:
             publish_transactions(read_csv(spark, options.csv), topics)
         case "sales":
             names = (*SALES_INSIGHTS, "income") if options.income else SALES_INSIGHTS
-            jobs.insight_job(spark, topics, topics, names)
+            for name, table in _insights(spark, topics, names, options.covered).items():
+                print(f"{name}: {table.count()} groups sent")
         case "fraud":
-            jobs.show(jobs.fraud_job(spark, topics, topics), options.rows)
+            jobs.show(_insights(spark, topics, FRAUD_INSIGHTS, options.covered), options.rows)
         case "detail":
             load = jobs.detail_job(spark, topics, options.path)
             print(
@@ -95,7 +98,10 @@ def run(spark: SparkSession, options) -> None:
                 "max_per_trigger": options.max_per_trigger, "available_now": options.available_now
             }
             if options.names == ["records"]:
-                query = start_decode(spark, topics, options.path, options.checkpoint, **limits)
+                refused = f"{options.path}-refused"
+                query = start_decode(spark, topics, options.path, options.checkpoint, **limits, refused_path=refused)
+            elif options.names == ["detail"]:
+                query = start_detail(spark, topics, options.path, options.checkpoint, **limits)
             else:
                 query = start_insights(
                     spark, topics, topics, options.names, options.checkpoint,
@@ -104,5 +110,11 @@ def run(spark: SparkSession, options) -> None:
             query.awaitTermination()
 
 
+def _insights(spark, topics, names, covered):
+    if covered:
+        return jobs.increment_job(spark, topics, topics, covered, names)
+    return jobs.insight_job(spark, topics, topics, names)
+
+
 if __name__ == "__main__":
     run(SparkSession.builder.appName("tillsight").getOrCreate(), parser().parse_args())

@@ -52,9 +52,8 @@ def value_indexes(rows: DataFrame, columns=CATEGORICAL_FEATURES) -> DataFrame:
     counted in one pass and ranked by ranges, so no task and not the driver
     holds a column's values, however many there are. NULL has no index.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("value")) for name in columns]))
-    counts = rows.select(pairs.alias("pair")).select("pair.*").filter("value is not null")
-    counts = counts.groupBy("column", "value").agg(F.count("*").alias("occurrences"))
+    pairs = rows.select(*columns).unpivot([], list(columns), "column", "value").filter("value is not null")
+    counts = pairs.groupBy("column", "value").agg(F.count("*").alias("occurrences"))
     places = ranked(counts, "column", F.desc("occurrences"), F.asc("value"))
     return places.select("column", "value", "occurrences", F.col("place").cast("double").alias("index"))
 

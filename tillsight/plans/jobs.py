@@ -152,9 +152,9 @@ def detail_job(
     ).first()
     if refused_path:
         write_version(refused_messages(messages), refused_path)
-    good = messages.filter("reason is null").select("value", "arrival")
+    good = messages.filter("reason is null").select("transaction_id", "value", "arrival")
     if open_writer is not None:
-        ordered = parsed(good).drop("arrival").sortWithinPartitions("transaction_id")
+        ordered = parsed(good.select("value", "arrival")).drop("arrival").sortWithinPartitions("transaction_id")
         stored = Stored(write_detail_store(detail_rows(ordered), open_writer), 0)
     else:
         stored = store_detail(good, path, counts.ids, merged)

@@ -6,18 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.operators.detail import ARRIVAL_COLUMN, detail_rows, detail_schema, parsed
-from tillsight.sinks.ranged_store import Stored, merge_ranges, read_ranges, write_ranges
+from tillsight.sinks.ranged_store import Stored, dealt, merge_ranges, read_ranges, write_ranges
 
 
 def store_detail(messages: DataFrame, path: str, expected: int, merged: bool) -> Stored:
     """The last message of each id as a new version, alone or merged with the one before.
 
-    ``messages`` has (value, arrival), about ``expected`` of them.
+    ``messages`` has (transaction_id, value, arrival), about ``expected`` rows.
+    They are dealt to ranges as they are and parsed behind that: finding the
+    ranges' bounds reads them once more.
     """
-    rows = detail_rows(parsed(messages), keep=[F.col("arrival").alias(ARRIVAL_COLUMN)])
+
+    def rows(of: DataFrame) -> DataFrame:
+        kept = F.col("arrival").alias(ARRIVAL_COLUMN)
+        return detail_rows(parsed(of.select("value", "arrival")), keep=[kept])
+
     if merged:
-        return merge_ranges(rows, path, "row_key", ARRIVAL_COLUMN, detail_schema())
-    return write_ranges(rows, path, "row_key", expected)
+        return merge_ranges(rows(messages), path, "row_key", ARRIVAL_COLUMN, detail_schema())
+    return write_ranges(rows(dealt(messages, "transaction_id", expected)), path, "row_key")
 
 
 def read_detail(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:

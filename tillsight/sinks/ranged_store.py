@@ -23,8 +23,10 @@ from tillsight.sinks.detail_store import write_version
 from tillsight.sinks.versions import last_version
 from tillsight.workspace import cut_lineage, hadoop_path
 
-#: Rows of a range, about; one that has grown to twice as many is cut.
+#: Rows of a range, at most about; one that has grown to twice as many is cut.
 ROWS_PER_RANGE = 1_000_000
+#: A new table has as many ranges as shuffles have partitions, if they get this many rows.
+_LEAST_ROWS = 50_000
 
 _MANIFEST = "low binary, rows bigint, folder string"
 
@@ -36,16 +38,22 @@ class Stored(NamedTuple):
     before: int
 
 
-def write_ranges(rows: DataFrame, path: str, key: str, expected: int) -> Stored:
-    """A new version that holds ``rows`` alone, of which there are ``expected``, about.
+def dealt(rows: DataFrame, key: str, expected: int) -> DataFrame:
+    """``rows``, about ``expected`` of them, in a partition for each range of a new table."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, math.ceil(expected / ROWS_PER_RANGE), min(tasks, math.ceil(expected / _LEAST_ROWS)))
+    return rows.repartitionByRange(parts, key)
 
-    ``key`` is a binary column without repeats or nulls.
+
+def write_ranges(rows: DataFrame, path: str, key: str) -> Stored:
+    """A new version that holds ``rows`` alone, each partition of them a range.
+
+    ``key`` is a binary column without repeats or nulls, by whose order
+    ``dealt`` made the partitions.
     """
-    parts = max(1, math.ceil(expected / ROWS_PER_RANGE))
-    placed = rows.repartitionByRange(parts, key).withColumn("range", F.spark_partition_id())
+    placed = rows.withColumns({"range": F.spark_partition_id(), "part": F.lit(0)})
     folder = f"data-{uuid.uuid4().hex}"
-    ordered = placed.withColumn("part", F.lit(0)).sortWithinPartitions("range", "part", key)
-    ordered.write.partitionBy("range", "part").parquet(f"{path}/{folder}")
+    placed.sortWithinPartitions("range", "part", key).write.partitionBy("range", "part").parquet(f"{path}/{folder}")
     return _commit(rows.sparkSession, path, key, folder, [])
 
 
@@ -58,7 +66,7 @@ def merge_ranges(rows: DataFrame, path: str, key: str, arrival: str, schema: T.S
     entries = manifest(spark, path)
     before = sum(entry.rows for entry in entries)
     if not entries:
-        return write_ranges(rows, path, key, 0)
+        return write_ranges(dealt(rows, key, 0), path, key)
     added = cut_lineage(_with_range(rows, key, [bytes(entry.low) for entry in entries]), "added")
     touched = [row.range for row in added.select("range").distinct().collect()]
     if not touched:

@@ -130,7 +130,7 @@ def start_detail(
         judged = judge_keys(batch.withColumn("arrival", arrival_order()), keep=["arrival"])
         messages = cut_lineage(last_messages(judged), "last-messages")
         write_batch(refused_messages(messages), refused_path, number)
-        good = messages.filter("reason is null").select("value", "arrival")
+        good = messages.filter("reason is null").select("transaction_id", "value", "arrival")
         has_version = bool(complete_versions(batch.sparkSession, path))
         store_detail(good, path, messages.count(), merged=has_version)
 
