@@ -37,11 +37,12 @@ def components(links: DataFrame) -> DataFrame:
         names, following = stored(_followed(names, "component", roots), "components")
         discard(spark, names_at)
         names_at = following
-        # Dealt by both ends, so that a node with very many links is no task's alone.
-        ends = _followed(_followed(edges, "a", roots), "b", roots).filter("a <> b")
-        left, following = stored(ends.repartition("a", "b").distinct(), "links")
-        discard(spark, edges_at)
-        discard(spark, roots_at)
+        # Stored before repeats go, so that both joins can be cut up where a node has very many links,
+        # and links that have become the same one are combined before they are dealt by both ends.
+        ends, ends_at = stored(_followed(_followed(edges, "a", roots), "b", roots).filter("a <> b"), "ends")
+        left, following = stored(ends.distinct(), "links")
+        for path in (edges_at, roots_at, ends_at):
+            discard(spark, path)
         edges, edges_at = left, following
     return names
 
