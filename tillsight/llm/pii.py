@@ -10,6 +10,7 @@ many stretches of text at a time. Its spans are added where no pattern matched.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -66,11 +67,172 @@ at 00:00:00 the counter stood at 000000000000
 invoice no. 0000/00 from 0000
 licensed under ~~ ~~ 0.0 or later
 """.strip().splitlines()
+# Frames with a place for a span of each kind, and forms that fill it, drawn anew for every copy of a frame.
+FRAMES = """
+call me: {phone}
+call me under {phone} before noon
+you can ring {phone} or text {phone}
+her number is {phone}, not {phone}
+contact: {phone} / {email}
+whatsapp {phone} only
+dial {phone} and ask for room 000
+tel: {phone}
+phone={phone}
+telephone number {phone}.
+the hotline {phone} is open from 0 to 00
+please text {phone} today
+reach me at {phone} or at {email}
+you can reach our desk on {phone}
+name, street 00, {phone}, {email}
+fax: {phone} mail: {email}
+his cell is {phone} I think
+write to {email} or {email}
+mail me: {email}
+email {email} for the file
+e-mail: {email}
+my address is {email}, thanks
+send 00 copies to {email} please
+ask {email} about version 0.0
+questions go to {email}.
+contact {email} today
+login from {ip} at 00:00
+ip: {ip}
+the server {ip} and the server {ip}
+blocked address {ip} for 00 days
+connect to {ip} on port 0000
+ping {ip} failed
+my card is {card} and expires 00/00
+card number: {card}
+visa {card} was charged 00.00
+charge it to {card}, please
+credit card {card} code 000
+pay by {card} or call {phone}
+""".strip().splitlines()
+FORMS = {
+    "phone": """
+000-0000
+0000000000
+000 0000
+(000) 000-0000
+(000)000-0000
+(000) 000 0000
+000-000-0000
+000.000.0000
+000 000 0000
+000/000-0000
+0-000-000-0000
+0 000 000 0000
+000 0000 0000
+0000 000 0000
+00000 000000
+0000-000-000
+0000/000000
+00000/00000
+00 00 00 00 00
+00.00.00.00.00
+00-00-00-00-00
+0000-0000
+00 0000 0000
++0 (000) 000-0000
++00 00 0000 0000
+(0000) 000000
+(00) 0000-0000
+""".strip().splitlines(),
+    "email": """
+~~~~~ (at) ~~~~.com
+~~~ (at) ~~~~~~ (dot) org
+~~~~(at)~~~~.net
+~~~~~[at]~~~~[dot]com
+~~~~~ [at] ~~~~~ [dot] com
+~~~~~ {at} ~~~~~ {dot} com
+~~~ at ~~~~ dot com
+~~~~~ AT ~~~~~ DOT org
+~~~~~.~~~ at ~~~~~ dot net
+~~~00 at ~~~~ dot com
+~~~~~ @ ~~~~.com
+~~~~.~~@ ~~~~~.org
+~~~~~@~~~~~
+~~~~~@~~~~ dot com
+~~~~.00@~~~~0.~~~~.com
+~~~~~@~~~~.org
+""".strip().splitlines(),
+    "ip": """
+00.00.000.0
+000.000.0.00
+00[.]00[.]000[.]0
+000[.]00.0.00
+00(.)000(.)00(.)0
+000 . 00 . 0 . 000
+0-00-000-00
+000,000,00,0
+""".strip().splitlines(),
+    "card": """
+0000000000000000
+0000 0000 0000 0000
+0000-0000-0000-0000
+0000.0000.0000.0000
+0000/0000/0000/0000
+0000 000000 00000
+0000-000000-00000
+0000_0000_0000_0000
+000000000000000
+0000  0000  0000  0000
+""".strip().splitlines(),
+}
+# Words with digits, at signs or dots that are no personal data.
+LOOKALIKES = """
+see you at 00:00 or at 00
+meet at noon, the dot on the map
+look at the red dot near 00
+the dot in line 000 at the end
+from 0000 to 0000 and 0000 to 0000
+pages 000-000, 000-000 and 0000
+00 0000 0000 0000 of them in 0000
+isbn 000-0-0000-0000-0
+serial 0000-~~~~-0000-~~~~ was lost
+order 0000000000 has left
+article 000-0000 is sold out
+invoice 0000000 of 00.00.0000
+the total is 0000000.00 of 00000000
+hash ~0~00~0~00~~00~0 of file 00
+id 0000000000000 in table 0
+population 0,000,000 in 0000
+numbers 00 00 00 00 were drawn
+rows 0000 0000 0000 of the sheet
+0 0 0 0 0 and 00 00
+on 0000/00/00 at 00:00:00.000
+0000-00-00T00:00:00 done
+version 0.0.0.0-~~ came out
+section 0.0.0.0 of the law
+chapter 0.0 and chapter 0.0.0
+ratio 00/00 or 000/000
+the code 000000 is valid for 00 minutes
+temperature -00.0 to 00.0
+scores 0-0, 0-0 and 00-00
+room 000-0 on floor 0
+price 000.00 - 000.00 each
+latitude 00.000000, longitude 00.000000
+timestamp 0000000000 in the log
+we paid 0000000 in 0000
+size 0000x0000 pixels
+@~~~~~ said so
+follow @~~~~00 and @~~~~~
+3 @ 0.00 each
+apache license, version 0.0
+under cc by 0.0.
+""".strip().splitlines()
 COPIES = 6
+#: Share of words outside spans that are replaced by letters in filled frames, so that spans do not
+#: hang on a cue, and how often a feature occurs in the table at least.
+REPLACED = 0.3
+LEAST_SEEN = 3
 #: Words on each side of a word with a digit or an at sign that the field looks at.
 CONTEXT = 3
 
-_AT = re.compile(r"@|[\[(]at[\])]")
+_SPELT_AT = re.compile(r"\A[\[({]?at[\])}]?\Z", re.IGNORECASE)
+_SPELT_DOT = re.compile(r"\A[\[({]?dot[\])}]?\Z", re.IGNORECASE)
+_AT = re.compile(r"@|[\[({]at[\])}]", re.IGNORECASE)
+_ADDRESS = re.compile(r"\S\s*(?:@|[\[({]at[\])}]|\sat\s)\s*\S", re.IGNORECASE)
 _EMAIL_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _EMAIL_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -118,6 +280,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 #: Longer words are looked at each time, so that what is remembered has a bound.
 _REMEMBERED = 256
+#: Words up to this length may be cues, as ``call``; the field knows those of its table.
+_CUE_LENGTH = 12
 
 
 @lru_cache(maxsize=100_000)
@@ -126,12 +290,17 @@ def word_features(word: str) -> tuple[str, ...]:
     shape = re.sub(r"[0-9]", "0", re.sub(r"[^\W\d_]", "x", word))
     runs = re.sub(r"x+", "x", re.sub(r"0+", "0", shape))
     digits = shape.count("0")
+    if _SPELT_AT.match(word) or _SPELT_DOT.match(word):
+        lower = word.lower()
+        return (f"spelt={lower.strip('[({])}')}", f"boxed={lower[0] in '[({'}")
     if not digits and not _AT.search(word):
-        return ("plain",)
+        own = ("plain", f"ends={word[-1:] if word[-1:] in ':=,.;!?' else ''}", f"dots={'.' in word.strip('.')}")
+        return (*own, f"word={word.lower().strip(',;:!?.=')}") if len(word) <= _CUE_LENGTH else own
     lengths = "-".join(str(min(len(run), 6)) for run in re.findall(r"0+", shape))
     return (
         f"runs={runs.strip(',;:!?')}", f"lengths={lengths}", f"digits={min(digits, 17)}",
         f"first={shape[:1]}", f"at={bool(_AT.search(word))}", f"letters={'x' in shape}",
+        f"groups={min(runs.count('0'), 6)} of {min(digits, 17)}", f"marks={''.join(sorted(set(re.sub('[x0]', '', runs.strip(',;:!?')))))[:4]}",
     )
 
 
@@ -143,13 +312,15 @@ def _sequence_features(words: list[str]) -> list[list[str]]:
             *(f"0 {f}" for f in own[i]),
             *(f"-1 {f}" for f in (own[i - 1] if i else edge)),
             *(f"+1 {f}" for f in (own[i + 1] if i + 1 < len(own) else edge)),
+            *(f"-2 {f}" for f in (own[i - 2] if i > 1 else edge)),
+            *(f"+2 {f}" for f in (own[i + 2] if i + 2 < len(own) else edge)),
         ]
         for i in range(len(own))
     ]
 
 
-def labelled_table(copies: int = COPIES, seed: int = 11) -> list[tuple[list[str], list[int]]]:
-    """Words and label numbers of the examples."""
+def labelled_rows(examples: list[str], seed: int) -> list[tuple[list[str], list[int]]]:
+    """Words and label numbers of examples with spans in braces."""
     random = np.random.default_rng(seed)
 
     def drawn(text: str) -> str:
@@ -157,18 +328,39 @@ def labelled_table(copies: int = COPIES, seed: int = 11) -> list[tuple[list[str]
         return re.sub("~", lambda _: chr(97 + random.integers(26)), text)
 
     rows = []
-    for example in EXAMPLES * copies:
+    for example in examples:
         words, labels = [], []
-        for part in re.split(r"(\{\w+:[^}]*\}\S*)", example):
-            marked = re.match(r"\{(\w+):([^}]*)\}(\S*)", part)
-            inside = drawn(marked[2] + marked[3] if marked else part).split()
+        for part in re.split(r"(\S*\{(?:email|ip|card|phone):(?:[^{}]|\{\w+\})*\}\S*)", example):
+            marked = re.match(r"(\S*)\{(\w+):((?:[^{}]|\{\w+\})*)\}(\S*)", part)
+            inside = drawn(marked[1] + marked[3] + marked[4] if marked else part).split()
             for place, word in enumerate(inside):
                 words.append(word)
-                labels.append(LABELS.index(f"{'I' if place else 'B'}-{marked[1]}") if marked else 0)
+                labels.append(LABELS.index(f"{'I' if place else 'B'}-{marked[2]}") if marked else 0)
         rows.append((words, labels))
     return rows
 
 
+def filled(frames: list[str], forms: dict[str, list[str]], seed: int) -> list[str]:
+    """Examples from frames: each place gets a form of its kind, and some other words are replaced."""
+    random = np.random.default_rng(seed)
+    of_kind = "|".join(KINDS)
+
+    def word(plain: re.Match) -> str:
+        return "~" * len(plain[0]) if random.random() < REPLACED else plain[0]
+
+    def form(place: re.Match) -> str:
+        return f"{{{place[1]}:{forms[place[1]][random.integers(len(forms[place[1]]))]}}}"
+
+    frames = [re.sub(r"(?<!\S)[a-z]+(?!\S)", word, frame) for frame in frames]
+    return [re.sub(rf"\{{({of_kind})\}}", form, frame) for frame in frames]
+
+
+def labelled_table(copies: int = COPIES, seed: int = 11) -> list[tuple[list[str], list[int]]]:
+    """Words and label numbers of the examples, filled frames and look-alikes."""
+    examples = EXAMPLES * copies + filled(FRAMES * 3 * copies, FORMS, seed) + LOOKALIKES * copies
+    return labelled_rows(examples, seed)
+
+
 class ChainField:
     """A linear-chain conditional random field."""
 
@@ -178,10 +370,10 @@ class ChainField:
     @classmethod
     def fit(cls, rows, steps: int = 120, rate: float = 0.1, penalty: float = 0.02) -> ChainField:
         """Maximum likelihood with a quadratic penalty, by Adam over the whole table."""
-        number: dict[str, int] = {}
-        coded = []
-        for words, labels in rows:
-            coded.append([[number.setdefault(f, len(number)) for f in fs] for fs in _sequence_features(words)])
+        seen = [_sequence_features(words) for words, _ in rows]
+        often = Counter(f for sequence in seen for fs in sequence for f in fs)
+        number = {f: i for i, f in enumerate(f for f, times in often.items() if times >= LEAST_SEEN)}
+        coded = [[[number[f] for f in fs if f in number] for fs in sequence] for sequence in seen]
         count, size = len(rows), max(len(words) for words, _ in rows)
         inputs = np.zeros((count, size, len(number)), dtype=np.float32)
         gold = np.zeros((count, size, len(LABELS)))
@@ -191,15 +383,16 @@ class ChainField:
                 inputs[i, t, found] = 1
                 gold[i, t, label] = 1
                 alive[i, t] = True
-        flat = inputs.reshape(count * size, -1)
+        flat = inputs[alive]
         pairs = np.einsum("ita,itb->ab", gold[:, :-1], gold[:, 1:])
         field = cls(number, np.zeros((len(number), len(LABELS))), np.zeros((len(LABELS),) * 2))
         state = [np.zeros_like(x) for x in (field.weights, field.weights, field.moves, field.moves)]
         for step in range(1, steps + 1):
-            scores = (flat @ field.weights).reshape(count, size, -1)
+            scores = np.zeros((count, size, len(LABELS)))
+            scores[alive] = flat @ field.weights.astype(np.float32)
             one, two = field._expected(scores, alive)
             slopes = (
-                flat.T @ (one - gold).reshape(count * size, -1) / count + penalty / count * field.weights,
+                flat.T @ (one - gold)[alive].astype(np.float32) / count + penalty / count * field.weights,
                 (two - pairs) / count + penalty / count * field.moves,
             )
             for target, slope, mean, square in zip(
@@ -272,17 +465,17 @@ def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
 
 _CANDIDATE = np.zeros(256, dtype=bool)
 _CANDIDATE[[*range(ord("0"), ord("9") + 1), ord("@")]] = True
-_BRACKETED = re.compile(rb"[\[(]at[\])]")
+_WRITTEN_OUT = re.compile(rb"[\[({]at[\])}]|\bdot\b", re.IGNORECASE)
 
 
 def _stretches(data: np.ndarray, starts: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
     """Runs of words around those that may be personal data, none over the end of a text.
 
     All other words are outside any span: the field has no label but ``O`` for
-    them, as they have neither digit nor at sign in reach.
+    them, as they have neither digit nor at sign nor a written-out dot in reach.
     """
     marks = np.flatnonzero(_CANDIDATE[data])
-    written_out = [m.start() for m in _BRACKETED.finditer(data)]
+    written_out = [m.start() for m in _WRITTEN_OUT.finditer(data)]
     marks = np.concatenate([marks, np.array(written_out, dtype=np.int64)])
     if not len(marks) or not len(starts):
         return []
@@ -299,7 +492,7 @@ def _plausible(kind: str, text: str) -> bool:
     """What a span of the field must have to be believed."""
     digits = _NO_DIGIT.sub("", text)
     if kind == "email":
-        return bool(_AT.search(text))
+        return bool(_ADDRESS.search(text))
     if kind == "ip":
         parts = re.findall(r"[0-9]+", text)
         return len(parts) == 4 and all(len(part) <= 3 and int(part) <= 255 for part in parts)
@@ -403,7 +596,10 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
 
 def mask_personal_data(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by its kind in angle brackets; all else is unchanged."""
+    """``docs`` with every span replaced by its kind in angle brackets; all else is unchanged.
+
+    Null and empty texts stay as they are, and each of repeated rows is masked by itself.
+    """
     field = docs.sparkSession.sparkContext.broadcast(fitted_field())
 
     def run(batches):
@@ -431,6 +627,10 @@ def _masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def personal_data_digest(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, base spans by kind, their hash, and all spans.
+
+    Nulls, empty texts and repeated rows as in ``find_personal_data``.
+    """
     found = find_personal_data(docs)
     return found.select(
         "doc_id", *[f"n_{kind}" for kind in KINDS],
