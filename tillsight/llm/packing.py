@@ -1,8 +1,11 @@
 """Documents into batches of about equal length within a budget of tokens.
 
 A batch is padded to the length limit of its bucket. Dynamic programming over
-the histogram of all lengths finds the limits that need the least padding,
-among the longest lengths of its cells. Inside a bucket each batch takes as many documents as the budget allows.
+the histogram of all lengths finds the limits that need the least padding. The
+histogram starts coarse above a few thousand tokens; a cell that the solution
+puts a limit in is cut finer until every limit is a length of its own, so the
+driver sees few cells and the limits are the best of all. Inside a bucket each
+batch takes as many documents as the budget allows.
 """
 
 from __future__ import annotations
@@ -23,8 +26,10 @@ BUCKETS = 16
 TOKEN_BUDGET = 65_536
 #: Documents that one task numbers, about.
 ROWS_PER_SHARD = 100_000
-#: Lengths up to this are told apart; longer ones by steps of a 64th of a power of two.
+#: Lengths up to this are told apart at first; longer ones by steps of a 64th of a power of two.
 EXACT_LENGTHS = 4_096
+#: Parts that a cell is cut into.
+PARTS = 64
 
 
 def length_cell():
@@ -36,45 +41,88 @@ def length_cell():
     )
 
 
-def length_histogram(lengths: DataFrame) -> np.ndarray:
-    """(largest length, documents, tokens) of each cell, ascending; a few thousand rows at most."""
-    cells = lengths.groupBy(length_cell().alias("cell")).agg(
-        F.max("n_tokens").alias("longest"), F.count("*").alias("documents"), F.sum("n_tokens").alias("tokens")
+def length_counts(lengths: DataFrame) -> DataFrame:
+    """(n_tokens, documents): a row for each length, stored."""
+    return cut_lineage(lengths.groupBy("n_tokens").agg(F.count("*").alias("documents")), "length-counts")
+
+
+def _histogram(counts: DataFrame, cell) -> np.ndarray:
+    """(smallest length, largest, documents, tokens) of each cell."""
+    rows = counts.groupBy(cell.alias("cell")).agg(
+        F.min("n_tokens"), F.max("n_tokens"), F.sum("documents"), F.sum(F.col("documents") * F.col("n_tokens"))
     )
-    rows = cells.orderBy("cell").select("longest", "documents", "tokens").collect()
-    return np.array(rows, dtype=np.int64).reshape(-1, 3)
+    return np.array([row[1:] for row in rows.collect()], dtype=np.int64).reshape(-1, 4)
 
 
-def best_limits(histogram: np.ndarray, buckets: int = BUCKETS) -> list[int]:
-    """At most ``buckets`` length limits with the least padding in total, as far as cells tell.
+def _cut_finer(counts: DataFrame, cells: np.ndarray) -> np.ndarray:
+    """The histogram of these cells (no more than there are buckets), each in equal parts."""
+    part, inside = F.lit(None).cast("bigint"), F.lit(False)
+    for number, (shortest, longest) in enumerate(cells[:, :2].tolist()):
+        step = math.ceil((longest - shortest + 1) / PARTS)
+        here = F.col("n_tokens").between(shortest, longest)
+        at = F.floor((F.col("n_tokens") - shortest) / step) + number * PARTS
+        part, inside = F.when(here, at).otherwise(part), inside | here
+    return _histogram(counts.filter(inside), part)
+
+
+def _limit_cells(cells: np.ndarray, buckets: int) -> list[int]:
+    """Numbers of the cells that the cheapest limits lie in, at most ``buckets``; never too dear.
 
-    A limit is the longest length of a cell. Up to ``EXACT_LENGTHS`` a cell is
-    one length and the limits are the best of all. A longer cell spans up to a
-    64th of its length, so a limit inside one may save up to that much of a
-    document's padding, and is not looked for.
+    Documents of a cell with a limit count as unpadded, and those of the cells
+    between two limits as padded to the smallest length of the upper one. This
+    is no more than any limits inside the cells need, and exact where each cell
+    with a limit has one length.
     """
-    cells = len(histogram)
-    if not cells:
-        return []
-    longest = histogram[:, 0].astype(float)
-    documents = np.concatenate([[0], np.cumsum(histogram[:, 1])]).astype(float)
-    tokens = np.concatenate([[0], np.cumsum(histogram[:, 2])]).astype(float)
-    buckets = min(buckets, cells)
+    count = len(cells)
+    shortest = cells[:, 0].astype(float)
+    documents = np.concatenate([[0], np.cumsum(cells[:, 2])]).astype(float)
+    tokens = np.concatenate([[0], np.cumsum(cells[:, 3])]).astype(float)
+    buckets = min(buckets, count)
     # least[k, j]: padding of the first j cells in k buckets; came[k, j]: where the last begins
-    least = np.full((buckets + 1, cells + 1), np.inf)
-    came = np.zeros((buckets + 1, cells + 1), dtype=np.int64)
+    least = np.full((buckets + 1, count + 1), np.inf)
+    came = np.zeros((buckets + 1, count + 1), dtype=np.int64)
     least[0, 0] = 0
-    for end in range(1, cells + 1):
-        padding = longest[end - 1] * (documents[end] - documents[:end]) - (tokens[end] - tokens[:end])
-        totals = least[:-1, :end] + padding
+    for end in range(1, count + 1):
+        inner = documents[end - 1] - documents[:end], tokens[end - 1] - tokens[:end]
+        totals = least[:-1, :end] + (shortest[end - 1] * inner[0] - inner[1])
         came[1:, end] = totals.argmin(axis=1)
         least[1:, end] = totals[np.arange(buckets), came[1:, end]]
-    count = int(least[1:, cells].argmin()) + 1
-    limits, end = [], cells
-    for k in range(count, 0, -1):
-        limits.append(int(longest[end - 1]))
+    chosen, end = [], count
+    for k in range(int(least[1:, count].argmin()) + 1, 0, -1):
+        chosen.append(end - 1)
         end = came[k, end]
-    return limits[::-1]
+    return chosen[::-1]
+
+
+def best_limits(histogram: np.ndarray, buckets: int = BUCKETS) -> list[int]:
+    """At most ``buckets`` length limits with the least padding in total.
+
+    ``histogram`` has a row (length, documents, tokens) for each length, ascending.
+    """
+    if not len(histogram):
+        return []
+    return histogram[_limit_cells(histogram[:, [0, 0, 1, 2]], buckets), 0].tolist()
+
+
+def optimal_limits(counts: DataFrame, buckets: int = BUCKETS) -> tuple[list[int], list[int]]:
+    """The limits of ``best_limits`` without a row for each length, and the documents of each bucket.
+
+    ``counts`` has a row (n_tokens, documents) for each length. Limits are
+    chosen as if every limit were free to lie anywhere in its cell, which is
+    never too dear; while a chosen cell has several lengths it is cut finer.
+    Once none has, what is chosen costs what it seems to, so nothing is cheaper.
+    """
+    cells = _histogram(counts, length_cell())
+    while len(cells):
+        cells = cells[np.argsort(cells[:, 0])]
+        chosen = _limit_cells(cells, buckets)
+        wide = [at for at in chosen if cells[at, 0] < cells[at, 1]]
+        if not wide:
+            limits = cells[chosen, 0]
+            of = np.searchsorted(limits, cells[:, 1])
+            return limits.tolist(), np.bincount(of, weights=cells[:, 2], minlength=len(limits)).astype(int).tolist()
+        cells = np.concatenate([np.delete(cells, wide, axis=0), _cut_finer(counts, cells[wide])])
+    return [], []
 
 
 def _word_counts(batches):
@@ -111,11 +159,7 @@ def pack(
         ),
         "lengths",
     )
-    histogram = length_histogram(lengths)
-    limits = best_limits(histogram, buckets)
-    totals = [0] * len(limits)
-    for longest, documents, _ in histogram.tolist():
-        totals[sum(longest > limit for limit in limits)] += documents
+    limits, totals = optimal_limits(length_counts(lengths), buckets)
     sizes = [max(1, budget // max(1, limit)) for limit in limits]
     shards = [max(1, math.ceil(total / rows_per_shard)) for total in totals]
 
@@ -123,7 +167,9 @@ def pack(
         return F.element_at(F.array(*[F.lit(v) for v in values or [1]]), F.col("bucket") + 1)
 
     bucket = sum((F.when(F.col("n_tokens") > limit, 1).otherwise(0) for limit in limits[:-1]), F.lit(0))
-    placed = lengths.withColumn("bucket", bucket).withColumn("_hash", F.xxhash64("doc_id"))
+    # rows without an id are spread by their place in the stored table
+    own = F.when(F.col("doc_id").isNull(), F.xxhash64(F.monotonically_increasing_id()))
+    placed = lengths.withColumn("_hash", F.coalesce(own, F.xxhash64("doc_id"))).withColumn("bucket", bucket)
     placed = placed.withColumn("shard", F.pmod("_hash", of_bucket(shards)).cast("int"))
     order = Window.partitionBy("bucket", "shard").orderBy("_hash", "doc_id", "n_tokens")
     number = F.row_number().over(order) - 1
@@ -136,4 +182,9 @@ def pack(
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
+    """The batches of ``docs`` by their words, as ``pack`` gives them.
+
+    One row per document: a null or empty text has length zero, each of
+    repeated rows has a place of its own, and other columns are ignored.
+    """
     return pack(word_lengths(docs))
