@@ -24,8 +24,6 @@ from tillsight.workspace import cut_lineage
 
 #: Labelled documents of each class that the lexicon and the weights are fitted on, at most.
 ROWS_PER_CLASS = 5_000
-#: Lexicon entries, at most; those of the strongest evidence.
-LEXICON_ENTRIES = 1_024
 STEM_LENGTHS = (3, 4, 5, 6, 7, 8)
 #: Evidence an entry needs: standard errors of its log odds, and the share of toxic among balanced hits.
 LEAST_Z = 3.0
@@ -221,7 +219,10 @@ def held_out(column: str):
 
 
 def learn_lexicon(sample: DataFrame) -> list[str]:
-    """Terms that speak for a toxic text, strongest first."""
+    """Terms that speak for a toxic text, strongest first.
+
+    All of them: they are words of the sample, whose rows are bounded.
+    """
     sizes = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return []
@@ -238,17 +239,21 @@ def learn_lexicon(sample: DataFrame) -> list[str]:
         .select("term", "toxic", (odds / error).alias("z"), share.alias("share"))
         .filter((F.col("z") >= LEAST_Z) & (F.col("share") >= LEAST_PRECISION))
         .orderBy(F.desc("z"), "term")
-        .limit(LEXICON_ENTRIES)
         .collect()
     )
     counts = {row["term"]: row["toxic"] for row in terms}
     stems = {term[:-1] for term in counts if term.endswith("*")}
 
+    most: Counter = Counter()
+    for term, found in counts.items():
+        if not term.endswith("*"):
+            for length in STEM_LENGTHS:
+                most[term[:length]] = max(most[term[:length]], found)
+
     def needless(stem: str) -> bool:
         """A shorter stem covers it, or one whole word is nearly all that it finds."""
-        return any(stem[:n] in stems for n in range(STEM_LENGTHS[0], len(stem))) or any(
-            not term.endswith("*") and term.startswith(stem) and 10 * found >= 9 * counts[stem + "*"]
-            for term, found in counts.items()
+        return any(stem[:n] in stems for n in range(STEM_LENGTHS[0], len(stem))) or (
+            most[stem] > 0 and 10 * most[stem] >= 9 * counts[stem + "*"]
         )
 
     return [term for term in counts if not (term.endswith("*") and needless(term[:-1]))]
