@@ -1,4 +1,4 @@
-"""What the random field finds in sentences and forms that its labelled table lacks."""
+"""What the random field finds in sentences that its labelled table lacks; two card forms are in both."""
 
 import random
 import re
