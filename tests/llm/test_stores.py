@@ -310,6 +310,67 @@ def test_recall(spark):
     assert all(len(answers) == 5 for answers in found.values())
 
 
+@pytest.mark.parametrize("spread", [0.3, None])
+def test_recall_beyond_the_sample(spark, monkeypatch, spread):
+    # parts of a leaf's rows, and chunks of its queries
+    monkeypatch.setattr(vector_search, "GROUP_ROWS", 400)
+    monkeypatch.setattr(vector_search, "GROUP_QUERIES", 100)
+    monkeypatch.setattr(vector_search, "LEAST_CANDIDATES", 400)
+    random = np.random.default_rng(12)
+    vectors = random.standard_normal((6000, 24))
+    if spread:
+        vectors = vectors[random.integers(0, 60, 6000)] + spread * vectors
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    queries = table.filter("vec_id % 50 = 0")
+    found = by_query(vector_search.nearest(table, queries, leaf_rows=32, sample_values=600 * 24))
+    truth = plain_nearest(rows, range(0, 6000, 50))
+    assert all(len(answers) == 5 for answers in found.values()) and found.keys() == truth.keys()
+    assert np.mean([len({i for i, _ in truth[q]} & {i for i, _ in found[q]}) / 5 for q in truth]) >= 0.9
+
+
+def test_a_bound_opens_what_the_queue_opens():
+    random = np.random.default_rng(3)
+    rows = random.standard_normal((3000, 12))
+    forest = vector_search.Forest.fit(rows, 1, 20)
+    tree, unit = forest.trees[0], vector_search._unit(rows[:50])
+    opened = forest.search(rows[:50], 400)
+    bounds = np.array([bound for _, bound in opened])
+    within = {i: set() for i in range(50)}
+    for leaf, asked in tree.within(unit, np.zeros(50), bounds):
+        for i in asked.tolist():
+            assert leaf not in within[i]
+            within[i].add(leaf)
+    assert [within[i] for i in range(50)] == [{leaf for _, leaf, _ in leaves} for leaves, _ in opened]
+    assert 0 < np.mean([len(x) for x in within.values()]) < len(tree.leaves) / 2
+
+
+def test_all_leaves_can_be_opened():
+    rows = np.random.default_rng(4).standard_normal((500, 200))
+    forest = vector_search.Forest.fit(rows, 4, 20)
+    assert len(rows) < forest.needed(rows, 5) <= 4 * len(rows)
+    leaves, bound = forest.search(rows[:1], np.inf)[0]
+    assert len(leaves) == forest.first_leaf[-1] and bound == np.inf
+
+
+def test_no_cell_grows_with_the_table():
+    random = np.random.default_rng(6)
+    rows, queries = random.integers(0, 90_000, 40), random.integers(0, 90_000, 40)
+    layout = vector_search.Layout(rows, queries)
+    ids, leaves = np.arange(rows.sum()), np.repeat(np.arange(40), rows)
+    row, cell = layout.of_rows(leaves, ids)
+    assert np.bincount(cell).max() < 1.2 * vector_search.GROUP_ROWS and cell.max() < layout.cells
+    keys, asked = np.arange(queries.sum()), np.repeat(np.arange(40), queries)
+    query, asked_cell = layout.of_queries(asked, keys)
+    assert np.bincount(asked_cell).max() < 1.2 * vector_search.GROUP_QUERIES
+    # a query meets each row of its leaf once
+    for leaf in (3, 17):
+        of_leaf = cell[leaves[row] == leaf]
+        for q in np.flatnonzero(asked == leaf)[:5]:
+            met = np.isin(of_leaf, asked_cell[query == q]).sum()
+            assert met == rows[leaf]
+
+
 def test_crowded_leaves_are_cut(spark, monkeypatch):
     monkeypatch.setattr(vector_search, "GROUP_ROWS", 50)
     random = np.random.default_rng(9)
