@@ -110,7 +110,7 @@ def test_windows(documents, rows):
     assert ordered(found.collect()) == ordered(plain_windows(rows))
 
 
-@pytest.mark.parametrize("size", [2, 6])
+@pytest.mark.parametrize("size", [2, 6, 48])
 def test_windows_of_other_sizes(documents, size):
     rows = made_up(6, 40)
     found = substring_dedup.remove_repeated_windows(documents(rows, 5), size=size, buckets=3)
@@ -118,6 +118,32 @@ def test_windows_of_other_sizes(documents, size):
     assert ordered(digest) == ordered(plain_windows(rows, size))
 
 
+def test_levels_double():
+    assert substring_dedup.part_lengths(20) == [10]
+    assert substring_dedup.part_lengths(64) == [8, 16, 32]
+    assert substring_dedup.part_lengths(2) == [1]
+
+
+@pytest.mark.parametrize("shared, asked", [(0, [8]), (12, [8, 16]), (70, [8, 16, 32])])
+def test_levels_end_when_no_window_survives(documents, monkeypatch, shared, asked):
+    # no part of 16 words is repeated where twelve are shared, so no level follows that one
+    passage = [f"p{i}" for i in range(shared)]
+    own = lambda doc, side: [f"{doc}{side}{i}" for i in range(80)]
+    rows = [(doc, " ".join(own(doc, "a") + passage + own(doc, "b"))) for doc in range(6)]
+    levels, ask = [], substring_dedup._ask_parts
+
+    def counted(size, length, *others):
+        levels.append(length)
+        return ask(size, length, *others)
+
+    monkeypatch.setattr(substring_dedup, "_ask_parts", counted)
+    found = substring_dedup.remove_repeated_windows(documents(rows, 3), size=64)
+    digest = [(r.doc_id, r._n_words, r._n_removed, sha(r.text)) for r in found.collect()]
+    assert ordered(digest) == ordered(plain_windows(rows, 64))
+    assert levels == asked[: len(levels)]
+    assert shared < 64 or levels == asked
+
+
 def test_odd_windows_are_refused(documents):
     with pytest.raises(ValueError):
         substring_dedup.remove_repeated_windows(documents([]), size=7)

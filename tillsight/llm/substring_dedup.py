@@ -1,11 +1,12 @@
 """Passages that a corpus repeats are kept where they come first.
 
-Repeats are found level by level. At the first level windows of half the
-length are compared, and of those only one in each full window: the one with
-the smallest hash, so equal full windows put forward equal halves. At the next
-level the windows of twice the length around a repeated half are compared, and
-all but the first of equal ones are removed. A window that no half speaks for
-is never compared in full.
+Repeats are found level by level. At the first level short parts of windows are
+compared, and of those only one in each full window: the one with the smallest
+hash, so equal windows put forward equal parts. Only windows whose part is
+repeated survive; at the next level parts of twice the length speak for these,
+and so on until no window survives or the parts are whole windows, of which all
+but the first of equal ones are removed. A window that a level drops is not
+compared again, and a document without any is not read again.
 
 Each piece of the input settles its own repeats before it asks the rest of the
 corpus, so a passage that is everywhere is asked for once per piece.
@@ -38,6 +39,8 @@ from tillsight.workspace import cut_lineage
 
 #: Words of a window.
 WINDOW = 20
+#: Words of a part at least: shorter ones are repeated everywhere and would drop nothing.
+LEAST_PART = 8
 
 _DEALT = "bucket int, known boolean, hashes binary, checks binary, docs binary, starts binary"
 _KINDS = {"hashes": np.uint64, "checks": np.uint32, "docs": np.int64, "starts": np.int32}
@@ -79,37 +82,56 @@ def _by_bucket(hashes: np.ndarray, buckets: int):
 
 
 class _Windows:
-    """The windows of a piece of the input, and the half that speaks for each."""
+    """The windows of a piece of the input that the level before let survive."""
 
-    def __init__(self, piece: pa.RecordBatch, size: int):
+    def __init__(self, piece: pa.RecordBatch, size: int, before: int | None = None):
         data, bounds = text_buffer(piece.column("text"))
         starts, ends, self.first = word_spans(data, bounds)
         self.words = word_hashes(data, starts, ends)
         self.at = whole_windows(self.first, size)
-        half = size // 2
-        halves = mixed(window_hashes(self.words, half))
-        self.halves = halves
-        if len(self.at):
-            smallest = sliding_window_view(halves, size - half + 1).argmin(axis=1)
-            self.speaker = self.at + smallest[self.at]
-        else:
-            self.speaker = self.at
+        self.size = size
+        if before is not None:
+            lists = piece.column("_parts")
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            starts = np.repeat(self.first[:-1], sizes) + lists.flatten().to_numpy(zero_copy_only=False)
+            repeated = np.zeros(len(self.words), dtype=bool)
+            repeated[starts[starts < len(repeated)]] = True
+            self.parts, self.speaker = self.spoken_for(before)
+            survives = repeated[self.speaker]
+            self.at, self.speaker = self.at[survives], self.speaker[survives]
         ids = np.array([-1 if i is None else i for i in piece.column("doc_id").to_pylist()], np.int64)
         named = piece.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(piece.num_rows), np.diff(self.first))
         self.doc, self.named = ids[row], named[row]
         self.place = np.arange(len(row)) - self.first[row]
 
+    def spoken_for(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of parts of ``length`` words, and the place of the one that speaks for each window."""
+        parts = mixed(window_hashes(self.words, length))
+        if not len(self.at):
+            return parts, self.at
+        smallest = sliding_window_view(parts, self.size - length + 1).argmin(axis=1)
+        return parts, self.at + smallest[self.at]
+
+
+def part_lengths(size: int) -> list[int]:
+    """Words of a part at each level: half a window, half of that, and so on, the shortest first."""
+    lengths = [size // 2]
+    while lengths[0] % 2 == 0 and lengths[0] // 2 >= LEAST_PART:
+        lengths.insert(0, lengths[0] // 2)
+    return lengths
+
 
-def _ask_halves(size: int, buckets: int):
-    """First level: the halves that speak for a window."""
+def _ask_parts(size: int, length: int, before: int | None, buckets: int):
+    """A level: the parts of ``length`` words that speak for a window still there."""
 
     def run(batches):
         spread = count()
         for piece in pieces(batches):
-            windows = _Windows(piece, size)
-            at = np.unique(windows.speaker[windows.named[windows.speaker]])
-            hashes = windows.halves[at]
+            windows = _Windows(piece, size, before)
+            parts, speaker = windows.spoken_for(length)
+            at = np.unique(speaker[windows.named[speaker]])
+            hashes = parts[at]
             _, first, which, times = np.unique(
                 hashes, return_index=True, return_inverse=True, return_counts=True
             )
@@ -117,7 +139,7 @@ def _ask_halves(size: int, buckets: int):
             rows = []
             # asks carry a document; repeats within the piece only tell that they are there
             for places, tell in ((at[single], False), (at[first[times > 1]], True)):
-                found = windows.halves[places]
+                found = parts[places]
                 for bucket, members in _by_bucket(found, buckets):
                     docs = np.full(len(members), -1) if tell else windows.doc[places[members]]
                     starts = np.full(len(members), -1) if tell else windows.place[places[members]]
@@ -134,8 +156,8 @@ def _ask_halves(size: int, buckets: int):
     return run
 
 
-def _repeated_halves(table: pa.Table) -> pa.Table:
-    """(doc_id, start) of every half that occurs twice."""
+def _repeated_parts(table: pa.Table) -> pa.Table:
+    """(doc_id, start) of every part that occurs twice."""
     asked, known = _gathered(table, False), _gathered(table, True)
     _, which, times = np.unique(asked["hashes"], return_inverse=True, return_counts=True)
     # what tells but does not ask stands for two at least
@@ -147,20 +169,14 @@ def _repeated_halves(table: pa.Table) -> pa.Table:
     })
 
 
-def _ask_windows(size: int, buckets: int):
-    """Second level: the windows whose speaker is repeated."""
+def _ask_windows(size: int, before: int, buckets: int):
+    """Last level: the windows still there, whole."""
 
     def run(batches):
         spread = count()
         for piece in pieces(batches):
-            windows = _Windows(piece, size)
-            repeated = np.zeros(len(windows.words), dtype=bool)
-            lists = piece.column("_halves")
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            halves = np.repeat(windows.first[:-1], sizes) + lists.flatten().to_numpy(zero_copy_only=False)
-            repeated[halves[halves < len(repeated)]] = True
-            chosen = repeated[windows.speaker]
-            at, speaker = windows.at[chosen], windows.speaker[chosen]
+            windows = _Windows(piece, size, before)
+            at, speaker = windows.at, windows.speaker
             if not len(at):
                 continue
             hashes = mixed(window_hashes(windows.words, size))[at]
@@ -175,7 +191,7 @@ def _ask_windows(size: int, buckets: int):
             later[order] = (docs[order] != docs[earliest]) | (starts[order] != starts[earliest])
             rows = []
             asking = np.flatnonzero(~later)
-            for bucket, members in _by_bucket(windows.halves[speaker[asking]], buckets):
+            for bucket, members in _by_bucket(windows.parts[speaker[asking]], buckets):
                 chosen = asking[members]
                 rows.append(_dealt(
                     bucket, False, hashes=hashes[chosen], checks=checks[chosen],
@@ -230,17 +246,21 @@ def repeated_runs(docs: DataFrame, size: int = WINDOW, buckets: int | None = Non
     ``docs`` has just ``doc_id`` and ``text``.
     """
     buckets = buckets or hash_buckets(docs)
-    halves = (
-        docs.mapInArrow(_ask_halves(size, buckets), _DEALT)
-        .groupBy("bucket")
-        .applyInArrow(_repeated_halves, "doc_id bigint, start int")
-    )
-    by_doc = halves.groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list("start").alias("_halves"))
-    by_doc = cut_lineage(by_doc, "repeated-halves")
+    lengths = part_lengths(size)
+    left = docs
+    for before, length in zip([None, *lengths], lengths):
+        parts = (
+            left.mapInArrow(_ask_parts(size, length, before, buckets), _DEALT)
+            .groupBy("bucket")
+            .applyInArrow(_repeated_parts, "doc_id bigint, start int")
+        )
+        by_doc = parts.groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list("start").alias("_parts"))
+        by_doc = cut_lineage(by_doc, f"repeated-parts-{length}")
+        if by_doc.isEmpty():
+            return docs.sparkSession.createDataFrame([], "_of bigint, _runs array<struct<start:int,count:int>>")
+        left = docs.join(by_doc, docs["doc_id"] == by_doc["_of"]).select("doc_id", "text", "_parts")
     later = (
-        docs.join(by_doc, docs["doc_id"] == by_doc["_of"], "left")
-        .select("doc_id", "text", "_halves")
-        .mapInArrow(_ask_windows(size, buckets), _DEALT)
+        left.mapInArrow(_ask_windows(size, lengths[-1], buckets), _DEALT)
         .groupBy("bucket")
         .applyInArrow(_later_windows, "doc_id bigint, start int, count int")
     )
