@@ -6,7 +6,7 @@ hash, so equal windows put forward equal parts. Only windows whose part is
 repeated survive; at the next level parts of twice the length speak for these,
 and so on until no window survives or the parts are whole windows, of which all
 but the first of equal ones are removed. A window that a level drops is not
-compared again, and a document without any is not read again.
+compared again, and a document without any is not hashed again.
 
 Each piece of the input settles its own repeats before it asks the rest of the
 corpus, so a passage that is everywhere is asked for once per piece.
@@ -92,7 +92,7 @@ class _Windows:
         self.size = size
         if before is not None:
             lists = piece.column("_parts")
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
             starts = np.repeat(self.first[:-1], sizes) + lists.flatten().to_numpy(zero_copy_only=False)
             repeated = np.zeros(len(self.words), dtype=bool)
             repeated[starts[starts < len(repeated)]] = True
@@ -114,6 +114,12 @@ class _Windows:
         return parts, self.at + smallest[self.at]
 
 
+def _surviving(batches):
+    """Documents that the level before found a repeated part in."""
+    for batch in batches:
+        yield batch.filter(batch.column("_parts").is_valid())
+
+
 def part_lengths(size: int) -> list[int]:
     """Words of a part at each level: half a window, half of that, and so on, the shortest first."""
     lengths = [size // 2]
@@ -127,7 +133,7 @@ def _ask_parts(size: int, length: int, before: int | None, buckets: int):
 
     def run(batches):
         spread = count()
-        for piece in pieces(batches):
+        for piece in pieces(batches if before is None else _surviving(batches)):
             windows = _Windows(piece, size, before)
             parts, speaker = windows.spoken_for(length)
             at = np.unique(speaker[windows.named[speaker]])
@@ -174,7 +180,7 @@ def _ask_windows(size: int, before: int, buckets: int):
 
     def run(batches):
         spread = count()
-        for piece in pieces(batches):
+        for piece in pieces(_surviving(batches)):
             windows = _Windows(piece, size, before)
             at, speaker = windows.at, windows.speaker
             if not len(at):
@@ -258,7 +264,8 @@ def repeated_runs(docs: DataFrame, size: int = WINDOW, buckets: int | None = Non
         by_doc = cut_lineage(by_doc, f"repeated-parts-{length}")
         if by_doc.isEmpty():
             return docs.sparkSession.createDataFrame([], "_of bigint, _runs array<struct<start:int,count:int>>")
-        left = docs.join(by_doc, docs["doc_id"] == by_doc["_of"]).select("doc_id", "text", "_parts")
+        # a left join, so that documents are shuffled once for this and the last join; see _surviving
+        left = docs.join(by_doc, docs["doc_id"] == by_doc["_of"], "left").select("doc_id", "text", "_parts")
     later = (
         left.mapInArrow(_ask_windows(size, lengths[-1], buckets), _DEALT)
         .groupBy("bucket")
