@@ -38,7 +38,7 @@ from tillsight.sources.warehouse import (
     transactions,
 )
 from tillsight.streaming import insight_streams as streams
-from tillsight.workspace import fresh_folder, shared_folder
+from tillsight.workspace import cut_lineage, fresh_folder, shared_folder
 
 # Engines add doubles in different orders. Averages are compared to this many
 # decimals, and are rounded as decimals so that exact halves go the same way.
@@ -390,7 +390,8 @@ def _trained(spark, folder):
         rows = model.complete_rows(transactions(spark, folder, model.MODEL_INPUTS))
         fitted = model.load(path)
         _, test = model.stable_split(rows)
-        _models[key] = fitted, model.score(fitted, test), trained.area
+        scored = cut_lineage(model.score(fitted, test), "scored")  # read by checks and evaluators
+        _models[key] = fitted, scored, trained.area
     return _models[key]
 
 
