@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from itertools import combinations
 
 import numpy as np
@@ -119,6 +120,27 @@ def test_settled_component_hides_no_link(seed):
     assert joined == _groups(len(sets), every)
 
 
+def test_a_large_block_is_walked_for_many_sets_at_once():
+    """Sets of one text edited at random link to some and not to others; one by one they took half a minute."""
+    random = np.random.default_rng(5)
+    edits = random.integers(15, 60, 1200)
+    sets = [np.union1d(random.choice(400, 400 - n, replace=False) + 4000, random.integers(0, 4000, n)) for n in edits]
+    sizes = [len(s) for s in sets]
+    began = time.process_time()
+    joined = _groups(len(sets), ngram_join.block_links(sets, sizes, 4400, 75))
+    assert time.process_time() - began < 10
+    rows = np.zeros((len(sets), 4400), np.float32)
+    for row, values in zip(rows, sets):
+        row[values] = 1
+    same = rows @ rows.T
+    size = np.array(sizes)
+    every = 175 * same >= 75 * (size[:, None] + size)
+    least = np.arange(len(sets))
+    while (lower := np.where(every, least, len(sets)).min(axis=1)).tolist() != least.tolist():
+        least = lower
+    assert 1 < len(set(joined)) < len(sets) and joined == least.tolist()
+
+
 def _groups(count, pairs):
     group = list(range(count))
     for a, b in pairs:

@@ -16,6 +16,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ from tillsight.llm.texts import (
     word_hashes,
     word_spans,
 )
-from tillsight.workspace import cut_lineage
+from tillsight.workspace import cut_lineage, discard, stored
 
 SHINGLE = 5
 #: Least size of the intersection in percent of the union.
@@ -41,9 +42,18 @@ BLOCK_SETS = 2_000
 #: Rows of sets that one task joins, about.
 GROUP_SETS = 4_000
 
+#: Sets that ask a trie in one walk at most, and bytes of what is held of them, about.
+_MOST_ASKING = 512
+_ASKING_BYTES = 32 << 20
+
 _REMAINDER = np.uint64(1 << 40)
 
 
+def _in_order(numbers: np.ndarray, below: int) -> np.ndarray:
+    """A stable order of numbers less than ``below``; numpy counts those of 16 bits instead of comparing them."""
+    return np.argsort(numbers.astype(np.uint16) if below <= 1 << 16 else numbers, kind="stable")
+
+
 def _sets(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of each text's distinct shingles in a row, where texts begin, and a hash of each set."""
     data, bounds = text_buffer(piece.column("text"))
@@ -61,11 +71,16 @@ def _sets(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             whole = mixed(window_hashes(words, size) ^ np.uint64(size))
             grams = np.concatenate([grams, whole[first[short]]])
             rows = np.concatenate([rows, short])
-    order = np.lexsort((grams, rows))
-    grams, rows = grams[order], rows[order]
+    order = np.argsort(grams)
+    again = np.flatnonzero(grams[order[1:]] == grams[order[:-1]])
+    again = order[np.union1d(again, again + 1)]  # the few that occur twice, in one text or several
+    again = again[np.lexsort((grams[again], rows[again]))]
+    repeated = (grams[again[1:]] == grams[again[:-1]]) & (rows[again[1:]] == rows[again[:-1]])
     new = np.ones(len(rows), dtype=bool)
-    new[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
+    new[again[1:][repeated]] = False
     grams, rows = grams[new], rows[new]
+    order = _in_order(rows, piece.num_rows)
+    grams, rows = grams[order], rows[order]
     begins = np.searchsorted(rows, np.arange(piece.num_rows + 1))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(grams * np.uint64(0x9FB21C651E98DF25)), dtype=np.uint64)])
     sizes = np.diff(begins).astype(np.uint64)
@@ -73,24 +88,27 @@ def _sets(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams, begins, nodes.astype(np.int64)
 
 
-def _node_of(batches):
-    """Which node each document is; none if it has no words."""
-    for piece in pieces(batches):
-        _, begins, nodes = _sets(piece)
-        sizes = np.diff(begins)
-        yield pa.record_batch(
-            [piece.column("doc_id"), pa.array(sizes), pa.array(nodes, mask=sizes == 0)],
-            names=["doc_id", "n_shingles", "node"],
-        )
+#: What pieces deal over buckets, and what comes of it: ``docs`` has rows of its own.
+_DEALT = "bucket int, low binary, high binary, nodes binary, counts binary, docs binary"
+_SHARED = "bucket int, group int, low binary, high binary, times binary, nodes binary, counts binary, docs binary"
 
 
 def _ask(buckets: int):
-    """The shingles of each node dealt over buckets, 40 bits of each; a node once per piece."""
+    """The shingles of each node dealt over buckets, 40 bits of each; a node once per piece.
+
+    Which node each document is goes along packed, so texts are read once.
+    """
 
     def run(batches):
         for piece in pieces(batches):
             grams, begins, nodes = _sets(piece)
             sizes = np.diff(begins)
+            ids = piece.column("doc_id")
+            docs = np.concatenate([pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), sizes, nodes]).astype(np.int64)
+            known = pc.is_valid(ids).to_numpy(zero_copy_only=False)
+            rows = [{
+                "bucket": int(np.bitwise_xor.reduce(nodes) % buckets), "docs": docs.tobytes() + known.tobytes()
+            }]
             _, once = np.unique(nodes, return_index=True)
             once = np.sort(once[sizes[once] > 0])
             keep = np.zeros(len(sizes), dtype=bool)
@@ -99,10 +117,9 @@ def _ask(buckets: int):
             grams, row = grams[keep[row]], row[keep[row]]
             bucket = (grams % np.uint64(buckets)).astype(np.int64)
             rest = grams // np.uint64(buckets) % _REMAINDER
-            order = np.lexsort((row, bucket))
+            order = _in_order(bucket, buckets)
             bucket, rest, row = bucket[order], rest[order], row[order]
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
-            rows = []
             for number in np.flatnonzero(np.diff(edges)).tolist():
                 part = slice(edges[number], edges[number + 1])
                 mine, counts = np.unique(row[part], return_counts=True)
@@ -111,20 +128,32 @@ def _ask(buckets: int):
                     "high": (rest[part] >> np.uint64(32)).astype(np.uint8).tobytes(),
                     "nodes": nodes[mine].tobytes(), "counts": counts.astype(np.int32).tobytes(),
                 })
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
-                    [("bucket", pa.int32()), *((n, pa.binary()) for n in ("low", "high", "nodes", "counts"))]
-                ))
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
+                [("bucket", pa.int32()), *((n, pa.binary()) for n in ("low", "high", "nodes", "counts", "docs"))]
+            ))
 
     return run
 
 
+def _documents(batches):
+    """Which node each document is, unpacked; none if it has no words."""
+    for batch in batches:
+        for packed in batch.column("docs").to_pylist():
+            count = len(packed) // 25
+            ids, sizes, nodes = np.frombuffer(packed, np.int64, 3 * count).reshape(3, count)
+            known = np.frombuffer(packed, bool, offset=24 * count)
+            yield pa.record_batch(
+                [pa.array(ids, mask=~known), pa.array(sizes), pa.array(nodes, mask=sizes == 0)],
+                names=["doc_id", "n_shingles", "node"],
+            )
+
+
 def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table[name].to_pylist()), kind)
+    return np.frombuffer(b"".join(x for x in table[name].to_pylist() if x is not None), kind)
 
 
 def _shared_shingles(buckets: int):
-    """The shingles of a bucket that two nodes have, dealt over groups of nodes.
+    """The shingles of a bucket that two nodes have, dealt over groups of nodes; ``docs`` as they are.
 
     With each comes in how many nodes it is, 255 standing for more; that is
     enough for an order.
@@ -134,6 +163,12 @@ def _shared_shingles(buckets: int):
         grams = _joined(table, "low", np.uint32).astype(np.int64)
         grams |= _joined(table, "high", np.uint8).astype(np.int64) << 32
         node = np.repeat(_joined(table, "nodes", np.int64), _joined(table, "counts", np.int32))
+        order = np.argsort(grams)
+        several = np.zeros(len(order), dtype=bool)
+        several[1:] = grams[order[1:]] == grams[order[:-1]]
+        several[:-1] |= several[1:]
+        order = order[several]  # most shingles come once and are put in no further order
+        grams, node = grams[order], node[order]
         order = np.lexsort((node, grams))
         grams, node = grams[order], node[order]
         new = np.ones(len(grams), dtype=bool)
@@ -154,13 +189,14 @@ def _shared_shingles(buckets: int):
             rows.append((
                 table["bucket"][0].as_py(), number, grams[part].astype(np.uint32).tobytes(),
                 (grams[part] >> 32).astype(np.uint8).tobytes(), times[part].astype(np.uint8).tobytes(),
-                mine.tobytes(), counts.astype(np.int32).tobytes(),
+                mine.tobytes(), counts.astype(np.int32).tobytes(), None,
             ))
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
-        columns = list(zip(*rows)) or [()] * 7
+        rows += [(None,) * 7 + (docs,) for docs in table["docs"].to_pylist() if docs is not None]
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
+        columns = list(zip(*rows)) or [()] * 8
         return pa.table(
             [pa.array(x, kind) for x, kind in zip(columns, kinds)],
-            names=["bucket", "group", "low", "high", "times", "nodes", "counts"],
+            names=["bucket", "group", "low", "high", "times", "nodes", "counts", "docs"],
         )
 
     return run
@@ -254,6 +290,7 @@ class SetTrie:
             previous = values
         self.starts = np.array([*starts, at], np.int64)
         self.flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
+        self._words, self._masks = self.flat // 64, _mask(self.flat)
         # per subtree: where it ends, its longest set and its smallest size
         self.stop = np.arange(1, count + 1)
         self.longest = np.array([len(sets[m]) for m in self.order], np.int64)
@@ -271,45 +308,76 @@ class SetTrie:
 
     def linked(self, values: np.ndarray, size: int, numbers: int, percent: int = PERCENT) -> list[int]:
         """The sets that link to this one; ``numbers`` is more than the largest number of any set."""
-        mine = np.zeros(numbers, dtype=bool)
-        mine[values] = True
-        hits = np.concatenate([[0], np.cumsum(mine[self.flat])]).tolist()
-        below = len(values) - np.concatenate([[0], np.cumsum(mine)])[self.flat] if len(self.flat) else []
-        base, found, place, walk = [0] * len(self._walk), [], 0, self._walk
+        return [member for member, _ in self.linked_to([values], [size], numbers, percent)]
+
+    def linked_to(self, asking: list[np.ndarray], sizes: list[int], numbers: int, percent: int = PERCENT):
+        """(set of the trie, places of the asking sets that link to it), from one walk for all that ask.
+
+        Of every node the walk knows who still can link to a set below it, and
+        their overlaps so far. What asks is held as bits, so a segment is
+        counted for all of them 64 numbers at a time.
+        """
+        bits, below = _bits(asking, numbers)
+        lengths, sizes = np.array([len(x) for x in asking], np.int64), np.array(sizes, np.int64)
+        known, place, walk = {}, 0, self._walk
         while place < len(walk):
             parent, depth, start, end, stop, longest, smallest, member = walk[place]
+            who, overlap = np.arange(len(asking)), np.zeros(len(asking), np.int64)
             if parent >= 0:
+                who, overlap = known[parent]
                 above = walk[parent]
-                base[place] = base[parent] + hits[above[2] + depth - above[1]] - hits[above[2]]
-            overlap = base[place]
-            left = min(int(below[start]) if start < end else len(values), longest - depth)
+                overlap = overlap + self._hits(bits, who, above[2], above[2] + depth - above[1])
+            left = lengths[who]
+            if start < end:
+                word, place_in_word = divmod(int(self.flat[start]), 64)
+                before = bits[word, who] & np.uint64((1 << place_in_word) - 1)
+                left = below[word, who] - np.bitwise_count(before)
+            left = np.minimum(left, longest - depth)
             # overlap o of sizes m and n links if 100 o >= percent (m + n - o)
-            if (100 + percent) * (overlap + left) < percent * (size + smallest):
+            able = (100 + percent) * (overlap + left) >= percent * (sizes[who] + smallest)
+            if not able.any():
                 place = stop
                 continue
-            overlap += hits[end] - hits[start]
-            if (100 + percent) * overlap >= percent * (size + self.sizes[member]):
-                found.append(member)
+            who, overlap = who[able], overlap[able]
+            if stop > place + 1:
+                known[place] = who, overlap
+            overlap = overlap + self._hits(bits, who, start, end)
+            found = who[(100 + percent) * overlap >= percent * (sizes[who] + self.sizes[member])]
+            if len(found):
+                yield member, found
             place += 1
-        return found
+
+    def _hits(self, bits: np.ndarray, who: np.ndarray, start: int, end: int) -> np.ndarray:
+        """How many numbers of this stretch each of ``who`` has."""
+        if start == end:
+            return np.zeros(len(who), np.int64)
+        words = self._words[start:end]
+        opens = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        masks = np.bitwise_or.reduceat(self._masks[start:end], opens)[:, None]
+        rows = bits[words[opens]] if len(who) == bits.shape[1] else bits[words[opens][:, None], who]
+        return np.bitwise_count(rows & masks).sum(axis=0, dtype=np.int64)
 
 
-class _Union:
-    def __init__(self, count: int):
-        self.over, self.count = list(range(count)), [1] * count
+def _bits(sets: list[np.ndarray], numbers: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bit ``n % 64`` of row ``n // 64`` of a set's column for each of its numbers; how many it has from each row on."""
+    words = numbers // 64 + 1
+    bits = np.zeros((words, len(sets)), np.uint64)
+    flat = np.concatenate(sets)
+    key = np.repeat(np.arange(len(sets)), [len(x) for x in sets]) * words + flat // 64
+    opens = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    if len(opens):
+        bits[key[opens] % words, key[opens] // words] = np.bitwise_or.reduceat(_mask(flat), opens)
+    below = np.cumsum(np.bitwise_count(bits)[::-1], axis=0, dtype=np.int64)[::-1]
+    return bits, below
 
-    def find(self, x: int) -> int:
-        while self.over[x] != x:
-            self.over[x] = self.over[self.over[x]]
-            x = self.over[x]
-        return x
 
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        if x != y:
-            self.over[y] = x
-            self.count[x] += self.count[y]
-        return x != y
+def _mask(numbers: np.ndarray) -> np.ndarray:
+    return np.uint64(1) << (numbers % 64).astype(np.uint64)
+
+
+def _asking_at_once(numbers: int) -> int:
+    """How many sets ask in one walk, for what is held of them."""
+    return int(min(_MOST_ASKING, max(1, _ASKING_BYTES // (16 * (numbers // 64 + 1)))))
 
 
 def _numbered(packed: list[bytes]) -> tuple[list[np.ndarray], int]:
@@ -329,15 +397,27 @@ def block_links(sets: list[np.ndarray], sizes: list[int], numbers: int, percent:
     not looked up any more: every link that could still join two components has
     an end outside it.
     """
-    trie, union, settled = SetTrie(sets, sizes), _Union(len(sets)), None
-    for at, (values, size) in enumerate(zip(sets, sizes)):
-        if settled is not None and union.find(at) == union.find(settled):
-            continue
-        for other in trie.linked(values, size, numbers, percent):
-            if other != at and union.join(at, other):
-                yield at, other
-        if settled is None and 2 * union.count[union.find(at)] >= len(sets):
-            settled = at
+    trie, most = SetTrie(sets, sizes), _asking_at_once(numbers)
+    label, waiting = np.arange(len(sets)), np.arange(len(sets))
+    while len(waiting):
+        asking, waiting = waiting[:most], waiting[most:]
+        for member, found in trie.linked_to([sets[i] for i in asking], [sizes[i] for i in asking], numbers, percent):
+            for other in _joining(label, member, asking[found]):
+                yield other, member
+        counts = np.bincount(label)
+        if 2 * counts.max() >= len(sets):
+            waiting = waiting[label[waiting] != counts.argmax()]
+
+
+def _joining(label: np.ndarray, member: int, others: np.ndarray) -> list[int]:
+    """One of ``others`` of each component that ``member`` was not in; ``label`` names the components and joins them."""
+    own, joining = label[member], []
+    others = others[label[others] != own]
+    while len(others):
+        joining.append(int(others[0]))
+        label[label == label[others[0]]] = own
+        others = others[label[others] != own]
+    return joining
 
 
 def _links(pairs: list[tuple[int, int]]) -> pa.Table:
@@ -345,15 +425,15 @@ def _links(pairs: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _members(table: pa.Table) -> dict[tuple[int, int], np.ndarray]:
-    """Rows of each block of each family."""
+def _members(table: pa.Table, names=("family", "block")) -> dict[tuple[int, ...], np.ndarray]:
+    """Rows of each block of each family, or by other ``names``."""
     if not table.num_rows:
         return {}
-    family, block = table["family"].to_numpy(), table["block"].to_numpy()
-    order = np.lexsort((table["node"].to_numpy(), block, family))
-    new = (np.diff(family[order]) != 0) | (np.diff(block[order]) != 0)
+    keys = [table[name].to_numpy() for name in names]
+    order = np.lexsort((table["node"].to_numpy(), *reversed(keys)))
+    new = np.any([np.diff(key[order]) != 0 for key in keys], axis=0)
     parts = np.split(order, np.flatnonzero(new) + 1)
-    return {(int(family[p[0]]), int(block[p[0]])): p for p in parts}
+    return {tuple(int(key[p[0]]) for key in keys): p for p in parts}
 
 
 def _within_blocks(percent: int):
@@ -370,28 +450,35 @@ def _within_blocks(percent: int):
     return run
 
 
+_PROBE = ("family", "block", "part")
+
+
 def _against_blocks(percent: int):
-    """Links of the sets sent to a block with those in it."""
+    """Links of a part of the sets sent to a block with those in it, as many as connect what any connect."""
 
     def run(blocks: pa.Table, sent: pa.Table) -> pa.Table:
-        pairs, probes = [], _members(sent)
+        pairs, probes = [], _members(sent, _PROBE)
         nodes, sizes, packed = (
             [*blocks[name].to_pylist(), *sent[name].to_pylist()] for name in ("node", "size", "tokens")
         )
-        for key, rows in _members(blocks).items():
+        for key, rows in _members(blocks, _PROBE).items():
             if key not in probes:
                 continue
-            asking = probes[key] + blocks.num_rows
-            sets, numbers = _numbered([packed[i] for i in [*rows, *asking]])
-            trie = SetTrie(sets[: len(rows)], [sizes[i] for i in rows])
-            for values, i in zip(sets[len(rows) :], asking):
-                pairs += [(nodes[i], nodes[rows[m]]) for m in trie.linked(values, sizes[i], numbers, percent)]
-        return _links([pair for pair in pairs if pair[0] != pair[1]])
+            both = [*rows, *(probes[key] + blocks.num_rows)]
+            sets, numbers = _numbered([packed[i] for i in both])
+            trie, most = SetTrie(sets[: len(rows)], [sizes[i] for i in rows]), _asking_at_once(numbers)
+            _, label = np.unique([nodes[i] for i in both], return_inverse=True)  # some are sent to their own block
+            for first in range(len(rows), len(both), most):
+                asking = np.arange(first, min(first + most, len(both)))
+                told = trie.linked_to([sets[i] for i in asking], [sizes[both[i]] for i in asking], numbers, percent)
+                for member, found in told:
+                    pairs += [(nodes[both[i]], nodes[both[member]]) for i in _joining(label, member, asking[found])]
+        return _links(pairs)
 
     return run
 
 
-def _across_blocks(placed: DataFrame, links: DataFrame, groups: int, percent: int) -> DataFrame:
+def _across_blocks(placed: DataFrame, links: DataFrame, groups: int, percent: int, block_sets: int) -> DataFrame:
     """Links between the blocks of families that have several.
 
     First one set of each component of each block is sent to all blocks of its
@@ -400,22 +487,29 @@ def _across_blocks(placed: DataFrame, links: DataFrame, groups: int, percent: in
     of which one is outside has been compared.
     """
     large = placed.filter("blocks > 1")
-    dealt = lambda df: df.withColumn(
-        "group", F.pmod(F.xxhash64("family", "block"), F.lit(groups)).cast("int")
-    )
 
     def probe(sent: DataFrame) -> DataFrame:
-        blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         names = ["family", "block", "node", "size", "tokens"]
+        # What is sent comes in parts no larger than a block, as all of a family may be sent.
+        many = sent.groupBy("family", "blocks").agg(F.ceil(F.count("*") / block_sets).cast("int").alias("parts"))
+        many, many_at = stored(many, "sent-parts")
+        keys = max(groups, many.agg(F.sum(F.col("blocks") * F.col("parts"))).first()[0] or 0)
+        group = F.pmod(F.xxhash64(*_PROBE), F.lit(keys)).cast("int")
+        every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+        of = many.select("family", "parts")
+        blocks = large.select(*names).join(of, "family").withColumn("part", every("parts"))
         # columns of their own: both sides come from one table
-        sent = sent.withColumn("block", blocks).select(*[F.col(name).alias(name) for name in names])
+        part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
+        sent = sent.join(of, "family").withColumn("part", part)
+        sent = sent.withColumn("block", every("blocks")).select(*[F.col(name).alias(name) for name in (*names, "part")])
         found = (
-            dealt(large.select(*names))
-            .groupBy("group")
-            .cogroup(dealt(sent).groupBy("group"))
+            blocks.withColumn("group", group).groupBy("group")
+            .cogroup(sent.withColumn("group", group).groupBy("group"))
             .applyInArrow(_against_blocks(percent), "a bigint, b bigint")
-        )
-        return cut_lineage(found.distinct(), "block-links")
+        )
+        found = cut_lineage(found.distinct(), "block-links")
+        discard(many.sparkSession, many_at)
+        return found
 
     def labelled(known: DataFrame) -> DataFrame:
         names = components(known)
@@ -449,14 +543,13 @@ def linked_components(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     buckets = buckets or hash_buckets(needed)
-    known = cut_lineage(needed.mapInArrow(_node_of, "doc_id bigint, n_shingles bigint, node bigint"), "nodes")
-    asked = needed.select("text").mapInArrow(
-        _ask(buckets), "bucket int, low binary, high binary, nodes binary, counts binary"
-    )
-    shared = asked.groupBy("bucket").applyInArrow(
-        _shared_shingles(buckets),
-        "bucket int, group int, low binary, high binary, times binary, nodes binary, counts binary",
+    asked = needed.mapInArrow(_ask(buckets), _DEALT)
+    dealt, dealt_at = stored(
+        asked.groupBy("bucket").applyInArrow(_shared_shingles(buckets), _SHARED), "shared-ngrams"
     )
+    packed = dealt.filter("docs is not null").select("docs")
+    known = cut_lineage(packed.mapInArrow(_documents, "doc_id bigint, n_shingles bigint, node bigint"), "nodes")
+    shared = dealt.filter("docs is null").drop("docs")
     sizes = known.filter("node is not null").groupBy("node").agg(F.max("n_shingles").cast("int").alias("size"))
     sets = (
         shared.groupBy("group")
@@ -464,6 +557,7 @@ def linked_components(
         .applyInArrow(_ordered_sets(percent), "node bigint, size int, tokens binary, firsts int")
     )
     sets = cut_lineage(sets, "ngram-sets")
+    discard(needed.sparkSession, dealt_at)
     firsts = cut_lineage(
         sets.select("node", "tokens", "firsts").mapInArrow(_first_tokens, "token bigint, node bigint"),
         "first-ngrams",
@@ -484,7 +578,7 @@ def linked_components(
         "ngram-links",
     )
     if not placed.filter("blocks > 1").isEmpty():
-        links = _across_blocks(placed, links, groups, percent)
+        links = _across_blocks(placed, links, groups, percent, block_sets)
     named = known.join(components(links), "node", "left")
     named = cut_lineage(named.withColumn("component", F.coalesce("component", "node")), "named")
     least_id = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
