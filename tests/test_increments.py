@@ -6,6 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from tillsight import workspace
 from tillsight.operators.insights import insight, one_pass
 from tillsight.operators.latest import read_insight
 from tillsight.operators.partials import finished_insights
@@ -75,6 +76,32 @@ def test_a_grown_range_is_cut_and_small_keys_go_first(spark, tmp_path, small_ran
     assert len(contents(read_ranges(spark, path, schema))) == 220
 
 
+def test_a_merge_of_far_more_rows_makes_new_ranges(spark, tmp_path, monkeypatch):
+    """One small range must not take all rows of a large merge into one task."""
+    monkeypatch.setattr(ranged_store, "_LEAST_ROWS", 50)
+    path, schema = str(tmp_path / "table"), keyed(spark, [1], 1).schema
+    stored(keyed(spark, range(0, 400, 20), 5), path, 20)
+    assert len(manifest(spark, path)) == 1
+    assert merge_ranges(keyed(spark, range(400), 3), path, "key", "at", schema) == (400, 20)
+    entries = manifest(spark, path)
+    assert len(entries) >= 6 and max(entry.rows for entry in entries) < 200
+    expected = {f"{n:06d}": "3" if n % 20 else "5" for n in range(400)}
+    assert contents(read_ranges(spark, path, schema)) == expected
+    assert merge_ranges(keyed(spark, range(400), 4), path, "key", "at", schema) == (400, 400)
+    assert contents(read_ranges(spark, path, schema)) == {key: "5" if said == "5" else "4" for key, said in expected.items()}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    """Of a job's earlier steps, whether or not the driver has collected its garbage."""
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    plain = spark.range(1000).groupBy("id").count()
+    plain.write.parquet(str(tmp_path / "plain"))
+    before = tracker.shuffleStatuses().size()
+    table, _ = workspace.stored(spark.range(1000).groupBy("id").count(), "counted")
+    assert table.count() == 1000 and tracker.shuffleStatuses().size() <= before + 1  # of the count
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_empty_tables_and_empty_merges(spark, tmp_path):
     path, schema = str(tmp_path / "table"), keyed(spark, [1], 1).schema
     assert stored(keyed(spark, [1], 1).limit(0), path, 0) == (0, 0)
